@@ -1,22 +1,24 @@
 """Byte-level BPE encoding and decoding with a public rank file.
 
-1. Texts are dealt to chunks of about ``CHUNK`` characters; each task splits its texts by the pattern
-   and gives the distinct words of each chunk.
-2. Each distinct word of the corpus is encoded once, by Spark's higher-order functions: a fold over
-   its bytes merges the pair of least rank (the leftmost at a tie) until none has a rank. Ranks are a
-   literal map: a perfect hash table of literal arrays (displacements, slots, token bytes), so that a
-   look-up costs the same for any rank. A word that is a token as a whole is that token.
-3. The word's ids are decoded by concatenating the binary pieces of the same literal.
-4. Encoded words go back to the chunks that hold them, and each chunk's texts are put together.
-
-Words of more than ``LONG`` bytes (none in prose) take a heap-based merge in Arrow batches, with the
-same results, since the fold's cost grows with the square of the length.
-
-A task holds one chunk's texts and words; a chunk has ``CHUNK`` characters on average and a single
-longer text stands alone in effect. Nothing that grows with the corpus is broadcast.
-
-Edge cases: a null text is empty: no ids, empty decoded bytes; repeated rows are encoded each; extra
-columns are carried, except ones named like an output.
+Texts are split by the pattern, and each distinct word is encoded by Spark's higher-order functions:
+a fold over the word's bytes merges the pair of least rank (the leftmost at a tie) until none has a
+rank. Ranks are a literal map of pairs of ids: a perfect hash table in two literal arrays, so that a
+look-up costs the same for any pair. No step shuffles texts:
+
+1. A task numbers the words of about ``CHUNK`` characters of its texts and emits one row: the carried
+   columns, each text's word numbers, and the bytes of the distinct words.
+2. The fold encodes the row's words.
+3. A task puts the ids of each text together; decoding concatenates the ids' binary pieces.
+
+So that frequent words are not folded anew in each chunk, the fold first encodes a dictionary of at
+most ``HEAD_WORDS`` words from a sample of about ``HEAD_CHARS`` characters; it is broadcast within
+that bound. It saves work only: other words take the same fold in their chunk. A word that is a
+token as a whole is that token. Words of more than ``LONG`` bytes (none in prose) are merged with a
+heap, with the same result, as the fold's cost grows with the square of the length.
+
+Memory of a task is that of one chunk; a longer text is a chunk of its own. Edge cases: a null text
+is empty: no ids, empty decoded bytes; repeated rows are encoded each; extra columns are carried,
+except ones named like an output; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,24 +27,29 @@ import base64
 import hashlib
 import heapq
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col, staged
+from .common import SEED, col
 
-CHUNK = 20_000_000
+CHUNK = 30_000_000
+HEAD_CHARS = 60_000_000
+HEAD_WORDS = 500_000
 LONG = 192
-#: Sizes of the hash table; powers of two.
-SLOTS = 1 << 17
-GROUPS = 1 << 14
+
+#: Bits of an id in a packed pair, and sizes of the hash table (powers of two).
+ID_BITS = 20
+SLOTS = 1 << 18
+GROUPS = 1 << 15
+_NONE = 1 << ID_BITS
 
 OUTPUTS = ["n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"]
 
@@ -53,100 +60,96 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _slot(h: int, d: int) -> int:
-    return ((h & (SLOTS - 1)) + d * ((h >> 34 & (SLOTS - 1)) | 1)) & (SLOTS - 1)
-
-
-def hash_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    """(displacement of each group, rank or -1 of each slot) such that every token has its own slot."""
-    groups: list[list[tuple[int, int]]] = [[] for _ in range(GROUPS)]
-    for token, r in ranks.items():
-        h = xxhash.xxh64_intdigest(token, 42)
-        groups[h >> 17 & (GROUPS - 1)].append((h, r))
-    slots, shifts = [-1] * SLOTS, [0] * GROUPS
-    for g in sorted(range(GROUPS), key=lambda g: -len(groups[g])):
-        d = 0
-        while True:
-            at = [_slot(h, d) for h, _ in groups[g]]
-            if len(set(at)) == len(at) and all(slots[a] < 0 for a in at):
-                break
-            d += 1
-        shifts[g] = d
-        for a, (_, r) in zip(at, groups[g], strict=True):
-            slots[a] = r
-    return shifts, slots
+class RankMap:
+    """The ranks of pairs of ids as literals of Spark expressions.
 
+    A slot holds (a + 1, b + 1, rank) packed; exclusive or with the pair asked for leaves the rank if
+    it is that pair, and a number of more than ID_BITS bits otherwise.
+    """
 
-class RankMap:
-    """The ranks as literals of Spark expressions."""
+    #: Multipliers of the two hashes of a pair.
+    A, B, C, D = 0x9E3779B97F, 0xC2B2AE3D27, 0x85EBCA6B1D, 0xD6E8FEB863
 
     def __init__(self, ranks: dict[bytes, int]):
-        if sorted(ranks.values()) != list(range(len(ranks))) or any(bytes([b]) not in ranks for b in range(256)):
+        if sorted(ranks.values()) != list(range(len(ranks))) or any(bytes([b]) not in ranks for b in range(256)) or len(ranks) >= _NONE - 1:
             raise ValueError("ranks must be 0, 1, ... and hold every single byte")
-        shifts, slots = hash_table(ranks)
-        self.tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
-        self.bytes_of = F.from_json(F.lit(json.dumps([base64.b64encode(t).decode() for t in self.tokens])), "array<binary>")
-        self.shifts = F.from_json(F.lit(json.dumps(shifts, separators=(",", ":"))), "array<int>")
-        self.slots = F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<int>")
-        self.single = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
-
-    def look_up(self, tokens: Column) -> Column:
-        """Ranks of an array of byte strings, null for those that are no token."""
-        low = F.lit(SLOTS - 1).cast("bigint")
-
-        def slot(h: Column) -> Column:
-            group = F.shiftrightunsigned(h, 17).bitwiseAND(F.lit(GROUPS - 1).cast("bigint"))
-            step = F.shiftrightunsigned(h, 34).bitwiseAND(low).bitwiseOR(F.lit(1).cast("bigint"))
-            return (h.bitwiseAND(low) + F.get(self.shifts, group.cast("int")) * step).bitwiseAND(low).cast("int")
-
-        hashed = F.transform(tokens, lambda b: F.struct(b.alias("b"), F.xxhash64(b).alias("h")))
-        placed = F.transform(hashed, lambda s: F.struct(s["b"].alias("b"), F.get(self.slots, slot(s["h"])).alias("r")))
-        return F.transform(placed, lambda s: F.when(F.get(self.bytes_of, s["r"]) == s["b"], s["r"]))
+        pairs = {}
+        for token, r in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    pairs[a, b] = r
+        slots, shifts = self.table(pairs)
+        single = [ranks[bytes([b])] for b in range(256)]
+        first = [pairs.get((single[a], single[b])) for a in range(256) for b in range(256)]
+        array = lambda values, kind: F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
+        self.slots, self.shifts = array(slots, "bigint"), array(shifts, "int")
+        self.single, self.first = array(single, "bigint"), array(first, "bigint")
+
+    def table(self, pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
+        """(packed slots, displacement of each group); the first multiplier is stepped until groups have no clash."""
+        ab, r = np.array(list(pairs), np.int64).reshape(-1, 2), list(pairs.values())
+        group = (ab[:, 0] * self.C + ab[:, 1] * self.D >> 22) & (GROUPS - 1)
+        while True:
+            base = (ab[:, 0] * self.A + ab[:, 1] * self.B >> 20) & (SLOTS - 1)
+            if len(np.unique(group * SLOTS + base)) == len(ab):
+                break
+            self.A += 2
+        members: list[list[tuple[int, int]]] = [[] for _ in range(GROUPS)]
+        for g, at, (a, b), rank in zip(group.tolist(), base.tolist(), ab.tolist(), r, strict=True):
+            members[g].append((at, (a + 1) << 2 * ID_BITS | (b + 1) << ID_BITS | rank))
+        slots, shifts = [0] * SLOTS, [0] * GROUPS
+        for g in sorted(range(GROUPS), key=lambda g: -len(members[g])):
+            d = 0
+            while any(slots[at + d & (SLOTS - 1)] for at, _ in members[g]):
+                d += 1
+            shifts[g] = d
+            for at, packed in members[g]:
+                slots[at + d & (SLOTS - 1)] = packed
+        return slots, shifts
+
+    def rank(self, a: Column, b: Column) -> Column:
+        """The rank of a pair of ids; _NONE or more if it has none."""
+        long = lambda x: F.lit(x).cast("bigint")
+        group = F.shiftright(a * self.C + b * self.D, 22).bitwiseAND(long(GROUPS - 1)).cast("int")
+        at = (F.shiftright(a * self.A + b * self.B, 20) + F.get(self.shifts, group)).bitwiseAND(long(SLOTS - 1)).cast("int")
+        return F.get(self.slots, at).bitwiseXOR((a + 1) * (1 << 2 * ID_BITS) + (b + 1) * _NONE)
 
     def encode(self, word: Column) -> Column:
-        """array<int> of ids of a binary word: a fold that merges one pair a step."""
-        size = F.octet_length(word)
-        start = F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.struct(F.substring(word, i, F.lit(1)).alias("b"), F.get(self.single, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")).alias("r")),
-        )
+        """Ids of a word given as an array of byte values: a fold that merges one pair a step.
+
+        The fold carries the ids and the ranks of neighbours; a merge renews the two ranks beside it.
+        """
+        pairs = F.transform(F.sequence(F.lit(1), F.size(word) - 1), lambda i: F.get(self.first, F.get(word, i - 1) * 256 + F.get(word, i)))
+        start = F.struct(F.transform(word, lambda b: F.get(self.single, b)).alias("ids"), pairs.alias("ranks"))
 
         def step(acc: Column, _: Column) -> Column:
-            def merged(parts: Column) -> Column:
-                pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.concat(F.get(parts, i - 1)["b"], F.get(parts, i)["b"]))
-                ranked = F.transform(F.array(pairs), lambda p: F.struct(p.alias("p"), self.look_up(p).alias("r")))
-                best = F.transform(ranked, lambda x: F.struct(x["p"].alias("p"), F.array_min(x["r"]).alias("m"), F.array_position(x["r"], F.array_min(x["r"])).cast("int").alias("at")))
-                return F.get(
-                    F.transform(
-                        best,
-                        lambda x: F.when(x["m"].isNull(), F.struct(parts.alias("parts"), F.lit(False).alias("go"))).otherwise(
-                            F.struct(
-                                F.concat(
-                                    F.slice(parts, F.lit(1), x["at"] - 1),
-                                    F.array(F.struct(F.get(x["p"], x["at"] - 1).alias("b"), x["m"].alias("r"))),
-                                    F.slice(parts, x["at"] + 2, F.size(parts)),
-                                ).alias("parts"),
-                                F.lit(True).alias("go"),
-                            )
-                        ),
-                    ),
-                    F.lit(0),
+            ids, ranks, least = acc["ids"], acc["ranks"], F.array_min(acc["ranks"])
+
+            def merged(m: Column, p: Column) -> Column:
+                sides = F.array(F.struct(F.get(ids, p - 2).alias("a"), m.alias("b")), F.struct(m.alias("a"), F.get(ids, p + 1).alias("b")))
+                renewed = F.filter(F.transform(sides, lambda s: self.rank(s["a"], s["b"])), lambda r: r.isNotNull())
+                return F.struct(
+                    F.concat(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, F.size(ids))).alias("ids"),
+                    F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), renewed, F.slice(ranks, p + 2, F.size(ranks))).alias("ranks"),
                 )
 
-            return F.when(acc["go"] & (F.size(acc["parts"]) > 1), merged(acc["parts"])).otherwise(acc)
+            at = F.array(F.struct(least.alias("m"), F.array_position(ranks, least).cast("int").alias("p")))
+            return F.when(least < _NONE, F.get(F.transform(at, lambda x: merged(x["m"], x["p"])), F.lit(0))).otherwise(acc)
+
+        fold = F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step)["ids"]
+        return F.when(F.size(word) > 1, fold).otherwise(F.transform(word, lambda b: F.get(self.single, b)))
 
-        fold = F.aggregate(F.sequence(F.lit(1), size), F.struct(start.alias("parts"), F.lit(True).alias("go")), step)
-        return F.transform(fold["parts"], lambda t: t["r"])
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of an array of ids."""
-        return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(self.bytes_of, i)))
+def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes of an array of ids, as an expression: binary pieces of a literal, concatenated."""
+    tokens = [base64.b64encode(t).decode() for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    pieces = F.from_json(F.lit(json.dumps(tokens)), "array<binary>")
+    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(pieces, i.cast("int"))))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a long word: pairs in a heap by (rank, place), parts in a linked list."""
-    if word in ranks:
-        return [ranks[word]]
     n = len(word)
     end, nxt, prv = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
     live, heap = [True] * n, []
@@ -172,60 +175,58 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
-def _chunked(docs: DataFrame, kept: list[str]) -> tuple[DataFrame, int]:
-    """``docs`` with text as in_text and its chunk; the number of chunks follows the characters."""
-    total = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
-    n = max(1, -(-total // CHUNK))
-    chunk = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text").cast("string")), F.lit(n)).cast("int")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(kept)], chunk.alias("chunk"), text.alias("in_text")), n
+class Numbered(dict):
+    """Word -> number. Words that it doesn't know get the next numbers and are listed in ``new``."""
 
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.first, self.new = len(known), []
 
-def chunk_words(chunked: DataFrame, pattern: str) -> DataFrame:
-    """(chunk, word): the distinct words of each chunk."""
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = got = self.first + len(self.new) - 1
+        return got
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern).findall
-        found: dict[int, set[str]] = {}
-        held = 0
-
-        def out() -> pa.RecordBatch:
-            chunks = np.repeat(np.array(list(found), np.int32), [len(w) for w in found.values()])
-            return pa.RecordBatch.from_arrays([pa.array(chunks), pa.array([w for s in found.values() for w in s], pa.string())], names=["chunk", "word"])
+    def forget(self) -> None:
+        for w in self.new:
+            del self[w]
+        self.new = []
 
-        for batch in batches:
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = found.setdefault(chunk, set())
-                held -= len(words)
-                words.update(split(text))
-                held += len(words)
-                if held > 1_000_000:
-                    yield out()
-                    found, held = {}, 0
-        if held:
-            yield out()
 
-    return chunked.select("chunk", "in_text").mapInArrow(run, "chunk int, word string").distinct()
+def _lists(words: list[bytes]) -> pa.Array:
+    """array<array<bigint>> cells: byte values of words."""
+    at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
+    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids, decoded) of distinct words."""
-    spark = words.sparkSession
-    table = RankMap(ranks)
-    whole = spark.createDataFrame(list(ranks.items()), "b binary, whole int")
-    given = words.withColumn("b", F.col("word").cast("binary"))
-    short = given.where(F.octet_length("word") <= LONG).join(F.broadcast(whole), "b", "left")
-    short = short.select("word", F.coalesce(F.when(F.col("whole").isNotNull(), F.array("whole")), table.encode(F.col("b"))).alias("ids"))
-    sent = spark.sparkContext.broadcast(ranks)
+def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[list[str], list[list[int]]]:
+    """The dictionary: the most frequent words of a bounded sample and their ids, by the fold."""
+    total = docs.agg(F.sum(F.length("in_text"))).first()[0] or 0
+    share = min(1.0, HEAD_CHARS / max(total, 1))
+    sample = docs.where(F.pmod(F.xxhash64("in_text", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * share)).select("in_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, counts = regex.compile(pattern).findall, Counter()
+
+        def out() -> pa.RecordBatch:
+            used = [(w, n) for w, n in counts.items() if 1 < len(w.encode()) <= LONG and w.encode() not in ranks]
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in used], pa.string()), pa.array([n for _, n in used], pa.int64())], names=["word", "n"])
+
         for batch in batches:
-            w = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([merge_long(x.encode(), sent.value) for x in w], pa.list_(pa.int32()))], names=["word", "ids"])
+            for text in batch.column(0).to_pylist():
+                counts.update(split(text))
+                if len(counts) > 500_000:
+                    yield out()
+                    counts.clear()
+        yield out()
 
-    long = given.where(F.octet_length("word") > LONG).select("word").mapInArrow(run, "word string, ids array<int>")
-    both = short.select("word", F.col("ids").cast("array<int>").alias("ids")).unionByName(long)
-    return both.withColumn("decoded", table.decode(F.col("ids")))
+    counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("bigint"))
+    coded = top.repartition(parts, "word").select("word", table.encode(values).alias("ids")).toArrow()
+    return coded.column("word").to_pylist(), coded.column("ids").to_pylist()
 
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -234,38 +235,108 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     ids are little-endian unsigned 32-bit integers in one binary, as hashed by ids_sha256.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in OUTPUTS]
-    chunked, _ = _chunked(docs, kept)
-    pairs = staged(chunk_words(chunked, pattern), "pairs")
-    words = staged(encode_words(pairs.select("word").distinct(), load_ranks(rank_path)), "words")
-    here = pairs.join(words, "word")
+    ranks = load_ranks(rank_path)
+    table = RankMap(ranks)
+    named = docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("in_text"))
+    head, head_ids = head_words(named, ranks, table, pattern)
+    sc = docs.sparkSession.sparkContext
+    flat = np.fromiter((x for i in head_ids for x in i), np.int32)
+    sent = sc.broadcast((ranks, head, flat, np.array([len(i) for i in head_ids], np.int64)))
+    carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
+    arrow_in = to_arrow_schema(T.StructType(carried))
+
+    def known() -> dict[str, int]:
+        """Numbers of the tokens that are text, then of the dictionary; tokens that aren't leave gaps."""
+        ranks, head, _, _ = sent.value
+        out = {f"\ud800{r}": r for r in range(len(ranks))}  # gaps keep the numbering dense
+        for t, r in ranks.items():
+            try:
+                word = t.decode()
+            except UnicodeDecodeError:
+                continue
+            del out[f"\ud800{r}"]
+            out[word] = r
+        for k, w in enumerate(head):
+            out[w] = len(ranks) + k
+        return out
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, words, ranks = regex.compile(pattern).findall, Numbered(known()), sent.value[0]
+        held, rows, sizes, codes, chars = [], 0, [], [], 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal held, rows, sizes, codes, chars
+            new = [w.encode() for w in words.new]
+            long = {k: merge_long(w, ranks) for k, w in enumerate(new) if len(w) > LONG}
+            plain = [b"" if k in long else w for k, w in enumerate(new)]
+            blob = pa.BufferOutputStream()
+            with pa.ipc.new_stream(blob, arrow_in) as sink:
+                for b in held:
+                    sink.write_batch(b)
+            row = [
+                pa.array([blob.getvalue().to_pybytes()], pa.binary()), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
+                pa.array([np.concatenate(codes).tobytes() if codes else b""], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), _lists(plain)), pa.array([json.dumps(list(long.items()))]),
+            ]
+            words.forget()
+            held, rows, sizes, codes, chars = [], 0, [], [], 0
+            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                for text in part.column(len(kept)).to_pylist():
+                    code = np.fromiter(map(words.__getitem__, split(text)), np.int32)
+                    codes.append(code)
+                    sizes.append(len(code))
+                    chars += len(text)
+                held.append(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in) if kept else part.select([]))
+                if chars > CHUNK:
+                    yield out()
+        if sizes:
+            yield out()
+
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if whole:
         fields += [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]
-    carried = [chunked.schema[f"in_{i}"] for i in range(len(kept))]
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in carried] + fields)
-    arrow = to_arrow_schema(schema)
-
-    def together(left: pa.Table, right: pa.Table) -> pa.Table:
-        split = regex.compile(pattern).findall
-        ids = right.column("ids").combine_chunks()
-        flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        at = (ids.offsets.to_numpy() * 4).tolist()
-        number = {w: k for k, w in enumerate(right.column("word").to_pylist())}
-        code = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        plain = right.column("decoded").to_pylist()
-        out: dict[str, list] = {f.name: [] for f in fields}
-        for piece in left.column("in_text").chunks:
-            for text in piece.to_pylist():
-                which = [number[w] for w in split(text)]
-                coded, back = b"".join([code[k] for k in which]), b"".join([plain[k] for k in which])
-                out["n_tokens"].append(len(coded) // 4)
-                out["ids_sha256"].append(hashlib.sha256(coded).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
-                if whole:
-                    out["ids"].append(coded), out["decoded"].append(back)
-        columns = [left.column(f.name) for f in carried] + [pa.array(out[f.name], arrow.field(f.name).type) for f in fields]
-        return pa.Table.from_arrays(columns, schema=arrow)
-
-    joined = chunked.groupBy("chunk").cogroup(here.groupBy("chunk")).applyInArrow(together, schema)
-    return joined.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(kept)], *[f.name for f in fields])
+    arrow_out = to_arrow_schema(schema)
 
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, _, head_flat, head_sizes = sent.value
+        tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        base_flat = np.concatenate([np.arange(len(tokens), dtype=np.int32), head_flat])
+        base_sizes = np.concatenate([np.ones(len(tokens), np.int64), head_sizes])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                coded = batch.column(3)[k].values
+                flat, sizes = coded.flatten().to_numpy().astype(np.int32), np.diff(coded.offsets.to_numpy()).astype(np.int64)
+                if long := json.loads(batch.column(4)[k].as_py()):
+                    parts = np.split(flat, np.cumsum(sizes)[:-1])
+                    for i, ids in long:
+                        parts[i] = np.array(ids, np.int32)
+                    flat, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+                flat, sizes = np.concatenate([base_flat, flat]), np.concatenate([base_sizes, sizes])
+                starts = np.cumsum(sizes) - sizes
+                codes = np.frombuffer(batch.column(2)[k].as_py(), np.int32)
+                ends = np.cumsum(np.frombuffer(batch.column(1)[k].as_py(), np.int64))
+                out: dict[str, list] = {f.name: [] for f in fields}
+                for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+                    code = codes[a:b]
+                    n = sizes[code]
+                    ids = flat[np.repeat(starts[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                    packed, back = ids.astype("<u4").tobytes(), b"".join(map(tokens.__getitem__, ids.tolist()))
+                    out["n_tokens"].append(len(ids))
+                    out["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
+                    out["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
+                    if whole:
+                        out["ids"].append(packed), out["decoded"].append(back)
+                left = pa.ipc.open_stream(batch.column(0)[k].as_py()).read_all()
+                columns = [left.column(i).combine_chunks() for i in range(len(kept))]
+                columns += [pa.array(out[f.name], arrow_out.field(f.name).type) for f in fields]
+                yield from pa.Table.from_arrays(columns, schema=arrow_out).to_batches()
+
+    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<bigint>>, long string")
+    folded = chunks.select("carried", "sizes", "codes", F.transform("words", table.encode).alias("words"), "long")
+    done = folded.mapInArrow(together, schema)
+    return done.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(kept)], *[f.name for f in fields])
