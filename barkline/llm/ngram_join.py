@@ -8,12 +8,12 @@ Documents are sets of hashed 4-word shingles; two link when 100 * intersection >
    n - ceil(0.85 n) + 1 of each in that order (their prefixes).
 3. Partition: a class joins the group of its rarest prefix shingle that another class has too.
    Near copies share it, so they meet in one group.
-4. Token-group matrix: which groups hold a prefix shingle. Groups that share one, and whose sizes
-   allow a link, are candidates for each other.
-5. Groups are cut into blocks of bounded size. For a pair of blocks the overlap of each set with the
-   other block's token union bounds its overlap with any member; only sets that reach 85 % of their
-   size are opened, and their exact overlaps are matrix products. A block pair returns for each set
-   the least set it reaches there, so rows follow the blocks, not the pairs.
+4. Token-group matrix: which groups hold a prefix shingle. The number of a set's prefix shingles in a
+   group's union bounds its overlap with any member; a set opens only the groups that reach what a
+   link needs, and two groups meet only with the sets that open the other one.
+5. Groups are cut into blocks of bounded size. In a pair of blocks the same bound is taken with whole
+   sets, and the exact overlaps of what is left are matrix products. A block pair returns for each
+   set the least set it reaches there, so rows follow the blocks, not the pairs.
 6. Components are least labels over these rows.
 
 Memory of a task is that of two blocks. Copies are one row from step 2 on.
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -191,18 +191,50 @@ def block_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nd
     return nodes[keep].tolist(), least[keep].tolist()
 
 
-def _group_pairs(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): (node, n, g) and candidate group pairs (g1 <= g2)."""
-    group = shared.groupBy("node").agg(F.min("key").alias("g"), F.first("n").alias("n"))
-    members = staged(group, "members")
-    span = members.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("sets"))
-    cells = shared.select("key", "node").join(members.select("node", "g"), "node").select("key", "g").distinct().join(span, "g")
-    cells = staged(cells, "matrix")
-    other = cells.select("key", F.col("g").alias("g2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    fits = (F.col("high") * 100 >= PERCENT * F.col("low2")) & (F.col("high2") * 100 >= PERCENT * F.col("low"))
-    pairs = cells.join(other, "key").where((F.col("g") < F.col("g2")) & fits).select(F.col("g").alias("g1"), "g2").distinct()
-    own = span.where("sets > 1").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
-    return members, pairs.unionByName(own)
+def _least_overlap(n: Column, low: Column, high: Column) -> Column:
+    """Prefix shingles that a set of ``n`` shares at least with a set of low to high that it links to.
+
+    A link needs ceil(0.85 (n + m) / 1.85) common shingles, so all but few of the shingles of the
+    prefix that ends first are common, and all those are in both prefixes. One less is asked for, as
+    rounding moves the bound by one. Null where no size of the range allows a link.
+    """
+    up = lambda x, y: F.ceil(x / y).cast("bigint")
+    lo, hi = F.greatest(low, up(n * PERCENT, 100)), F.least(high, F.floor(n * 100 / PERCENT))
+    need = lambda m, own: up((n + m) * PERCENT, 100 + PERCENT) - up(own * PERCENT, 100)
+    return F.when(lo <= hi, F.greatest(F.least(need(lo, n), need(hi, hi)), F.lit(1).cast("bigint")))
+
+
+def open_groups(shared: DataFrame) -> DataFrame:
+    """(node, n, own, other): the groups that a set opens; its own group may be among them.
+
+    ``shared`` is (key, node, n): prefix shingles that two sets or more have. The matrix has a cell
+    (key, g) for each group that holds the shingle, with the number of its sets. A set's overlap with
+    a group's union of prefixes bounds its overlap with any member's prefix.
+    """
+    members = staged(shared.groupBy("node").agg(F.min("key").alias("g"), F.max("n").alias("n")), "members")
+    span = members.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    posted = shared.select("key", "node").join(members, "node")
+    posted = staged(posted, "posted")
+    matrix = posted.groupBy("key", "g").agg(F.count(F.lit(1)).alias("sets")).join(span, "g").withColumnRenamed("g", "other")
+    met = posted.withColumnRenamed("g", "own").join(matrix, "key").where((F.col("own") != F.col("other")) | (F.col("sets") > 1))
+    counted = met.groupBy("node", "n", "own", "other", "low", "high").agg(F.count(F.lit(1)).alias("common"))
+    return counted.where(F.col("common") >= _least_overlap(F.col("n"), F.col("low"), F.col("high"))).select("node", "n", "own", "other")
+
+
+def _dealt(opened: DataFrame) -> DataFrame:
+    """(g1, g2, i, j, right, node): for each pair of groups that open each other, pairs of blocks."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    sides = opened.groupBy("own", "other").agg(blocks.alias("k"))
+    back = sides.select(F.col("own").alias("other"), F.col("other").alias("own"), F.col("k").alias("k_other"))
+    rows = opened.join(sides.join(back, ["own", "other"]), ["own", "other"]).withColumn("x", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    x, own, other = F.col("x"), F.col("own"), F.col("other")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("k_other") - 1),
+        lambda j: F.when(own == other, F.struct(F.least(x, j).alias("i"), F.greatest(x, j).alias("j"), (x > j).alias("right")))
+        .when(own < other, F.struct(x.alias("i"), j.alias("j"), F.lit(False).alias("right")))
+        .otherwise(F.struct(j.alias("i"), x.alias("j"), F.lit(True).alias("right"))),
+    )
+    return rows.select("node", F.least(own, other).alias("g1"), F.greatest(own, other).alias("g2"), F.inline(pairs))
 
 
 def links(docs: DataFrame, features: DataFrame) -> DataFrame:
@@ -212,25 +244,12 @@ def links(docs: DataFrame, features: DataFrame) -> DataFrame:
     posted = classes.select("node", "n", F.explode("prefix").alias("key"))
     lists = Window.partitionBy("key")
     shared = posted.withColumn("sets", F.count(F.lit(1)).over(lists)).where("sets > 1").select("key", "node", "n")
-    shared = staged(shared, "shared")
-    members, pairs = _group_pairs(shared)
-    sized = members.groupBy("g").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks")
-    )
-    first = sized.select(F.col("g").alias("g1"), F.col("blocks").alias("k1"))
-    second = sized.select(F.col("g").alias("g2"), F.col("blocks").alias("k2"))
-    dealt = pairs.join(first, "g1").join(second, "g2")
-    dealt = dealt.withColumn("b1", F.explode(F.sequence(F.lit(0), F.col("k1") - 1))).withColumn("b2", F.explode(F.sequence(F.lit(0), F.col("k2") - 1)))
-    dealt = dealt.where("g1 < g2 OR b1 <= b2")
-    pair = F.struct("g1", "b1", "g2", "b2").alias("pair")
-    left = dealt.select(F.col("g1").alias("g"), F.col("b1").alias("block"), F.lit(False).alias("right"), pair)
-    right = dealt.where("g1 < g2 OR b1 < b2").select(F.col("g2").alias("g"), F.col("b2").alias("block"), F.lit(True).alias("right"), pair)
-    placed = members.join(sized, "g").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("g", "block", "node")
-    tasks = placed.join(left.unionByName(right), ["g", "block"]).select("node", "right", F.xxhash64("pair.g1", "pair.b1", "pair.g2", "pair.b2").alias("deal"), "pair.*")
+    opened = staged(open_groups(staged(shared, "shared")), "opened")
+    tasks = staged(_dealt(opened), "tasks")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
-    keys = ["g1", "b1", "g2", "b2"]
+    keys = ["g1", "i", "g2", "j"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = staged(tasks, "tasks").join(texts, "node").select(*keys, "right", "node", "text")
+    rows = tasks.join(texts, "node").select(*keys, "right", "node", "text")
     rows = rows.repartition(parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
