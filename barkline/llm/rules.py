@@ -147,7 +147,16 @@ def _start(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def _attach(rows: DataFrame, estimate: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the estimate of their group; null keys were coalesced, so plain equality will do."""
-    return rows.join(estimate.drop("n"), keys) if keys else rows.crossJoin(F.broadcast(estimate.drop("n")))
+    return rows.join(estimate.drop("n"), keys) if keys else rows.withColumns(_literals(estimate))
+
+
+def _literals(estimate: DataFrame) -> dict[str, Column]:
+    """The one row of an estimate over all rows as literals; empty arrays for an empty table."""
+    e = estimate.first()
+    doubles = lambda values: F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+    p = len(STATS)
+    usable = e is not None and e["mean"] is not None and None not in e["mean"]
+    return {"mean": doubles(e["mean"] if usable else [0.0] * p), "inverse": doubles(e["inverse"] if usable else [0.0] * p * p)}
 
 
 def mcd(rows: DataFrame, keys: list[str], steps: int = STEPS) -> DataFrame:
@@ -157,7 +166,7 @@ def mcd(rows: DataFrame, keys: list[str], steps: int = STEPS) -> DataFrame:
         estimate = staged(estimate, "mcd")
         far = _attach(rows, estimate, keys).withColumn("d2", _distance("mean", "inverse"))
         limit = far.groupBy(*keys).agg(F.percentile_approx("d2", SUPPORT, ACCURACY).alias("limit"))
-        near = (far.join(limit, keys) if keys else far.crossJoin(F.broadcast(limit))).where("d2 <= limit")
+        near = far.join(limit, keys).where("d2 <= limit") if keys else far.where(F.col("d2") <= F.lit(limit.first()["limit"]))
         estimate = _moments(near, keys)
     return staged(estimate, "mcd")
 
@@ -177,8 +186,7 @@ def rule_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -
     fit = rows.where(~F.col("base_failed"))
     own = mcd(fit, keys).where(F.col("n") >= math.ceil(least * SUPPORT))
     pooled = mcd(fit, [])
-    everyone = rows.crossJoin(F.broadcast(pooled.select(F.col("mean").alias("p_mean"), F.col("inverse").alias("p_inverse"))))
-    judged = everyone.join(own.drop("n"), keys, "left")
+    judged = rows.withColumns({f"p_{c}": v for c, v in _literals(pooled).items()}).join(own.drop("n"), keys, "left")
     judged = judged.withColumns({"mean": F.coalesce("mean", "p_mean"), "inverse": F.coalesce("inverse", "p_inverse")})
     judged = judged.withColumn("distance", _distance("mean", "inverse"))
     return judged.select(
