@@ -6,8 +6,8 @@ Documents are sets of hashed 4-word shingles; two link when 100 * intersection >
    one total order, rare first. Any order is exact; this one keeps common passages out of prefixes.
 2. Equal sets become one class. Two sets that link share a shingle among the first
    n - ceil(0.85 n) + 1 of each in that order (their prefixes).
-3. Partition: a class joins the group of its rarest prefix shingle that another class has too.
-   Near copies share it, so they meet in one group.
+3. Partition: a class joins the group of its rarest prefix shingle that another class has too, and of
+   its size within 4 %. Near copies share these, so they meet in one group.
 4. Token-group matrix: which groups hold a prefix shingle. The number of a set's prefix shingles in a
    group's union bounds its overlap with any member; a set opens only the groups that reach what a
    link needs, and two groups meet only with the sets that open the other one.
@@ -39,10 +39,14 @@ from .components import components
 SHINGLE = 4
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 85
-SKETCH = 1 << 20
+#: Hash buckets of the sketch (one byte each when broadcast) and of a row of it.
+SKETCH = 1 << 22
 _ROW = 1 << 12
+_SHIFT = np.uint64(64 - 22)
+#: Sets of a group differ in size by this factor at most, so that the bound on their overlap is tight.
+BAND = 1.04
 #: Sets and shingles of a block.
-BLOCK_SETS = 128
+BLOCK_SETS = 256
 BLOCK_TOKENS = 400_000
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -84,23 +88,23 @@ def digest(tokens: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Quantised counts (8 steps a doubling) of SKETCH hash buckets over all texts; 1 MB."""
+    """Quantised counts (8 steps a doubling) of SKETCH hash buckets over all texts; 4 MB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shingles, some = np.zeros(SKETCH, np.int32), Shingler(), False
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                np.add.at(counts, (shingles(text) >> np.uint64(44)).astype(np.int64), 1)
+                np.add.at(counts, (shingles(text) >> _SHIFT).astype(np.int64), 1)
                 some = True
         if some:
-            rows = counts.reshape(-1, _ROW)
+            rows = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, _ROW)
             at = np.flatnonzero(rows.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([rows[i].tobytes() for i in at], pa.binary())], names=["part", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(_ROW, np.int64)
         for c in table.column("counts").to_pylist():
-            counts += np.frombuffer(c, np.int32)
+            counts += np.frombuffer(c, np.uint16)
         return pa.table({"part": table.column("part")[:1].cast(pa.int32()), "counts": pa.array([quantised(counts).tobytes()], pa.binary())})
 
     def quantised(counts: np.ndarray) -> np.ndarray:
@@ -126,7 +130,7 @@ def shingle_features(docs: DataFrame) -> DataFrame:
                 t = shingles(text)
                 n.append(len(t))
                 sig.append(digest(t) if len(t) else None)
-                key = counts[(t >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(55) | t >> np.uint64(9)
+                key = counts[(t >> _SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(55) | t >> np.uint64(9)
                 first = len(t) - -(-PERCENT * len(t) // 100) + 1 if len(t) else 0
                 order = np.lexsort((t, key))[:first]
                 prefix.append(key[order].astype(np.int64))
@@ -143,6 +147,11 @@ def block_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nd
     """(node, least node it reaches) for links between two blocks of sets, or within one."""
     same = right is None
     right = left if same else right
+    if len(right) == 1 and len(left) == 1:  # the usual pair of near copies
+        (x, s), (y, t) = left[0], right[0]
+        common = len(np.intersect1d(s, t, assume_unique=True))
+        linked = x != y and 100 * common >= PERCENT * (len(s) + len(t) - common)
+        return ([max(x, y)], [min(x, y)]) if linked else ([], [])
 
     def flat(rows):
         return np.concatenate([t for _, t in rows]), np.repeat(np.arange(len(rows)), [len(t) for _, t in rows])
@@ -211,12 +220,15 @@ def open_groups(shared: DataFrame) -> DataFrame:
     (key, g) for each group that holds the shingle, with the number of its sets. A set's overlap with
     a group's union of prefixes bounds its overlap with any member's prefix.
     """
-    members = staged(shared.groupBy("node").agg(F.min("key").alias("g"), F.max("n").alias("n")), "members")
+    band = F.floor(F.log(F.col("n").cast("double")) / np.log(BAND))
+    members = shared.groupBy("node").agg(F.min("key").alias("first"), F.max("n").alias("n"))
+    members = staged(members.select("node", "n", F.xxhash64("first", band).alias("g")), "members")
     span = members.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     posted = shared.select("key", "node").join(members, "node")
     posted = staged(posted, "posted")
     matrix = posted.groupBy("key", "g").agg(F.count(F.lit(1)).alias("sets")).join(span, "g").withColumnRenamed("g", "other")
     met = posted.withColumnRenamed("g", "own").join(matrix, "key").where((F.col("own") != F.col("other")) | (F.col("sets") > 1))
+    met = met.where((F.col("high") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("low") * PERCENT))
     counted = met.groupBy("node", "n", "own", "other", "low", "high").agg(F.count(F.lit(1)).alias("common"))
     return counted.where(F.col("common") >= _least_overlap(F.col("n"), F.col("low"), F.col("high"))).select("node", "n", "own", "other")
 
