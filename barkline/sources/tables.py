@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Region in a file name such as ``datafile_chr1:5-9.csv`` (a dash or underscore may replace the colon).
+#: Region in a file name such as ``families_chr1_5-9.json``; Hadoop cannot read names with a colon.
 _NAME = r"(chr[^:_/-]+)[:_-](\d+)[-_](\d+)"
 
 CONSENSUS = (

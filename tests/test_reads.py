@@ -161,7 +161,7 @@ def test_settings(tmp_path):
 
 def test_tables(spark, tmp_path, files):
     assert [tuple(r) for r in tables.bed(spark, str(files / "x.bed")).collect()] == [("chr1", 10, 20), ("chr2", 100, 110)]
-    (tmp_path / "chr1:5-9.json").write_text('{"AC": {"parent": "AC", "positions": {"chr1:7": 3}}, "AG": {"parent": "AC", "positions": {"chr1:7": 3}}}')
+    (tmp_path / "chr1_5-9.json").write_text('{"AC": {"parent": "AC", "positions": {"chr1:7": 3}}, "AG": {"parent": "AC", "positions": {"chr1:7": 3}}}')
     groups, families = tables.families_json(spark, str(tmp_path))
     assert sorted(map(tuple, groups.collect())) == [("chr1:5-9", "AC", "AC"), ("chr1:5-9", "AG", "AC")]
     assert [tuple(r) for r in families.collect()] == [("chr1:5-9", "AC", 7, 3)]
