@@ -27,6 +27,7 @@ import base64
 import hashlib
 import heapq
 import json
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ from .common import SEED, col
 
 CHUNK = 30_000_000
 HEAD_CHARS = 60_000_000
-HEAD_WORDS = 500_000
+HEAD_WORDS = 300_000
 LONG = 192
 
 #: Bits of an id in a packed pair, and sizes of the hash table (powers of two).
@@ -63,12 +64,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class RankMap:
     """The ranks of pairs of ids as literals of Spark expressions.
 
-    A slot holds (a + 1, b + 1, rank) packed; exclusive or with the pair asked for leaves the rank if
-    it is that pair, and a number of more than ID_BITS bits otherwise.
+    A pair is the number a * 2^ID_BITS + b. A slot holds (a + 1, b + 1, rank) packed; exclusive or with
+    the pair asked for leaves the rank if it is that pair, and more than ID_BITS bits otherwise.
     """
 
-    #: Multipliers of the two hashes of a pair.
-    A, B, C, D = 0x9E3779B97F, 0xC2B2AE3D27, 0x85EBCA6B1D, 0xD6E8FEB863
+    #: Multipliers of the two hashes of a pair; of a size that products stay below 2^63.
+    A, C = 0x3779B9, 0x2BCA6B
 
     def __init__(self, ranks: dict[bytes, int]):
         if sorted(ranks.values()) != list(range(len(ranks))) or any(bytes([b]) not in ranks for b in range(256)) or len(ranks) >= _NONE - 1:
@@ -89,9 +90,10 @@ class RankMap:
     def table(self, pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
         """(packed slots, displacement of each group); the first multiplier is stepped until groups have no clash."""
         ab, r = np.array(list(pairs), np.int64).reshape(-1, 2), list(pairs.values())
-        group = (ab[:, 0] * self.C + ab[:, 1] * self.D >> 22) & (GROUPS - 1)
+        pair = (ab[:, 0] << ID_BITS) + ab[:, 1]
+        group = (pair * self.C >> 19) & (GROUPS - 1)
         while True:
-            base = (ab[:, 0] * self.A + ab[:, 1] * self.B >> 20) & (SLOTS - 1)
+            base = (pair * self.A >> 22) & (SLOTS - 1)
             if len(np.unique(group * SLOTS + base)) == len(ab):
                 break
             self.A += 2
@@ -108,12 +110,12 @@ class RankMap:
                 slots[at + d & (SLOTS - 1)] = packed
         return slots, shifts
 
-    def rank(self, a: Column, b: Column) -> Column:
+    def rank(self, pair: Column) -> Column:
         """The rank of a pair of ids; _NONE or more if it has none."""
         long = lambda x: F.lit(x).cast("bigint")
-        group = F.shiftright(a * self.C + b * self.D, 22).bitwiseAND(long(GROUPS - 1)).cast("int")
-        at = (F.shiftright(a * self.A + b * self.B, 20) + F.get(self.shifts, group)).bitwiseAND(long(SLOTS - 1)).cast("int")
-        return F.get(self.slots, at).bitwiseXOR((a + 1) * (1 << 2 * ID_BITS) + (b + 1) * _NONE)
+        group = F.shiftright(pair * long(self.C), 19).bitwiseAND(long(GROUPS - 1)).cast("int")
+        at = (F.shiftright(pair * long(self.A), 22) + F.get(self.shifts, group)).bitwiseAND(long(SLOTS - 1)).cast("int")
+        return F.get(self.slots, at).bitwiseXOR((pair + long(_NONE + 1)) * long(_NONE))
 
     def encode(self, word: Column) -> Column:
         """Ids of a word given as an array of byte values: a fold that merges one pair a step.
@@ -127,8 +129,8 @@ class RankMap:
             ids, ranks, least = acc["ids"], acc["ranks"], F.array_min(acc["ranks"])
 
             def merged(m: Column, p: Column) -> Column:
-                sides = F.array(F.struct(F.get(ids, p - 2).alias("a"), m.alias("b")), F.struct(m.alias("a"), F.get(ids, p + 1).alias("b")))
-                renewed = F.filter(F.transform(sides, lambda s: self.rank(s["a"], s["b"])), lambda r: r.isNotNull())
+                sides = F.array(F.get(ids, p - 2) * _NONE + m, m * _NONE + F.get(ids, p + 1))
+                renewed = F.filter(F.transform(sides, self.rank), lambda r: r.isNotNull())
                 return F.struct(
                     F.concat(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, F.size(ids))).alias("ids"),
                     F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), renewed, F.slice(ranks, p + 2, F.size(ranks))).alias("ranks"),
@@ -175,12 +177,32 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
+_numbered: dict[str, "Numbered"] = {}
+
+
+def numbered(key: str, ranks: dict[bytes, int], head: list[str]) -> "Numbered":
+    """Numbers of the tokens that are text, then of the dictionary; one a worker process and run."""
+    if key not in _numbered:
+        known = {}
+        for t, r in ranks.items():
+            try:
+                known[t.decode()] = r
+            except UnicodeDecodeError:
+                continue
+        known.update(zip(head, range(len(ranks), len(ranks) + len(head)), strict=True))
+        _numbered.clear()
+        _numbered[key] = Numbered(known, len(ranks) + len(head))
+    got = _numbered[key]
+    got.forget()  # what a failed task may have left
+    return got
+
+
 class Numbered(dict):
     """Word -> number. Words that it doesn't know get the next numbers and are listed in ``new``."""
 
-    def __init__(self, known: dict[str, int]):
+    def __init__(self, known: dict[str, int], first: int):
         super().__init__(known)
-        self.first, self.new = len(known), []
+        self.first, self.new = first, []
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
@@ -200,8 +222,9 @@ def _lists(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
 
 
-def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[list[str], list[list[int]]]:
-    """The dictionary: the most frequent words of a bounded sample and their ids, by the fold."""
+def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The dictionary: the most frequent words of a bounded sample, their ids one after another, and
+    the number of ids of each; by the fold."""
     total = docs.agg(F.sum(F.length("in_text"))).first()[0] or 0
     share = min(1.0, HEAD_CHARS / max(total, 1))
     sample = docs.where(F.pmod(F.xxhash64("in_text", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * share)).select("in_text")
@@ -223,10 +246,11 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
 
     counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("bigint"))
-    coded = top.repartition(parts, "word").select("word", table.encode(values).alias("ids")).toArrow()
-    return coded.column("word").to_pylist(), coded.column("ids").to_pylist()
+    coded = top.repartition(parts, "word").select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
+    ids = coded.column("ids").combine_chunks()
+    return coded.column("word").to_pylist(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
 
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -238,48 +262,32 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     ranks = load_ranks(rank_path)
     table = RankMap(ranks)
     named = docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("in_text"))
-    head, head_ids = head_words(named, ranks, table, pattern)
-    sc = docs.sparkSession.sparkContext
-    flat = np.fromiter((x for i in head_ids for x in i), np.int32)
-    sent = sc.broadcast((ranks, head, flat, np.array([len(i) for i in head_ids], np.int64)))
+    sent = docs.sparkSession.sparkContext.broadcast((ranks, *head_words(named, ranks, table, pattern)))
+    run_id = uuid.uuid4().hex
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
 
-    def known() -> dict[str, int]:
-        """Numbers of the tokens that are text, then of the dictionary; tokens that aren't leave gaps."""
-        ranks, head, _, _ = sent.value
-        out = {f"\ud800{r}": r for r in range(len(ranks))}  # gaps keep the numbering dense
-        for t, r in ranks.items():
-            try:
-                word = t.decode()
-            except UnicodeDecodeError:
-                continue
-            del out[f"\ud800{r}"]
-            out[word] = r
-        for k, w in enumerate(head):
-            out[w] = len(ranks) + k
-        return out
-
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, words, ranks = regex.compile(pattern).findall, Numbered(known()), sent.value[0]
-        held, rows, sizes, codes, chars = [], 0, [], [], 0
+        ranks, head = sent.value[:2]
+        split, words = regex.compile(pattern).findall, numbered(run_id, ranks, head)
+        sizes, codes, chars = [], [], 0
+        blob = pa.BufferOutputStream()
+        sink = pa.ipc.new_stream(blob, arrow_in)
 
         def out() -> pa.RecordBatch:
-            nonlocal held, rows, sizes, codes, chars
+            nonlocal sizes, codes, chars, blob, sink
             new = [w.encode() for w in words.new]
             long = {k: merge_long(w, ranks) for k, w in enumerate(new) if len(w) > LONG}
             plain = [b"" if k in long else w for k, w in enumerate(new)]
-            blob = pa.BufferOutputStream()
-            with pa.ipc.new_stream(blob, arrow_in) as sink:
-                for b in held:
-                    sink.write_batch(b)
+            sink.close()
             row = [
                 pa.array([blob.getvalue().to_pybytes()], pa.binary()), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
                 pa.array([np.concatenate(codes).tobytes() if codes else b""], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), _lists(plain)), pa.array([json.dumps(list(long.items()))]),
             ]
             words.forget()
-            held, rows, sizes, codes, chars = [], 0, [], [], 0
+            sizes, codes, chars, blob = [], [], 0, pa.BufferOutputStream()
+            sink = pa.ipc.new_stream(blob, arrow_in)
             return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long"])
 
         for batch in batches:
@@ -290,7 +298,8 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                     codes.append(code)
                     sizes.append(len(code))
                     chars += len(text)
-                held.append(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in) if kept else part.select([]))
+                # written at once: a kept column would hold the whole batch's memory
+                sink.write_batch(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in))
                 if chars > CHUNK:
                     yield out()
         if sizes:
