@@ -306,12 +306,14 @@ def assert_coded(rows, enc):
         assert r["decoded_sha256"] == hashlib.sha256((r["t"] or "").encode()).hexdigest()
 
 
-def test_bpe_equals_tiktoken(spark, documents, odd, none):
+def test_bpe_equals_tiktoken(spark, documents, odd, none, monkeypatch):
     ranks, pattern, path, enc = tiktoken_encoding()
     rng = random.Random(4)
     hard = ["".join(rng.choice("aeiouxyzABé中😀 '\n\t09_- 　") for _ in range(rng.randrange(1, 400))) for _ in range(60)]
     hard += ["x" * 191, "x" * 192, "x" * 193, "ab" * 700, "'s 're  don't", "á​", "\x1c\x1d", "日本語テキスト" * 40]
     extra = spark.createDataFrame([(k, t) for k, t in enumerate(hard)], "doc_id long, text string")
+    monkeypatch.setattr(bpe, "HEAD_WORDS", 500)  # most words take the fold of their chunk
+    monkeypatch.setattr(bpe, "CHUNK", 100_000)
     for df in (documents.select("doc_id", "text"), extra, odd.select("doc_id", "text")):
         got = bpe.round_trip(df.withColumn("t", F.col("text")), path, pattern, whole=True).collect()
         assert len(got) == df.count()
@@ -320,7 +322,7 @@ def test_bpe_equals_tiktoken(spark, documents, odd, none):
     assert bpe.round_trip(none, path, pattern).count() == 0
 
 
-def test_long_words_and_hash_table():
+def test_long_words_and_pair_table():
     ranks, _, _, enc = tiktoken_encoding()
     rng = random.Random(5)
     for n in (1, 2, 30, 400):
@@ -328,8 +330,14 @@ def test_long_words_and_hash_table():
         assert enc.decode_bytes(bpe.merge_long(w, ranks)) == w
     t = "thequickbrown" * 50
     assert bpe.merge_long(t.encode(), ranks) == enc.encode_ordinary(t)
-    shifts, slots = bpe.hash_table(ranks)
-    assert sorted(s for s in slots if s >= 0) == list(range(len(ranks))) and len(shifts) == bpe.GROUPS
+    pairs = {(rng.randrange(50_000), rng.randrange(50_000)): r for r in range(5000)}
+    m = bpe.RankMap.__new__(bpe.RankMap)
+    slots, shifts = m.table(pairs)
+    for (a, b), r in pairs.items():
+        pair = (a << bpe.ID_BITS) + b
+        at = (pair * m.A >> 22) + shifts[pair * m.C >> 19 & (bpe.GROUPS - 1)] & (bpe.SLOTS - 1)
+        assert slots[at] ^ (pair + bpe._NONE + 1) * bpe._NONE == r
+    assert sum(x != 0 for x in slots) == len(pairs)
 
 
 # -- 6: sharding ---------------------------------------------------------------------------------
