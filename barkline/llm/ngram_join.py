@@ -164,6 +164,9 @@ def block_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nd
         shared = times[of] > 1
         l_open = 100 * np.bincount(lo, weights=shared, minlength=len(left)) >= PERCENT * ln
         r_open = l_open
+        # a shingle of one set alone adds to no overlap with another; the diagonal is a link anyway
+        lt, lo = lt[shared], lo[shared]
+        rt, ro = lt, lo
     else:
         l_open = 100 * np.bincount(lo, weights=np.isin(lt, rt), minlength=len(left)) >= PERCENT * ln
         r_open = 100 * np.bincount(ro, weights=np.isin(rt, lt[l_open[lo]]), minlength=len(right)) >= PERCENT * rn
