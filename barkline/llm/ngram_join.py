@@ -6,8 +6,8 @@ Documents are sets of hashed 4-word shingles; two link when 100 * intersection >
    one total order, rare first. Any order is exact; this one keeps common passages out of prefixes.
 2. Equal sets become one class. Two sets that link share a shingle among the first
    n - ceil(0.85 n) + 1 of each in that order (their prefixes).
-3. Partition: a class joins the group of its rarest prefix shingle that another class has too, and of
-   its size within 4 %. Near copies share these, so they meet in one group.
+3. Partition: a class joins the group of the prefix shingle that most classes have too, and of its size
+   within 4 %. Most of a large group of near copies share these, so they meet in few groups.
 4. Token-group matrix: which groups hold a prefix shingle. The number of a set's prefix shingles in a
    group's union bounds its overlap with any member; a set opens only the groups that reach what a
    link needs, and two groups meet only with the sets that open the other one.
@@ -219,13 +219,13 @@ def _least_overlap(n: Column, low: Column, high: Column) -> Column:
 def open_groups(shared: DataFrame) -> DataFrame:
     """(node, n, own, other): the groups that a set opens; its own group may be among them.
 
-    ``shared`` is (key, node, n): prefix shingles that two sets or more have. The matrix has a cell
+    ``shared`` is (key, sets, node, n): prefix shingles that two sets or more have, and how many. The matrix has a cell
     (key, g) for each group that holds the shingle, with the number of its sets. A set's overlap with
     a group's union of prefixes bounds its overlap with any member's prefix.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(BAND))
-    members = shared.groupBy("node").agg(F.min("key").alias("first"), F.max("n").alias("n"))
-    members = staged(members.select("node", "n", F.xxhash64("first", band).alias("g")), "members")
+    members = shared.groupBy("node").agg(F.max(F.struct("sets", "key")).alias("top"), F.max("n").alias("n"))
+    members = staged(members.select("node", "n", F.xxhash64("top.key", band).alias("g")), "members")
     span = members.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     posted = shared.select("key", "node").join(members, "node")
     posted = staged(posted, "posted")
@@ -258,13 +258,14 @@ def links(docs: DataFrame, features: DataFrame) -> DataFrame:
     classes = known.groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     posted = classes.select("node", "n", F.explode("prefix").alias("key"))
     lists = Window.partitionBy("key")
-    shared = posted.withColumn("sets", F.count(F.lit(1)).over(lists)).where("sets > 1").select("key", "node", "n")
+    shared = posted.withColumn("sets", F.count(F.lit(1)).over(lists)).where("sets > 1").select("key", "sets", "node", "n")
     opened = staged(open_groups(staged(shared, "shared")), "opened")
     tasks = staged(_dealt(opened), "tasks")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
     keys = ["g1", "i", "g2", "j"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = tasks.join(texts, "node").select(*keys, "right", "node", "text")
+    # merged at any size: the tasks grow with the corpus, so they are never broadcast
+    rows = tasks.hint("merge").join(texts, "node").select(*keys, "right", "node", "text")
     rows = rows.repartition(parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
