@@ -7,6 +7,10 @@ Base kinds: ``assign`` (a name such as password or api_key, a sign, a value), ``
 * ``sshkey``: base64 that decodes to an SSH key (magic or algorithm name, nested 4-byte lengths),
 * ``jwt``: three base64url parts whose first decodes to a JSON object with ``alg``.
 
+A base64 key starts at a line's run of 40 or more base64 characters and goes on over lines of any
+length, indented or not, for as many characters as its own header states; there a run must end. So
+neither a short last line nor what follows on the next line changes what is found.
+
 Spans are code points, end exclusive. A null text is empty and has no spans. The whole text is
 searched; memory is that of one text.
 """
@@ -31,11 +35,18 @@ KINDS = ("assign", "access", "hex", "der", "sshkey", "jwt")
 _ASSIGN = re.compile(r"""(?ia:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
+#: The first line of a base64 key: what a SEQUENCE, a public SSH key and openssh-key-v1 begin with.
+_START = re.compile(r"(?<![A-Za-z0-9+/])(?=M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{40,}")
+_LINES = re.compile(r"[A-Za-z0-9+/]+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/]+)*")
+_LINE = re.compile(r"[A-Za-z0-9+/]+")
+#: Lines of a key whose stated length is not in the text.
 _B64 = re.compile(r"[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]{16,})*={0,2}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 _SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
+#: Strings of a public key by its algorithm.
+_SSH_PARTS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-nistp256": 3, b"ecdsa-sha2-nistp384": 3, b"ecdsa-sha2-nistp521": 3}
 
 
 def _der_length(data: bytes, at: int) -> tuple[int, int] | None:
@@ -92,6 +103,91 @@ def _unb64(part: str) -> bytes | None:
         return None
 
 
+def _der_total(head: bytes) -> int:
+    """The length that a SEQUENCE states, header included; 0 if its first element can't be a key's."""
+    if len(head) < 7:
+        return 0
+    n, at = head[1], 2
+    if n >= 0x80:
+        k = n & 0x7F
+        if not 1 <= k <= 4:
+            return 0
+        n, at = int.from_bytes(head[2 : 2 + k], "big"), 2 + k
+    return at + n if head[0] == 0x30 and head[at] in (0x02, 0x30) else 0
+
+
+def _ssh_totals(data: bytes) -> list[int]:
+    """Lengths of the SSH key that ``data`` may begin with, the likeliest first."""
+    private = data.startswith(b"openssh-key-v1\0")
+    at, parts, left, ends, name = 15 if private else 0, 0, None, [], b""
+    while at + 4 <= len(data):
+        n = int.from_bytes(data[at : at + 4], "big")
+        if private and parts == 3 and left is None:  # how many public keys come before the private part
+            at, left = at + 4, n + 1
+            continue
+        if at + 4 + n > len(data):
+            break
+        name = name or data[at + 4 : at + 4 + n]
+        at, parts = at + 4 + n, parts + 1
+        if private and left is not None:
+            left -= 1
+            if left == 0:
+                return [at]
+        elif not private and parts >= 2:
+            if parts == _SSH_PARTS.get(name):
+                return [at]
+            ends.append(at)
+    return ends[::-1]
+
+
+def _encoded_keys(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind as an index) of base64 keys, over any number of lines."""
+    found: list[tuple[int, int, int]] = []
+    done = run_end = 0
+    for m in _START.finditer(text):
+        start = m.start()
+        if start < done:
+            continue
+        if start >= run_end:
+            run_end = _LINES.match(text, start).end()
+            chars, offsets, ends = [], {}, {}
+            n = 0
+            for line in _LINE.finditer(text, start, run_end):
+                offsets[line.start()] = n
+                chars.append(line[0])
+                n += len(line[0])
+                ends[n] = line.end()
+            chars = "".join(chars)
+        at = offsets[start]
+
+        def upto(total: int) -> int | None:
+            """Where the text of ``total`` bytes from here ends, if a line's run ends there too."""
+            return ends.get(at + (4 * total + 2) // 3)  # noqa: B023
+
+        head = base64.b64decode(chars[at : at + 40])
+        kind, end = 0, None
+        if head[0] == 0x30:
+            total = _der_total(head)
+            if total and (end := upto(total)) and is_der(_unb64(chars[at : at + (4 * total + 2) // 3])):
+                kind = 3
+        elif head.startswith(b"openssh-key-v1\0") or head[4:].startswith(_SSH_NAMES):
+            rest = len(chars) - at
+            data = _unb64(chars[at : at + rest - (rest % 4 == 1)])
+            end = next((e for t in _ssh_totals(data) if (e := upto(t))), None)
+            if end:
+                kind = 4
+            elif head.startswith(b"openssh-key-v1\0"):
+                cut = _B64.match(text, start)
+                if (data := _unb64(cut[0])) and is_ssh_key(data):
+                    kind, end = 4, cut.end()
+        if kind:
+            done = end
+            while done < min(len(text), end + 2) and text[done] == "=":
+                done += 1
+            found.append((start, done, kind))
+    return found
+
+
 def is_signed_token(token: str) -> bool:
     """A first part that decodes to a JSON object with a string ``alg``."""
     head = token.split(".")[0]
@@ -109,12 +205,7 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), m.end(), 1) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(m.start(), m.end(), 2) for m in _HEX.finditer(text)]
-    for m in _B64.finditer(text):
-        if data := _unb64(m[0]):
-            if is_der(data):
-                found.append((m.start(), m.end(), 3))
-            elif is_ssh_key(data):
-                found.append((m.start(), m.end(), 4))
+    found += _encoded_keys(text)
     for m in _ANY_HEX.finditer(text):
         if len(m[0]) % 2 == 0 and is_der(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), 3))
