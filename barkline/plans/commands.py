@@ -146,7 +146,7 @@ def merge(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
     if kind == "datafiles":
         return mg.merge_rows([tables.datafile(spark, p).withColumns({"contig": F.split("region", ":")[0], "start": F.regexp_extract("region", r":(\d+)-", 1).cast("bigint")}) for p in paths])
     if kind == "umifiles":
-        return mg.merge_rows([tables.families_json(spark, p)[1].withColumn("contig", F.split("region", ":")[0]) for p in paths], "contig", "fam_pos")
+        return mg.merge_rows([tables.umi_relations(spark, p).withColumn("contig", F.split("region", ":")[0]) for p in paths], "contig", "fam_pos")
     if kind == "consensusfiles":
         rows = [tables.consensus(spark, p).withColumn("file", F.col("_metadata.file_path")) for p in paths]
         every = rows[0]

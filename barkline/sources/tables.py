@@ -22,6 +22,25 @@ def region_of_file() -> Column:
     return F.concat(F.regexp_extract(name, _NAME, 1), F.lit(":"), F.regexp_extract(name, _NAME, 2), F.lit("-"), F.regexp_extract(name, _NAME, 3))
 
 
+def _documents(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(region, m) of JSON region files: an object a line, as the sinks write, or one over many lines.
+
+    The lines of a file that has one that is no object by itself are put together again; the region is
+    that of the partition folder ``region=...``, else that of the file's name.
+    """
+    file = F.col("_metadata.file_path")
+    # a path is a URI whose folder names are escaped once more; a plus stands for itself
+    plain = F.regexp_replace(F.regexp_extract(file, "region=([^/]+)/", 1), r"\+", "%2B")
+    region = F.coalesce(F.nullif(F.try_url_decode(F.regexp_replace(F.try_url_decode(plain), r"\+", "%2B")), F.lit("")), region_of_file())
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("k"))
+    lines = spark.read.text(path).select(region.alias("region"), file.alias("file"), at.alias("at"), "value").where("trim(value) <> ''")
+    lines = lines.withColumn("m", F.from_json("value", kind))
+    over = lines.where("m IS NULL").select("file").distinct()
+    whole = lines.join(over, "file", "left_semi").groupBy("file", "region").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("x"))
+    whole = whole.select("region", F.from_json(F.array_join("x.value", "\n"), kind).alias("m"))
+    return lines.join(over, "file", "left_anti").select("region", "m").unionByName(whole)
+
+
 def bed(spark: SparkSession, path: str) -> DataFrame:
     """(contig, start, end): 0-based half-open from lines that start with chr (1-based inclusive)."""
     f = F.split(F.trim("value"), r"\s+")
@@ -53,10 +72,20 @@ def consensus_alleles(table: DataFrame) -> DataFrame:
     )
 
 
+def _umis(spark: SparkSession, path: str) -> DataFrame:
+    """(region, umi, x) out of region files: {umi: {parent, positions: {"chr:pos": count}}}."""
+    return _documents(spark, path, "map<string,struct<parent:string,positions:map<string,bigint>>>").select("region", F.explode("m").alias("umi", "x"))
+
+
+def umi_relations(spark: SparkSession, path: str) -> DataFrame:
+    """(region, umi, parent, fam_pos, fam_n): each barcode of the region files at each position of its family."""
+    rows = _umis(spark, path).select("region", "umi", F.col("x.parent").alias("parent"), F.explode_outer("x.positions").alias("at", "fam_n"))
+    return rows.select("region", "umi", "parent", F.element_at(F.split("at", ":"), -1).cast("bigint").alias("fam_pos"), "fam_n")
+
+
 def families_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(groups, families) out of region files: {umi: {parent, positions: {"chr:pos": count}}}."""
-    raw = spark.read.text(path, wholetext=True).select(region_of_file().alias("region"), F.from_json("value", "map<string,struct<parent:string,positions:map<string,bigint>>>").alias("m"))
-    umis = raw.select("region", F.explode("m").alias("umi", "x"))
+    umis = _umis(spark, path)
     groups = umis.select("region", "umi", F.col("x.parent").alias("parent"))
     own = umis.where("umi = x.parent").select("region", F.col("umi").alias("parent"), F.explode("x.positions").alias("at", "fam_n"))
     return groups, own.select("region", "parent", F.element_at(F.split("at", ":"), -1).cast("bigint").alias("fam_pos"), "fam_n")
@@ -64,7 +93,7 @@ def families_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 def positions_json(spark: SparkSession, path: str) -> DataFrame:
     """(region, parent, umi, pos, n) out of {parent: {umi: {"chr:pos": count}}}."""
-    raw = spark.read.text(path, wholetext=True).select(region_of_file().alias("region"), F.from_json("value", "map<string,map<string,map<string,bigint>>>").alias("m"))
+    raw = _documents(spark, path, "map<string,map<string,map<string,bigint>>>")
     rows = raw.select("region", F.explode("m").alias("parent", "a")).select("region", "parent", F.explode("a").alias("umi", "b")).select("region", "parent", "umi", F.explode("b").alias("at", "n"))
     return rows.select("region", "parent", "umi", F.element_at(F.split("at", ":"), -1).cast("bigint").alias("pos"), "n")
 

@@ -1,6 +1,7 @@
 """Golden cases: expansion of alignments, SAM and BAM readers, FASTQ preprocessing, commands."""
 
 import gzip
+import json
 import struct
 import zlib
 
@@ -169,6 +170,32 @@ def test_tables(spark, tmp_path, files):
     assert [tuple(r) for r in tables.coverage(spark, str(tmp_path / "cov.yml")).collect()] == [("chr1:5-9", 4.5)]
 
 
+def test_umi_files_come_back(spark, tmp_path):
+    from barkline.operators import sinks
+
+    groups = [(r, u, u[:3] + "A") for r in ("chr1:5-9", "chr2:1-90", "GL+1_2:3-4") for u in ("AAAA", "AAAC", "CCCA", "CCCT", "GGGA")]
+    families = [(r, p, k, k + n) for r in ("chr1:5-9", "chr2:1-90", "GL+1_2:3-4") for n, p in enumerate(("AAAA", "CCCA", "GGGA")) for k in (5, 7)]
+    positions = [(r, p, u, k, 2) for r, u, p in groups for k in (5, 8)]
+    g = spark.createDataFrame(groups, "region string, umi string, parent string").coalesce(1)
+    f = spark.createDataFrame(families, "region string, parent string, fam_pos bigint, fam_n bigint").coalesce(1)
+    sinks.families_json(g, f, f"{tmp_path}/families")
+    sinks.positions_json(spark.createDataFrame(positions, "region string, parent string, umi string, pos bigint, n bigint").coalesce(1), f"{tmp_path}/positions")
+    back = tables.families_json(spark, f"{tmp_path}/families")
+    assert [sorted(map(tuple, x.collect())) for x in back] == [sorted(groups), sorted(families)]
+    assert sorted(map(tuple, tables.positions_json(spark, f"{tmp_path}/positions").collect())) == sorted(positions)
+    # one region's folder alone, and a file of several lines an object as json.dump(indent=4) writes it
+    (one,) = [str(p) for p in (tmp_path / "families").iterdir() if "chr2" in p.name]
+    (tmp_path / "more").mkdir()
+    doc = {u: {"parent": "TTTT", "positions": {"chr3:7": 3, "chr3:9": 1}} for u in ("TTTT", "TTTG")}
+    (tmp_path / "more/chr3_5-9.json").write_text(json.dumps(doc, sort_keys=True, indent=4))
+    got = commands.merge(spark, [one, f"{tmp_path}/more"], "umifiles").select("region", "umi", "parent", "fam_pos", "fam_n").collect()
+    at = {(r, p): [] for r, p, *_ in families}
+    for r, p, k, n in families:
+        at[r, p].append((k, n))
+    want = [(r, u, p, k, n) for r, u, p in groups if r == "chr2:1-90" for k, n in at[r, p]]
+    assert sorted(map(tuple, got)) == sorted(want + [("chr3:5-9", u, "TTTT", k, n) for u in ("TTTT", "TTTG") for k, n in ((7, 3), (9, 1))])
+
+
 def test_streaming_equals_batch(spark, sf_dir, tmp_path):
     from barkline.operators import grouping as gp
     from barkline.plans import views
