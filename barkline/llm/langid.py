@@ -5,8 +5,9 @@ fixed penalty. Per-word scores are log-likelihoods of the word's marked characte
 candidate. Viterbi over a text's words, with a penalty for each change of language, labels spans; the
 text's language is the one with most letters, its score the share of letters in its spans.
 
-A text in which no language ever gains more than the penalty over the best single one has a constant
-best path; that is tested with running sums, and only other texts need the step-by-step search.
+Where no span of a language gains more than the penalty over the best single one, a better path has to
+do without that one; it can't if the best prefix and the best suffix gain no more than the penalty
+together. Then the best path is constant; running sums test it, and other texts are searched by steps.
 
 Training reads about ``per_language`` texts a language, drawn by hashed id. Edge cases: a null text,
 or one without a letter, gives ``und`` and score 0; ties go to the first language in order; without
@@ -120,7 +121,10 @@ def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, k)), gain[:-1]]), axis=0)
     if (gain - low).max(initial=0.0) <= penalty:
-        return np.full(n, best)
+        # without ``best``, m spans gain at most prefix + suffix + (m - 2) * penalty, less (m - 1) * penalty
+        prefix, suffix = gain[:-1].max(initial=0.0), (gain[-1] - gain[:-1]).max(initial=0.0)
+        if prefix + suffix <= penalty:
+            return np.full(n, best)
     value, back = scores[0].copy(), np.zeros((n, k), np.int32)
     stay = np.arange(k)
     for t in range(1, n):

@@ -107,6 +107,20 @@ def test_viterbi_is_the_best_path():
         assert abs(score(langid.viterbi(s, 3.0).tolist()) - best) < 1e-9
 
 
+def test_viterbi_without_the_best_language():
+    assert langid.viterbi(np.array([[0.0, 8, -20], [0, -20, 8]]), 9.0).tolist() == [1, 2]
+    rng = np.random.default_rng(5)
+    shortcut = 0
+    for _ in range(400):
+        n, k = int(rng.integers(1, 6)), 4
+        s = rng.normal(0, 5, (n, k))
+        score = lambda p: sum(s[t, p[t]] for t in range(n)) - 9.0 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: E731, B023
+        got = langid.viterbi(s, 9.0).tolist()
+        shortcut += len(set(got)) == 1
+        assert abs(score(got) - max(score(p) for p in np.ndindex(*[k] * n))) < 1e-9
+    assert 100 < shortcut < 400
+
+
 @pytest.mark.parametrize("kind", ["odd", "none"])
 def test_scorers_on_odd_rows(spark, request, kind):
     df = request.getfixturevalue(kind)
