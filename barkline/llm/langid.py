@@ -1,5 +1,7 @@
 """Language identification of spans: script ranges, per-word scores, Viterbi with a switching penalty.
 
+A word here is a run of letters of one script; runs are split where the script changes, and into pieces
+of at most MOST_LETTERS, all of which are scored: text without spaces is labelled piece by piece.
 A word's script narrows the languages to those that were seen with it in training; others get a
 fixed penalty. Per-word scores are log-likelihoods of the word's marked character n-grams under each
 candidate. Viterbi over a text's words, with a penalty for each change of language, labels spans; the
@@ -37,6 +39,9 @@ FOREIGN = 30.0
 #: Share of a language's training words in a script from which it is a candidate for it.
 CANDIDATE = 0.005
 
+#: Letters of a piece of a run.
+MOST_LETTERS = 40
+
 #: First code points of script ranges.
 SCRIPTS = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -47,7 +52,17 @@ SCRIPTS = (
     (0x20000, "han"), (0x30000, "other"),
 )
 _STARTS = [a for a, _ in SCRIPTS]
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _letters(name: str) -> str:
+    """The character class of letters of a script: letters outside the ranges of all others."""
+    ends = [*_STARTS[1:], 0x110000]
+    others = "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for (a, n), b in zip(SCRIPTS, ends, strict=True) if n != name)
+    return rf"[^\W\d_{others}]"
+
+
+#: Letters of one script, MOST_LETTERS at most; the lookahead keeps other characters from being tried by script.
+_WORD = re.compile(r"(?=[^\W\d_])(?:%s)" % "|".join(f"{_letters(n)}{{1,{MOST_LETTERS}}}" for n in dict.fromkeys(n for _, n in SCRIPTS)))
 
 
 def script(word: str) -> str:
@@ -56,7 +71,7 @@ def script(word: str) -> str:
 
 def grams(word: str) -> list[str]:
     """The word's marked n-grams of 1 to 4 characters, and the word itself."""
-    m = f"<{word[:40].lower()}>"
+    m = f"<{word.lower()}>"
     return [m[i : i + n] for n in (1, 2, 3, 4) for i in range(len(m) - n + 1) if m[i : i + n] not in "<>"] + ["=" + m]
 
 

@@ -107,6 +107,24 @@ def test_viterbi_is_the_best_path():
         assert abs(score(langid.viterbi(s, 3.0).tolist()) - best) < 1e-9
 
 
+def test_runs_without_spaces_are_scored_whole():
+    rng = random.Random(6)
+    zh, ja, la = "的是了在有我他这中大来上国个到说们", "日本語東京都市人年月火水木金", "abcdefghij"
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    model = langid.train([some(zh, 3000), some(ja, 3000), " ".join(some(la, 6) for _ in range(500))], ["zh", "ja", "en"])
+    lab = langid.Labeller(model)
+    start, rest = some(ja, 40), some(zh, 200)
+    assert lab.label(start + rest)[0] == "zh"  # what follows letter 40 counts by its own score
+    assert [s["lang"] for s in lab.spans(start + rest)] == ["ja", "zh"]
+    mixed = some(la, 8) + some(zh, 30)
+    assert lab.label(mixed)[0] == "zh" and lab.spans(mixed)[-1] == {"start": 8, "end": 38, "lang": "zh"}
+    text = "Ünïcode Việt ελληνικά1русский_日本カタカナ " + "x" * 95 + "é"
+    got = langid._WORD.findall(text)
+    assert "".join(got) == "".join(re.findall(r"[^\W\d_]+", text)) and max(map(len, got)) == 40
+    assert got[:7] == ["Ünïcode", "Việt", "ελληνικά", "русский", "日本", "カタカナ", "x" * 40]
+    assert all(len({langid.script(c) for c in w}) == 1 for w in got)
+
+
 def test_viterbi_without_the_best_language():
     assert langid.viterbi(np.array([[0.0, 8, -20], [0, -20, 8]]), 9.0).tolist() == [1, 2]
     rng = np.random.default_rng(5)
