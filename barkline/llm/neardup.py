@@ -2,11 +2,14 @@
 
 1. Equal vectors of a label become one class with a multiplicity, so a group of copies is one row.
 2. Spherical k-means on a bounded sample gives centroids; every class is assigned to its nearest one
-   (its home) and visits the cells whose cosine is within ``margin`` of it. A pair is compared when
-   either end visits the other's home; recall against brute force is tested.
-3. A cell's rows are cut into blocks of bounded size, and blocks are compared pair by pair in double
-   precision. A block pair returns, for each vector, the weight of its links and its least linked
-   vector: rows in proportion to the block, not to the pairs.
+   (its home). For unit vectors x, y with homes c, d the gaps x(c - d) and y(d - c) are not negative and
+   add up to at most |x - y| |c - d|, so one is at most half of that. A class visits each cell whose gap
+   allows it at the threshold, and a pair is compared when either end visits the other's home: no pair
+   at the threshold is missed.
+3. A cell's rows are cut into blocks of bounded size, those at home apart from visitors, and blocks are
+   compared pair by pair in double precision, visitors not with each other. A block pair returns, for
+   each vector, the weight of its links and its least linked vector: rows in proportion to the block,
+   not to the pairs.
 4. Components are least labels over these rows; the least id of a component stays.
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without a label,
@@ -21,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +37,8 @@ SAMPLE = 20_000
 #: Vectors a cell holds on average.
 PER_CELL = 1000
 MOST_CELLS = 4096
-MARGIN = 0.12
+#: Rounding that a visit allows for.
+SLACK = 1e-9
 #: Rows of a block.
 BLOCK = 256
 
@@ -70,57 +75,74 @@ def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return usable, usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m"))
 
 
-def _assign(classes: DataFrame, centroids: np.ndarray, margin: float) -> DataFrame:
-    """(label, cell, home, visits, rep, m, embedding), a row for each cell that a class is in."""
-    sent = classes.sparkSession.sparkContext.broadcast(centroids)
-    dim = centroids.shape[1] if centroids.size else 0
+def _visits(x: np.ndarray, home: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether rows of ``x`` visit the cells of ``other`` centroids from those of ``home``, row by row."""
+    d = home - other
+    return (x * d).sum(1) <= math.sqrt(max(0.0, (1 - threshold) / 2)) * np.sqrt((d * d).sum(1)) + SLACK
+
+
+def _assign(classes: DataFrame, sent: Broadcast, threshold: float) -> DataFrame:
+    """(label, cell, home, rep, m, embedding), a row for each cell that a class is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = sent.value
-        for batch in batches:
-            d = batch.to_pydict()
-            cell, home, visits, take = [], [], [], []
-            for i, v in enumerate(d["embedding"]):
-                if len(v) != dim:
-                    cell.append(-1), home.append(-1), visits.append([-1]), take.append(i)
-                    continue
-                s = c @ _unit([v])[0]
-                h = int(s.argmax())
-                near = np.flatnonzero(s >= s[h] - margin).tolist()
-                for at in near:
-                    cell.append(at), home.append(h), visits.append(near), take.append(i)
-            part = batch.take(pa.array(take, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(cell, pa.int32()), pa.array(home, pa.int32()), pa.array(visits, pa.list_(pa.int32())),
-                 part.column("rep"), part.column("m"), part.column("embedding")],
-                names=["label", "cell", "home", "visits", "rep", "m", "embedding"],
-            )
+        dim = c.shape[1] if c.size else 0
+        reach = math.sqrt(max(0.0, (1 - threshold) / 2))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
+                vectors = batch.column("embedding").to_pylist()
+                fit = [i for i, v in enumerate(vectors) if len(v) == dim]
+                take = [i for i, v in enumerate(vectors) if len(v) != dim]
+                cell, home = [-1] * len(take), [-1] * len(take)
+                if fit:
+                    x = _unit([vectors[i] for i in fit])
+                    s = x @ c.T
+                    h = s.argmax(1)
+                    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (c[h] @ c.T)))
+                    # near enough by fast sums, then by those that _compare takes again
+                    i, at = np.nonzero(s[np.arange(len(h)), h][:, None] - s <= reach * apart + 1e-6)
+                    for part in range(0, len(i), 16384):
+                        pi, pc = i[part : part + 16384], at[part : part + 16384]
+                        ok = _visits(x[pi], c[h[pi]], c[pc], threshold)
+                        take += [fit[k] for k in pi[ok]]
+                        cell += pc[ok].tolist()
+                        home += h[pi[ok]].tolist()
+                for part in range(0, len(take), 4096):
+                    got = batch.take(pa.array(take[part : part + 4096], pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [got.column("label"), pa.array(cell[part : part + 4096], pa.int32()), pa.array(home[part : part + 4096], pa.int32()),
+                         got.column("rep"), got.column("m"), got.column("embedding")],
+                        names=["label", "cell", "home", "rep", "m", "embedding"],
+                    )
 
     label = dict(classes.dtypes)["label"]
     kind = dict(classes.dtypes)["embedding"]
     return classes.select("label", "rep", "m", "embedding").mapInArrow(
-        run, f"label {label}, cell int, home int, visits array<int>, rep bigint, m bigint, embedding {kind}"
+        run, f"label {label}, cell int, home int, rep bigint, m bigint, embedding {kind}"
     )
 
 
-def _compare(cell: int, left: dict, right: dict | None, threshold: float) -> tuple[list, list, list]:
-    """(rep, weight of new links, least linked rep) from one block, or between two blocks of a cell."""
+def _compare(cell: int, left: dict, right: dict | None, threshold: float, c: np.ndarray) -> tuple[list, list, list]:
+    """(rep, weight of new links, least linked rep) from one block, or between two blocks of a cell.
+
+    Rows of ``left`` are at home; rows of ``right`` all are, or all visit.
+    """
     same = right is None
     right = left if same else right
     a, b = _unit(left["embedding"]), _unit(right["embedding"])
     link = (a @ b.T) >= threshold
-    ha, hb = np.array(left["home"]), np.array(right["home"])
-    # a pair meets in the homes of both ends; it counts in the lesser of those where both are present
-    if (ha != cell).any() or (hb != cell).any():
-        for i, j in zip(*np.nonzero(link), strict=True):
-            if ha[i] == cell and hb[j] == cell:
-                continue
-            if ha[i] != cell and hb[j] != cell:
-                link[i, j] = False
-            elif ha[i] == cell:
-                link[i, j] = cell < hb[j] or hb[j] not in left["visits"][i]
-            else:
-                link[i, j] = cell < ha[i] or ha[i] not in right["visits"][j]
+    hb = np.array(right["home"])
+    # a pair may meet in the homes of both ends; it counts in the lesser of those where it does
+    i, j = np.nonzero(link & (hb < cell)[None, :])
+    if len(i):
+        k = len(c)
+        pairs, of = np.unique(i * k + hb[j], return_inverse=True)
+        meets = np.zeros(len(pairs), bool)
+        for at in range(0, len(pairs), 16384):
+            own, other = np.divmod(pairs[at : at + 16384], k)
+            meets[at : at + 16384] = _visits(a[own], c[np.full(len(own), cell)], c[other], threshold)
+        link[i, j] = ~meets[of]
     if same:
         np.fill_diagonal(link, False)
     ra, rb = np.array(left["rep"], np.int64), np.array(right["rep"], np.int64)
@@ -136,7 +158,7 @@ def _compare(cell: int, left: dict, right: dict | None, threshold: float) -> tup
     return out
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN, block: int = BLOCK) -> DataFrame:
+def links(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(rep, n, other): for each block pair and vector, the weight of its links and the least of them."""
     spark = classes.sparkSession
     rows = classes.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep", "label").limit(SAMPLE).select("embedding").toPandas()["embedding"]
@@ -146,31 +168,35 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, margin: float = MARG
     fitted = [v for v in rows if len(v) == dim]
     k = min(MOST_CELLS, max(1, math.ceil(n / PER_CELL)), max(1, len(fitted)))
     centroids = spherical_kmeans(_unit(fitted), k) if fitted else np.zeros((0, 0))
-    cells = staged(_assign(classes, centroids, margin).withColumn("dim", F.size("embedding")), "cells")
+    sent = spark.sparkContext.broadcast(centroids)
+    cells = staged(_assign(classes, sent, threshold).withColumn("dim", F.size("embedding")), "cells")
     group = ["label", "dim", "cell"]
-    blocks = cells.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    placed = cells.join(blocks, group).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
-    # a row of block i is on the left of pairs (i, j >= i) and on the right of pairs (j < i, i)
+    own = F.col("home") == F.col("cell")
+    some = lambda of: F.ceil(F.count_if(of) / block).cast("int")
+    blocks = cells.groupBy(*group).agg(some(own).alias("k"), some(~own).alias("visiting"))
+    at = lambda n: F.pmod(F.xxhash64("rep", F.lit(7)), n).cast("int")
+    placed = cells.join(blocks.where("k > 0"), group).withColumn("block", F.when(own, at(F.col("k"))).otherwise(F.col("k") + at(F.col("visiting"))))
+    # a row of block i is on the left of pairs (i, j >= i) and on the right of pairs (j < i, i); visitors' blocks come last
     others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
+        F.sequence(F.lit(0), F.when(own, F.col("k") + F.col("visiting")).otherwise(F.col("k")) - 1),
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j"), (F.col("block") > j).alias("right")),
     )
     dealt = placed.withColumn("pair", F.explode(others)).select("*", "pair.i", "pair.j", "pair.right")
     keys = [*group, "i", "j"]
-    cols = [*keys, "right", "home", "visits", "rep", "m", "embedding"]
+    cols = [*keys, "right", "home", "rep", "m", "embedding"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.select(*cols).repartition(parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(key, rows):
-            side = [{c: [] for c in ("home", "visits", "rep", "m", "embedding")} for _ in range(2)]
+            side = [{c: [] for c in ("home", "rep", "m", "embedding")} for _ in range(2)]
             for r in rows:
                 for c in side[0]:
                     side[r["right"]][c].append(r[c])
             if key[3] == key[4]:
-                got = _compare(key[2], side[0], None, threshold)
+                got = _compare(key[2], side[0], None, threshold, sent.value)
             elif side[0]["rep"] and side[1]["rep"]:
-                got = _compare(key[2], side[0], side[1], threshold)
+                got = _compare(key[2], side[0], side[1], threshold, sent.value)
             else:
                 return None
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["rep", "n", "other"])
@@ -190,11 +216,11 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, margin: float = MARG
     return dealt.mapInArrow(run, "rep bigint, n bigint, other bigint")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding, label)."""
     usable, classes = _classes(vectors)
     classes = staged(classes, "classes")
-    found = staged(links(classes, threshold, margin), "links")
+    found = staged(links(classes, threshold), "links")
     label = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
     counted = found.groupBy("rep").agg(F.sum("n").alias("far"))
     known = classes.join(counted, "rep", "left").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(

@@ -266,6 +266,26 @@ def test_embedding_recall_on_test_data(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_are_whole_with_many_cells(spark, monkeypatch):
+    # vectors of intrinsic dimension 6, each with one at cosine 0.93 to 0.95: many pairs cross cells
+    monkeypatch.setattr(neardup, "PER_CELL", 8)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = np.random.default_rng(11)
+    plane = np.linalg.qr(rng.normal(size=(64, 6)))[0].T
+    base, side = rng.normal(size=(2, 1200, 6))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = rng.uniform(0.9301, 0.95, (1200, 1))
+    x = np.concatenate([base, cos * base + np.sqrt(1 - cos**2) * side]) @ plane
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(x)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= neardup.THRESHOLD
+    np.fill_diagonal(link, False)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(link.sum(1).tolist()))
+
+
 def shingle_set(t):
     w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     return frozenset(tuple(w[k : k + 4]) for k in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
