@@ -219,15 +219,18 @@ def _least_overlap(n: Column, low: Column, high: Column) -> Column:
 def open_groups(shared: DataFrame) -> DataFrame:
     """(node, n, own, other): the groups that a set opens; its own group may be among them.
 
+    A document may name several sets, so they are told apart by their size here; sets of one document
+    and size are taken together, which opens more.
+
     ``shared`` is (key, sets, node, n): prefix shingles that two sets or more have, and how many. The matrix has a cell
     (key, g) for each group that holds the shingle, with the number of its sets. A set's overlap with
     a group's union of prefixes bounds its overlap with any member's prefix.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(BAND))
-    members = shared.groupBy("node").agg(F.max(F.struct("sets", "key")).alias("top"), F.max("n").alias("n"))
+    members = shared.groupBy("node", "n").agg(F.max(F.struct("sets", "key")).alias("top"))
     members = staged(members.select("node", "n", F.xxhash64("top.key", band).alias("g")), "members")
     span = members.groupBy("g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    posted = shared.select("key", "node").join(members, "node")
+    posted = shared.select("key", "node", "n").join(members, ["node", "n"])
     posted = staged(posted, "posted")
     matrix = posted.groupBy("key", "g").agg(F.count(F.lit(1)).alias("sets")).join(span, "g").withColumnRenamed("g", "other")
     met = posted.withColumnRenamed("g", "own").join(matrix, "key").where((F.col("own") != F.col("other")) | (F.col("sets") > 1))

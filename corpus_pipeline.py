@@ -29,15 +29,32 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id stays of each group of near copies."""
+    """The document of least id stays of each group of near copies; rows without an id are documents too.
+
+    Rows without words are no copies, so all of them stay.
+    """
     release(spark)
-    found = ngram_join.jaccard_components(docs)
+    null = F.col("doc_id").isNull()
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    least, most, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(null & worded)).first()
+    named, unnamed = docs.where(~null), None
+    every = named
+    if count:
+        # ids of their own, after all others where there is room, so that a row with an id stays before one without
+        k = F.monotonically_increasing_id()
+        own = F.lit((most or 0) + 1) + k if (most or 0) < 1 << 62 else F.lit(least - 1) - k
+        unnamed = staged(docs.where(null & worded).withColumn("doc_id", own), "unnamed")
+        every = named.unionByName(unnamed)
+    found = ngram_join.jaccard_components(every)
     kept = staged(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    rows = docs.join(kept.where("count = 1"), "doc_id", "left_semi")
-    # an id that several rows carry, and rows without one, are told apart by their texts
-    again = docs.join(kept.where("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    return rows.unionByName(again).unionByName(unnamed).select(*docs.columns)
+    rows = named.join(kept.where("count = 1"), "doc_id", "left_semi")
+    # of the rows that carry one id, one stays
+    again = named.join(kept.where("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    out = rows.unionByName(again).unionByName(docs.where(null & ~worded))
+    if unnamed is not None:
+        alone = unnamed.join(kept, "doc_id", "left_semi").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+        out = out.unionByName(alone)
+    return out.select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -333,6 +333,14 @@ def test_jaccard_odd_rows(spark, odd, none):
     assert {r["component_id"] for r in ngram_join.jaccard_components(same).collect()} == {1}
 
 
+def test_jaccard_of_an_id_with_two_texts(spark):
+    words = [f"v{k}" for k in range(400)]
+    short, long = words[:60], words[100:400]
+    rows = [(1, " ".join(long)), (1, " ".join(short)), (9, " ".join(short[:-1] + ["x"])), (12, " ".join(long[:-1] + ["y"])), (20, "not like any of these")]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (9, 1), (12, 1), (20, 20)]
+
+
 def test_block_links_between_blocks():
     a, b = np.arange(100, dtype=np.uint64), np.arange(5, 104, dtype=np.uint64)
     assert ngram_join.block_links([(7, a)], [(3, b)]) == ([7], [3])

@@ -33,3 +33,14 @@ def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = cp.jaccard_stage(spark, docs, "").collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, "a b c d e"), (4, "p q r s t u"), (6, "")]
+
+
+def test_near_copies_without_ids(spark):
+    words = [f"w{k}" for k in range(120)]
+    one, two = " ".join(words[:60]), " ".join(words[60:])
+    rows = [(None, one + " x"), (None, one + " y"), (3, two), (None, two + " x"), (None, None), (None, None), (None, " \t"), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = cp.jaccard_stage(spark, docs, "")
+    assert got.schema == docs.schema
+    left = sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect())
+    assert left in ([(0, ""), (0, ""), (0, " \t"), (0, one + end), (3, two), (7, "")] for end in (" x", " y"))
