@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,7 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Seed of everything that is drawn at random.
 SEED = 20240501
 
-_staged: list[str] = []
+#: Folder under the shared one that tables are staged in now; see ``staging``.
+_folder: ContextVar[str] = ContextVar("staging_folder", default="staged")
 
 
 def col(name: str) -> Column:
@@ -40,24 +44,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: cuts the lineage durably."""
+    """``df`` written as Parquet to the shared folder and read again: cuts the lineage durably.
+
+    The table stays as long as results may read it; ``staging`` names a folder that can be dropped.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{_folder.get()}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    _staged.append(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: Iterable[str] = ()) -> None:
-    """Delete staged tables of finished queries; call it only once their results are written."""
-    kept = set(keep)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in [p for p in _staged if p not in kept]:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
-        _staged.remove(path)
+@contextmanager
+def staging(name: str) -> Iterator[str]:
+    """Within the block tables are staged in a folder of their own, for ``drop`` once results are written."""
+    folder = f"{name}-{uuid.uuid4().hex}"
+    before = _folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _folder.reset(before)
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    """Delete the tables that were staged in ``folder``; results that read them must be written."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{folder}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def append_columns(
@@ -98,24 +110,64 @@ def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
 
 
 def labelled_sample(
-    documents: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, bound: int
+    documents: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, bound: int, chars: int = 1 << 25
 ) -> DataFrame:
     """At most ``bound`` labelled documents (text, y) for fitting, the same ones at each run.
 
     Rows whose crc32(doc_id as text) mod ``modulus`` is ``held`` are never among them. The bound is
-    taken in the order of a hash of the id, so it is a uniform sample of the labelled rows.
+    taken in the order of a hash of the id, so it is a uniform sample of the labelled rows; of these,
+    in the same order, as many are taken as hold ``chars`` characters together.
     """
+    order = F.xxhash64("doc_id", F.lit(SEED))
     ids = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull())
         .where(F.crc32(F.col("doc_id").cast("string")) % modulus != held)
         .groupBy("doc_id").agg(F.max("y").alias("y"))
-        .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(bound)
+        .orderBy(order, "doc_id").limit(bound)
     )
-    docs = documents.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.join(F.broadcast(ids), "doc_id").where(F.col("text").isNotNull())
+    docs = documents.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    # of rows that repeat an id the least text is taken, so the sample has at most ``bound`` rows
+    found = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    upto = Window.orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return found.withColumn("upto", F.sum(F.length("text")).over(upto)).where(F.col("upto") <= chars).select("text", "y")
 
 
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether crc32(doc_id as text) mod ``modulus`` is ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits mixed."""
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ h >> np.uint64(29)
+
+
+def char_grams(words: list[str], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words' marked n-grams of ``least`` (1 or 2) to 4 characters and of the whole words, and the
+    place of the word that each belongs to."""
+    marked = [f"<{w}>" for w in words]
+    sizes = np.array([len(m) for m in marked])
+    c = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    of = np.repeat(np.arange(len(words)), sizes)
+    start = np.cumsum(sizes) - sizes
+    inner = np.ones(len(c), bool)
+    inner[start] = inner[start + sizes - 1] = False
+    h = mixed(c)
+    hashes, owner = ([h[inner]], [of[inner]]) if least == 1 else ([], [])
+    left = np.repeat(start + sizes, sizes) - np.arange(len(c))
+    for n in (2, 3, 4):
+        h = mixed(h[:-1] * _STEP + c[n - 1 :])
+        whole = left[: len(h)] >= n
+        hashes.append(h[whole])
+        owner.append(of[: len(h)][whole])
+    # a word is the sum of its characters' products with the powers of its places
+    powers = np.cumprod(np.full(int(sizes.max()), _STEP, np.uint64))
+    hashes.append(mixed(np.add.reduceat(c * powers[np.arange(len(c)) - start[of]], start) ^ _STEP))
+    owner.append(np.arange(len(words)))
+    return np.concatenate(hashes), np.concatenate(owner)
