@@ -1,11 +1,11 @@
 """Near-duplicate embeddings: spherical k-means cells and blocked cosine products.
 
 1. Equal vectors of a label become one class with a multiplicity, so a group of copies is one row.
-2. Spherical k-means on a bounded sample gives centroids; every class is assigned to its nearest one
-   (its home). For unit vectors x, y with homes c, d the gaps x(c - d) and y(d - c) are not negative and
-   add up to at most |x - y| |c - d|, so one is at most half of that. A class visits each cell whose gap
-   allows it at the threshold, and a pair is compared when either end visits the other's home: no pair
-   at the threshold is missed.
+2. Spherical k-means on a bounded sample gives each label its own centroids, as many as its classes ask
+   for; a class is assigned to the nearest one of its label (its home). For unit vectors x, y with homes
+   c, d the gaps x(c - d) and y(d - c) are not negative and add up to at most |x - y| |c - d|, so one is
+   at most half of that. A class visits each cell whose gap allows it at the threshold, and a pair is
+   compared when either end visits the other's home: no pair at the threshold is missed.
 3. A cell's rows are cut into blocks of bounded size, those at home apart from visitors, and blocks are
    compared pair by pair in double precision, visitors not with each other. A block pair returns, for
    each vector, the weight of its links and its least linked vector: rows in proportion to the block,
@@ -14,11 +14,14 @@
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without a label,
 link with nothing. Vectors of different lengths never link. A null vec_id keeps its row, links
-nothing and has a null component. Repeated ids are one node.
+nothing and has a null component. Repeated ids are one node; repeated rows link with each other. A pair
+exactly at the threshold links, ties of centroids go to the first. An empty table gives an empty result,
+and columns other than vec_id, embedding and label are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import collections
 import math
 from collections.abc import Iterator
 
@@ -34,13 +37,14 @@ from .components import components
 THRESHOLD = 0.93
 #: Vectors that k-means is fitted on at most.
 SAMPLE = 20_000
-#: Vectors a cell holds on average.
+#: Vectors a cell holds on average; labels of fewer are one cell.
 PER_CELL = 1000
+#: Centroids of all labels together, which bounds the broadcast; beyond it cells get larger, with equal results.
 MOST_CELLS = 4096
 #: Rounding that a visit allows for.
 SLACK = 1e-9
 #: Rows of a block.
-BLOCK = 256
+BLOCK = 2048
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = SEED) -> np.ndarray:
@@ -61,11 +65,15 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = SEED)
     return c
 
 
-def _unit(vectors: list) -> np.ndarray:
-    x = np.array(vectors, np.float64)
+def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all components one after another in double precision, length of each vector)."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.diff(column.offsets.to_numpy())
+
+
 def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, classes): one class (label, embedding, rep, m) for equal vectors of a label."""
     e = F.col("embedding")
@@ -81,35 +89,68 @@ def _visits(x: np.ndarray, home: np.ndarray, other: np.ndarray, threshold: float
     return (x * d).sum(1) <= math.sqrt(max(0.0, (1 - threshold) / 2)) * np.sqrt((d * d).sum(1)) + SLACK
 
 
+def centroids(classes: DataFrame) -> dict:
+    """Label -> its unit centroids, for labels of more than one cell; from at most SAMPLE vectors."""
+    big = classes.groupBy("label").count().where(F.col("count") > PER_CELL).orderBy(F.desc("count"), "label").limit(MOST_CELLS // 2)
+    wanted = {r["label"]: math.ceil(r["count"] / PER_CELL) for r in big.collect()}
+    if not wanted:
+        return {}
+    share = min(1.0, MOST_CELLS / sum(wanted.values()))
+    rows = classes.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep", "label").limit(SAMPLE).select("label", "embedding").toArrow()
+    of: dict = {}
+    for label, vector in zip(rows.column("label").to_pylist(), rows.column("embedding").combine_chunks(), strict=True):
+        if label in wanted:
+            of.setdefault(label, []).append(vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
+    out = {}
+    for label, vectors in of.items():
+        dim = max(collections.Counter(map(len, vectors)).items(), key=lambda x: (x[1], x[0]))[0]
+        fitted = np.array([v for v in vectors if len(v) == dim])
+        k = min(max(1, int(wanted[label] * share)), max(1, len(fitted) // 4))
+        if k > 1:
+            out[label] = spherical_kmeans(_unit(fitted), k)
+    return out
+
+
 def _assign(classes: DataFrame, sent: Broadcast, threshold: float) -> DataFrame:
     """(label, cell, home, rep, m, embedding), a row for each cell that a class is in."""
+    reach = math.sqrt(max(0.0, (1 - threshold) / 2))
+
+    def cells(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, home) of unit rows."""
+        s = x @ c.T
+        h = s.argmax(1)
+        apart = np.sqrt(np.maximum(0.0, 2 - 2 * (c[h] @ c.T)))
+        # near enough by fast sums, then by those that _compare takes again
+        i, at = np.nonzero(s[np.arange(len(h)), h][:, None] - s <= reach * apart + 1e-6)
+        ok = np.concatenate([_visits(x[i[k : k + 16384]], c[h[i[k : k + 16384]]], c[at[k : k + 16384]], threshold) for k in range(0, len(i), 16384)])
+        return i[ok], at[ok], h[i[ok]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = sent.value
-        dim = c.shape[1] if c.size else 0
-        reach = math.sqrt(max(0.0, (1 - threshold) / 2))
+        of = sent.value
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                batch = whole.slice(lo, 256)
-                vectors = batch.column("embedding").to_pylist()
-                fit = [i for i, v in enumerate(vectors) if len(v) == dim]
-                take = [i for i, v in enumerate(vectors) if len(v) != dim]
-                cell, home = [-1] * len(take), [-1] * len(take)
-                if fit:
-                    x = _unit([vectors[i] for i in fit])
-                    s = x @ c.T
-                    h = s.argmax(1)
-                    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (c[h] @ c.T)))
-                    # near enough by fast sums, then by those that _compare takes again
-                    i, at = np.nonzero(s[np.arange(len(h)), h][:, None] - s <= reach * apart + 1e-6)
-                    for part in range(0, len(i), 16384):
-                        pi, pc = i[part : part + 16384], at[part : part + 16384]
-                        ok = _visits(x[pi], c[h[pi]], c[pc], threshold)
-                        take += [fit[k] for k in pi[ok]]
-                        cell += pc[ok].tolist()
-                        home += h[pi[ok]].tolist()
+            for lo in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lo, 1024)
+                flat, n = _values(batch.column("embedding"))
+                start = np.cumsum(n) - n
+                labels = batch.column("label").dictionary_encode()
+                codes = labels.indices.to_numpy(zero_copy_only=False)
+                take, cell, home = [], [], []
+                for code, label in enumerate(labels.dictionary.to_pylist()):
+                    rows = np.flatnonzero(codes == code)
+                    c = of.get(label)
+                    fit = rows[n[rows] == c.shape[1]] if c is not None else rows[:0]
+                    rest = np.setdiff1d(rows, fit)
+                    take.append(rest)
+                    cell.append(np.full(len(rest), -1))
+                    home.append(np.full(len(rest), -1))
+                    if len(fit):
+                        i, at, h = cells(_unit(flat[start[fit][:, None] + np.arange(c.shape[1])]), c)
+                        take.append(fit[i])
+                        cell.append(at)
+                        home.append(h)
+                take, cell, home = map(np.concatenate, (take, cell, home))
                 for part in range(0, len(take), 4096):
-                    got = batch.take(pa.array(take[part : part + 4096], pa.int64()))
+                    got = batch.take(pa.array(take[part : part + 4096]))
                     yield pa.RecordBatch.from_arrays(
                         [got.column("label"), pa.array(cell[part : part + 4096], pa.int32()), pa.array(home[part : part + 4096], pa.int32()),
                          got.column("rep"), got.column("m"), got.column("embedding")],
@@ -123,52 +164,44 @@ def _assign(classes: DataFrame, sent: Broadcast, threshold: float) -> DataFrame:
     )
 
 
-def _compare(cell: int, left: dict, right: dict | None, threshold: float, c: np.ndarray) -> tuple[list, list, list]:
+def _compare(cell: int, left: tuple, right: tuple | None, threshold: float, c: np.ndarray | None) -> list[np.ndarray]:
     """(rep, weight of new links, least linked rep) from one block, or between two blocks of a cell.
 
-    Rows of ``left`` are at home; rows of ``right`` all are, or all visit.
+    A side is (home, rep, m, unit vectors). Rows of ``left`` are at home; those of ``right`` all are, or all visit.
     """
     same = right is None
     right = left if same else right
-    a, b = _unit(left["embedding"]), _unit(right["embedding"])
+    (_, ra, ma, a), (hb, rb, mb, b) = left, right
     link = (a @ b.T) >= threshold
-    hb = np.array(right["home"])
-    # a pair may meet in the homes of both ends; it counts in the lesser of those where it does
-    i, j = np.nonzero(link & (hb < cell)[None, :])
-    if len(i):
-        k = len(c)
-        pairs, of = np.unique(i * k + hb[j], return_inverse=True)
-        meets = np.zeros(len(pairs), bool)
-        for at in range(0, len(pairs), 16384):
-            own, other = np.divmod(pairs[at : at + 16384], k)
-            meets[at : at + 16384] = _visits(a[own], c[np.full(len(own), cell)], c[other], threshold)
-        link[i, j] = ~meets[of]
     if same:
         np.fill_diagonal(link, False)
-    ra, rb = np.array(left["rep"], np.int64), np.array(right["rep"], np.int64)
-    ma, mb = np.array(left["m"], np.int64), np.array(right["m"], np.int64)
-    big = np.iinfo(np.int64).max
-    out = [], [], []
-    sides = [(link, ra, rb, mb)] if same else [(link, ra, rb, mb), (link.T, rb, ra, ma)]
-    for hit, own, other, weight in sides:
-        some = hit.any(1)
-        least = np.where(hit, other[None, :], big).min(1)
-        for col, got in zip(out, (own[some], (hit @ weight)[some], least[some]), strict=True):
-            col += got.tolist()
-    return out
+    i, j = np.nonzero(link)
+    # a pair may meet in the homes of both ends; it counts in the lesser of those where it does
+    twice = np.flatnonzero(hb[j] < cell)
+    if len(twice):
+        k = len(c)
+        pairs, of = np.unique(i[twice] * k + hb[j[twice]], return_inverse=True)
+        own, other = np.divmod(pairs, k)
+        meets = np.concatenate([
+            _visits(a[own[at : at + 16384]], c[np.full(len(own[at : at + 16384]), cell)], c[other[at : at + 16384]], threshold) for at in range(0, len(pairs), 16384)
+        ])
+        keep = np.ones(len(i), bool)
+        keep[twice[meets[of]]] = False
+        i, j = i[keep], j[keep]
+    out = []
+    for x, y, own, other, weight in ((i, j, ra, rb, mb), (j, i, rb, ra, ma))[: 1 if same else 2]:
+        n = np.bincount(x, weights=weight[y], minlength=len(own)).astype(np.int64)
+        least = np.full(len(own), np.iinfo(np.int64).max)
+        np.minimum.at(least, x, other[y])
+        some = np.flatnonzero(n)
+        out.append((own[some], n[some], least[some]))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def links(classes: DataFrame, threshold: float = THRESHOLD, block: int | None = None) -> DataFrame:
     """(rep, n, other): for each block pair and vector, the weight of its links and the least of them."""
-    spark = classes.sparkSession
-    rows = classes.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep", "label").limit(SAMPLE).select("embedding").toPandas()["embedding"]
-    n = classes.count()
-    sizes = [len(v) for v in rows]
-    dim = max(set(sizes), key=sizes.count) if sizes else 0
-    fitted = [v for v in rows if len(v) == dim]
-    k = min(MOST_CELLS, max(1, math.ceil(n / PER_CELL)), max(1, len(fitted)))
-    centroids = spherical_kmeans(_unit(fitted), k) if fitted else np.zeros((0, 0))
-    sent = spark.sparkContext.broadcast(centroids)
+    spark, block = classes.sparkSession, block or BLOCK
+    sent = spark.sparkContext.broadcast(centroids(classes))
     cells = staged(_assign(classes, sent, threshold).withColumn("dim", F.size("embedding")), "cells")
     group = ["label", "dim", "cell"]
     own = F.col("home") == F.col("cell")
@@ -188,30 +221,34 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK)
     dealt = dealt.select(*cols).repartition(parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(key, rows):
-            side = [{c: [] for c in ("home", "rep", "m", "embedding")} for _ in range(2)]
-            for r in rows:
-                for c in side[0]:
-                    side[r["right"]][c].append(r[c])
-            if key[3] == key[4]:
-                got = _compare(key[2], side[0], None, threshold, sent.value)
-            elif side[0]["rep"] and side[1]["rep"]:
-                got = _compare(key[2], side[0], side[1], threshold, sent.value)
-            else:
-                return None
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["rep", "n", "other"])
-
-        key, rows = None, []
+        def flush(key: tuple, parts: list) -> Iterator[pa.RecordBatch]:
+            right, home, rep, m = (np.concatenate(x) for x in list(zip(*parts, strict=True))[:4])
+            x = _unit(np.concatenate([p[4] for p in parts]).reshape(len(rep), -1))
+            left, other = [(home[s], rep[s], m[s], x[s]) for s in (~right, right)]
+            if key[3] == key[4] or (len(left[1]) and len(other[1])):
+                got = _compare(key[2], left, None if key[3] == key[4] else other, threshold, sent.value.get(key[0]))
+                yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()) for g in got], names=["rep", "n", "other"])
+
+        key, parts = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                k = tuple(r[c] for c in keys)
-                if k != key:
-                    if rows and (got := flush(key, rows)):
-                        yield got
-                    key, rows = k, []
-                rows.append(r)
-        if rows and (got := flush(key, rows)):
-            yield got
+            change = np.zeros(batch.num_rows, bool)
+            for at in range(len(keys)):
+                codes = batch.column(at).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                change[1:] |= codes[1:] != codes[:-1]
+            change[:1] = True
+            cuts = [*np.flatnonzero(change).tolist(), batch.num_rows]
+            numbers = [batch.column(at).to_numpy(zero_copy_only=False) for at in range(5, 9)]
+            flat, n = _values(batch.column(9))
+            ends = np.cumsum(n)
+            for lo, hi in zip(cuts, cuts[1:]):
+                now = tuple(batch.column(at)[lo].as_py() for at in range(len(keys)))
+                if now != key:
+                    if parts:
+                        yield from flush(key, parts)
+                    key, parts = now, []
+                parts.append((*[x[lo:hi] for x in numbers], flat[ends[lo] - n[lo] : ends[hi - 1]]))
+        if parts:
+            yield from flush(key, parts)
 
     return dealt.mapInArrow(run, "rep bigint, n bigint, other bigint")
 
