@@ -19,6 +19,7 @@ training rows every text is ``und``; repeated rows get equal results; output nam
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SEED, append_columns, held_out
+from .common import SEED, append_columns, char_grams, held_out
 
 UNKNOWN = "und"
 PER_LANGUAGE = 400
@@ -62,6 +63,7 @@ def _letters(name: str) -> str:
 
 
 #: Letters of one script, MOST_LETTERS at most; the lookahead keeps other characters from being tried by script.
+_RUN = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(r"(?=[^\W\d_])(?:%s)" % "|".join(f"{_letters(n)}{{1,{MOST_LETTERS}}}" for n in dict.fromkeys(n for _, n in SCRIPTS)))
 
 
@@ -69,27 +71,45 @@ def script(word: str) -> str:
     return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
-def grams(word: str) -> list[str]:
-    """The word's marked n-grams of 1 to 4 characters, and the word itself."""
-    m = f"<{word.lower()}>"
-    return [m[i : i + n] for n in (1, 2, 3, 4) for i in range(len(m) - n + 1) if m[i : i + n] not in "<>"] + ["=" + m]
+#: Slots of the table of known n-grams; of those that meet in one slot the last stays.
+SLOTS = 22
 
 
 @dataclass
 class Model:
     languages: list[str]
-    #: n-gram -> log-likelihoods by language, relative to an unseen one.
-    table: dict[str, np.ndarray]
-    unseen: np.ndarray
+    #: Hashes of known n-grams, and their log-likelihoods by language; one row more for an unseen one.
+    hashes: np.ndarray
+    table: np.ndarray
     candidates: dict[str, np.ndarray]
 
-    def word(self, w: str) -> np.ndarray:
-        """Scores of a word; languages that its script excludes lose FOREIGN."""
-        got = grams(w)
-        total = sum((self.table.get(g, self.unseen) for g in got), np.zeros(len(self.languages)))
-        total = total / max(1.0, len(got) / (len(w) + 1))
-        allowed = self.candidates.get(script(w))
-        return total if allowed is None else total - FOREIGN * ~allowed
+    def __post_init__(self):
+        self.slots = np.full(1 << SLOTS, len(self.hashes), np.int32)
+        self.slots[self._slot(self.hashes)] = np.arange(len(self.hashes))
+        self.known = np.append(self.hashes, np.uint64(0))
+
+    def __reduce__(self):
+        return Model, (self.languages, self.hashes, self.table, self.candidates)
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of pieces of one script, a row each; languages that the script excludes lose FOREIGN."""
+        k = len(self.languages)
+        some = max(1, 50_000 // k)
+        return np.concatenate([self._words(words[a : a + some]) for a in range(0, len(words), some)]) if words else np.zeros((0, k))
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        h, of = char_grams([w.lower() for w in words])
+        row = self.slots[self._slot(h)]
+        row[self.known[row] != h] = len(self.hashes)
+        n = np.bincount(of, minlength=len(words))
+        total = np.stack([np.bincount(of, weights=t[row], minlength=len(words)) for t in self.table.T], 1)
+        total /= np.maximum(1.0, n / (np.array([len(w) for w in words]) + 1))[:, None]
+        every = np.ones(len(self.languages), bool)
+        scripts = {s: self.candidates.get(s, every) for s in dict.fromkeys(n for _, n in SCRIPTS)}
+        return total - FOREIGN * ~np.array([scripts["latin" if w[0] < "\u0370" else script(w)] for w in words])
 
 
 def train(texts: list[str], langs: list[str]) -> Model:
@@ -97,21 +117,28 @@ def train(texts: list[str], langs: list[str]) -> Model:
     words: dict[str, Counter] = {n: Counter() for n in names}
     for text, lang in zip(texts, langs, strict=True):
         words[lang].update(_WORD.findall(text.lower()))
-    counts: dict[str, np.ndarray] = {}
     scripts: dict[str, np.ndarray] = {}
+    own = []
     for k, n in enumerate(names):
         for w, c in words[n].items():
             scripts.setdefault(script(w), np.zeros(len(names)))[k] += c
-            weight = 1.0 + np.log(c)  # frequent words must not drown the rest
-            for g in grams(w):
-                counts.setdefault(g, np.zeros(len(names)))[k] += weight
-    total = sum(counts.values(), np.zeros(len(names))) + 0.1 * max(1, len(counts))
-    kept = {g: c for g, c in counts.items() if c.sum() > 1.5}
-    table = {g: np.log(c + 0.1) - np.log(total) for g, c in kept.items()}
-    unseen = np.log(0.1) - np.log(total)
+        if words[n]:
+            h, of = char_grams([w.lower() for w in words[n]])
+            # frequent words must not drown the rest
+            weight = 1.0 + np.log(np.fromiter(words[n].values(), float))
+            h, at = np.unique(h, return_inverse=True)
+            own.append((k, h, np.bincount(at, weights=weight[of])))
+    hashes = np.unique(np.concatenate([h for _, h, _ in own])) if own else np.zeros(0, np.uint64)
+    counts = np.zeros((len(hashes), len(names)))
+    for k, h, c in own:
+        counts[np.searchsorted(hashes, h), k] = c
+    total = counts.sum(0) + 0.1 * max(1, len(counts))
+    kept = np.flatnonzero(counts.sum(1) > 1.5)
+    kept = kept[np.argsort(counts[kept].sum(1), kind="stable")]
+    table = np.concatenate([counts[kept], np.zeros((1, len(names)))])
     every = sum(scripts.values(), np.zeros(len(names)))
     seen = {s: c >= CANDIDATE * np.maximum(every, 1) for s, c in scripts.items()}
-    return Model(names, table, unseen, {s: a for s, a in seen.items() if a.any()})
+    return Model(names, hashes[kept], np.log(table + 0.1) - np.log(total), {s: a for s, a in seen.items() if a.any()})
 
 
 def fit(documents: DataFrame, modulus: int = 5, held: int = 0, per_language: int = PER_LANGUAGE) -> Model:
@@ -121,7 +148,7 @@ def fit(documents: DataFrame, modulus: int = 5, held: int = 0, per_language: int
     ).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().toLocalIterator()}
     if not sizes:
-        return Model([], {}, np.zeros(0), {})
+        return train([], [])
     # a hashed id below the language's share: about per_language texts each, the same at each run
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
     drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")])
@@ -140,65 +167,93 @@ def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
         prefix, suffix = gain[:-1].max(initial=0.0), (gain[-1] - gain[:-1]).max(initial=0.0)
         if prefix + suffix <= penalty:
             return np.full(n, best)
-    value, back = scores[0].copy(), np.zeros((n, k), np.int32)
-    stay = np.arange(k)
-    for t in range(1, n):
-        top = int(value.argmax())
-        switch = value[top] - penalty > value
-        back[t] = np.where(switch, top, stay)
-        value = np.where(switch, value[top] - penalty, value) + scores[t]
+    value, before = [0.0] * k, []
+    for row in scores.tolist():
+        floor = max(value) - penalty
+        before.append((value, floor))
+        value = [(v if v >= floor else floor) + x for v, x in zip(value, row, strict=True)]
     path = np.zeros(n, np.int64)
-    path[-1] = value.argmax()
-    for t in range(n - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
+    at = value.index(max(value))
+    for t in range(n - 1, -1, -1):
+        path[t] = at
+        value, floor = before[t]
+        if value[at] < floor:
+            at = value.index(max(value))
     return path
 
 
-class Labeller:
-    """Labels texts; keeps the scores of words that it has met."""
+class Labeller(dict):
+    """Labels texts. As a dict it keeps the place of each run of letters that it has met in ``first`` and
+    ``count``: a run's pieces are rows of ``scores`` and ``letters`` one after another."""
 
-    def __init__(self, model: Model, most: int = 400_000):
+    def __init__(self, model: Model, most: int = 300_000):
+        super().__init__()
         self.model, self.most = model, most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.model.languages)))
-        self.letters = np.zeros(1024)
-
-    def _at(self, word: str) -> int:
-        at = self.known.get(word)
-        if at is None:
-            at = self.known[word] = len(self.known)
-            if at >= len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.scores[at] = self.model.word(word) if word[0].isalpha() else 0.0
-            self.letters[at] = sum(map(str.isalpha, word))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.scores, self.letters = np.zeros((0, len(self.model.languages))), np.zeros(0)
+
+    def __missing__(self, run: str) -> int:
+        self.new.append(run)
+        self[run] = at = len(self)
         return at
 
-    def path(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """(language of each word, letters of each word), or None without a letter."""
-        if not text or not self.model.languages:
-            return None
-        if len(self.known) > self.most:
-            self._clear()
-        ids = np.array([self._at(w) for w in _WORD.findall(text)], np.int64)
-        letters = self.letters[ids] if len(ids) else np.zeros(0)
-        if not letters.sum():
+    def _learn(self) -> None:
+        """Score the pieces of new runs, all at once."""
+        pieces, counts = [], []
+        for run in self.new:
+            got = [run] if len(run) <= MOST_LETTERS and run.isascii() else _WORD.findall(run)
+            pieces += got
+            counts.append(len(got))
+        count = np.array(counts)
+        self.first = np.concatenate([self.first, len(self.letters) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.letters = np.concatenate([self.letters, [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in pieces]])
+        scores = self.model.words(pieces) * np.array([w[0].isalpha() for w in pieces])[:, None]
+        self.scores = np.concatenate([self.scores, scores])
+        self.new = []
+
+    def paths(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """For each text (language of each piece, letters of each piece), or None without a letter."""
+        if not self.model.languages:
+            return [None] * len(texts)
+        if len(self) > self.most:
+            self._forget()
+        runs = [np.fromiter(map(self.__getitem__, _RUN.findall(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        if self.new:
+            self._learn()
+        return [self._path(r) for r in runs]
+
+    def _path(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        if not len(runs):
             return None
-        return viterbi(self.scores[ids]), letters
+        n = self.count[runs]
+        at = self.first[runs]
+        if n.max() > 1:
+            at = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        letters = self.letters[at]
+        return (viterbi(self.scores[at]), letters) if letters.any() else None
+
+    def labels(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = []
+        for got in self.paths(texts):
+            if got is None:
+                out.append((UNKNOWN, 0.0))
+                continue
+            by = np.bincount(got[0], weights=got[1], minlength=len(self.model.languages))
+            out.append((self.model.languages[int(by.argmax())], float(by.max() / by.sum())))
+        return out
 
     def label(self, text: str | None) -> tuple[str, float]:
-        got = self.path(text)
-        if got is None:
-            return UNKNOWN, 0.0
-        by = np.bincount(got[0], weights=got[1], minlength=len(self.model.languages))
-        return self.model.languages[int(by.argmax())], float(by.max() / by.sum())
+        return self.labels([text])[0]
 
     def spans(self, text: str | None) -> list[dict]:
-        """Runs of words of one language: start, end (exclusive, code points), lang."""
-        got = self.path(text)
+        """Runs of pieces of one language: start, end (exclusive, code points), lang."""
+        got = self.paths([text])[0]
         out: list[dict] = []
         if got is not None:
             for m, k in zip(_WORD.finditer(text), got[0], strict=True):
@@ -210,19 +265,26 @@ class Labeller:
         return out
 
 
+#: The labeller of a worker process, by run: what it has met serves the process's next tasks too.
+_labeller: dict[str, Labeller] = {}
+
+
 def identify(docs: DataFrame, model: Model, spans: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with lang_pred and score, and on demand the labelled spans."""
     fields = [T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)]
     if spans:
         span = T.StructType().add("start", "int").add("end", "int").add("lang", "string")
         fields.append(T.StructField("lang_spans", T.ArrayType(span), False))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, run = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def make() -> Callable:
-        labeller = Labeller(sent.value)
+        if run not in _labeller:
+            _labeller.clear()
+            _labeller[run] = Labeller(sent.value)
+        labeller = _labeller[run]
 
         def apply(texts):
-            got = [labeller.label(t) for t in texts]
+            got = labeller.labels(texts)
             out = {"lang_pred": [a for a, _ in got], "score": [b for _, b in got]}
             return out | ({"lang_spans": [labeller.spans(t) for t in texts]} if spans else {})
 
