@@ -5,20 +5,23 @@ a fold over the word's bytes merges the pair of least rank (the leftmost at a ti
 rank. Ranks are a literal map of pairs of ids: a perfect hash table in two literal arrays, so that a
 look-up costs the same for any pair. No step shuffles texts:
 
-1. A task numbers the words of about ``CHUNK`` characters of its texts and emits one row: the carried
-   columns, each text's word numbers, and the bytes of the distinct words.
-2. The fold encodes the row's words.
-3. A task puts the ids of each text together; decoding concatenates the ids' binary pieces.
-
-So that frequent words are not folded anew in each chunk, the fold first encodes a dictionary of at
+1. A task numbers the words of its texts and emits a row for about ``CHUNK`` characters or ``FRESH``
+   bytes of new words: the carried columns, each text's word numbers, and the bytes of the words that the
+   task has not met before.
+2. The fold encodes the row's new words.
+3. A task remembers the ids of the words that its rows brought, puts the ids of each text together and
+   concatenates the ids' binary pieces. Both sides forget all words once ``KEPT`` are known, in the same
+   row, so memory is bounded whatever the number of distinct words.
+
+So that frequent words are not folded anew in each task, the fold first encodes a dictionary of at
 most ``HEAD_WORDS`` words from a sample of about ``HEAD_CHARS`` characters; it is broadcast within
-that bound. It saves work only: other words take the same fold in their chunk. A word that is a
+that bound. It saves work only: other words take the same fold in their task. A word that is a
 token as a whole is that token. Words of more than ``LONG`` bytes (none in prose) are merged with a
 heap, with the same result, as the fold's cost grows with the square of the length.
 
-Memory of a task is that of one chunk; a longer text is a chunk of its own. Edge cases: a null text
-is empty: no ids, empty decoded bytes; repeated rows are encoded each; extra columns are carried,
-except ones named like an output; an empty table gives an empty result.
+A text that is longer than a chunk is a chunk of its own. Edge cases: a null text is empty: no ids, empty
+decoded bytes; repeated rows are encoded each; extra columns are carried, except ones named like an
+output; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ import base64
 import hashlib
 import heapq
 import json
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,9 +43,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import SEED, col
 
-CHUNK = 30_000_000
-HEAD_CHARS = 60_000_000
-HEAD_WORDS = 300_000
+CHUNK = 4_000_000
+FRESH = 400_000
+KEPT = 300_000
+HEAD_CHARS = 40_000_000
+HEAD_WORDS = 150_000
 LONG = 192
 
 #: Bits of an id in a packed pair, and sizes of the hash table (powers of two).
@@ -111,43 +115,48 @@ class RankMap:
         return slots, shifts
 
     def rank(self, pair: Column) -> Column:
-        """The rank of a pair of ids; _NONE or more if it has none."""
-        long = lambda x: F.lit(x).cast("bigint")
-        group = F.shiftright(pair * long(self.C), 19).bitwiseAND(long(GROUPS - 1)).cast("int")
-        at = (F.shiftright(pair * long(self.A), 22) + F.get(self.shifts, group)).bitwiseAND(long(SLOTS - 1)).cast("int")
-        return F.get(self.slots, at).bitwiseXOR((pair + long(_NONE + 1)) * long(_NONE))
+        """The rank of a pair of ids; _NONE if it has none."""
+        group = F.shiftright(pair * _long(self.C), 19).bitwiseAND(_long(GROUPS - 1)).cast("int")
+        at = (F.shiftright(pair * _long(self.A), 22) + F.get(self.shifts, group)).bitwiseAND(_long(SLOTS - 1)).cast("int")
+        return F.least(F.get(self.slots, at).bitwiseXOR((pair + _long(_NONE + 1)) * _long(_NONE)), _long(_NONE))
 
     def encode(self, word: Column) -> Column:
         """Ids of a word given as an array of byte values: a fold that merges one pair a step.
 
-        The fold carries the ids and the ranks of neighbours; a merge renews the two ranks beside it.
+        The fold carries one number a part: the rank of the part with the next one, its place in the
+        word and its id, so the least number is the leftmost pair of least rank.
         """
-        pairs = F.transform(F.sequence(F.lit(1), F.size(word) - 1), lambda i: F.get(self.first, F.get(word, i - 1) * 256 + F.get(word, i)))
-        start = F.struct(F.transform(word, lambda b: F.get(self.single, b)).alias("ids"), pairs.alias("ranks"))
+        part = lambda rank, place, i: rank * _long(1 << 2 * ID_BITS) + place + i
+        id_of, place_of = (lambda x: x.bitwiseAND(_long(_NONE - 1))), (lambda x: x.bitwiseAND(_long((1 << 2 * ID_BITS) - _NONE)))
+        pair = lambda a, b: F.coalesce(self.rank(a * _long(_NONE) + b), _long(_NONE))
+        start = F.transform(
+            word, lambda b, i: part(F.coalesce(F.get(self.first, b * 256 + F.get(word, i + 1)), _long(_NONE)), i * _long(_NONE), F.get(self.single, b))
+        )
+
+        def merged(parts: Column, least: Column) -> Column:
+            # the least part takes in the next one, which goes; the rank of the part before is renewed too
+            m = F.shiftright(least, 2 * ID_BITS)
 
-        def step(acc: Column, _: Column) -> Column:
-            ids, ranks, least = acc["ids"], acc["ranks"], F.array_min(acc["ranks"])
+            def renew(x: Column, i: Column) -> Column:
+                mine = x == least
+                a, b = F.when(mine, m).otherwise(id_of(x)), F.when(mine, id_of(F.get(parts, i + 2))).otherwise(m)
+                beside = mine | (F.get(parts, i + 1) == least)
+                return F.when(F.get(parts, i - 1) == least, _long(-1)).when(beside, part(pair(a, b), place_of(x), a)).otherwise(x)
 
-            def merged(m: Column, p: Column) -> Column:
-                sides = F.array(F.get(ids, p - 2) * _NONE + m, m * _NONE + F.get(ids, p + 1))
-                renewed = F.filter(F.transform(sides, self.rank), lambda r: r.isNotNull())
-                return F.struct(
-                    F.concat(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, F.size(ids))).alias("ids"),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), renewed, F.slice(ranks, p + 2, F.size(ranks))).alias("ranks"),
-                )
+            renewed = F.transform(parts, renew)
+            return F.filter(renewed, lambda x: x >= 0)
 
-            at = F.array(F.struct(least.alias("m"), F.array_position(ranks, least).cast("int").alias("p")))
-            return F.when(least < _NONE, F.get(F.transform(at, lambda x: merged(x["m"], x["p"])), F.lit(0))).otherwise(acc)
+        def step(parts: Column, _: Column) -> Column:
+            least = F.array(F.array_min(parts))  # a lambda over one element names it
+            done = lambda x: F.when(x < _long(_NONE << 2 * ID_BITS), merged(parts, x)).otherwise(parts)
+            return F.get(F.transform(least, done), F.lit(0))
 
-        fold = F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step)["ids"]
-        return F.when(F.size(word) > 1, fold).otherwise(F.transform(word, lambda b: F.get(self.single, b)))
+        fold = F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(word), F.lit(2))), start, step)
+        return F.transform(fold, id_of)
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of an array of ids, as an expression: binary pieces of a literal, concatenated."""
-    tokens = [base64.b64encode(t).decode() for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
-    pieces = F.from_json(F.lit(json.dumps(tokens)), "array<binary>")
-    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(pieces, i.cast("int"))))
+def _long(x: int) -> Column:
+    return F.lit(x).cast("bigint")
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -177,49 +186,66 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
-_numbered: dict[str, "Numbered"] = {}
+class Numbered(dict):
+    """Word -> number of a task: tokens that are text, the dictionary, then words as they are met.
 
+    Words met since the last row are listed in ``new``; ``forget`` drops all that the task has met.
+    """
 
-def numbered(key: str, ranks: dict[bytes, int], head: list[str]) -> "Numbered":
-    """Numbers of the tokens that are text, then of the dictionary; one a worker process and run."""
-    if key not in _numbered:
-        known = {}
+    def __init__(self, ranks: dict[bytes, int], head: list[str]):
+        super().__init__()
         for t, r in ranks.items():
             try:
-                known[t.decode()] = r
+                self[t.decode()] = r
             except UnicodeDecodeError:
                 continue
-        known.update(zip(head, range(len(ranks), len(ranks) + len(head)), strict=True))
-        _numbered.clear()
-        _numbered[key] = Numbered(known, len(ranks) + len(head))
-    got = _numbered[key]
-    got.forget()  # what a failed task may have left
-    return got
-
-
-class Numbered(dict):
-    """Word -> number. Words that it doesn't know get the next numbers and are listed in ``new``."""
-
-    def __init__(self, known: dict[str, int], first: int):
-        super().__init__(known)
-        self.first, self.new = first, []
+        self.update(zip(head, range(len(ranks), len(ranks) + len(head)), strict=True))
+        self.first = self.next = len(ranks) + len(head)
+        self.new: list[str] = []
+        self.fresh = 0
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
-        self[word] = got = self.first + len(self.new) - 1
+        self.fresh += len(word)
+        self[word] = got = self.next
+        self.next += 1
         return got
 
     def forget(self) -> None:
-        for w in self.new:
-            del self[w]
-        self.new = []
+        while self.next > self.first:
+            self.popitem()  # the words met are the last ones
+            self.next -= 1
+
+
+class Ids:
+    """Number of a word -> its ids, in flat arrays; ``extend`` adds words in the order of their numbers."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.base = self.flat, self.sizes = flat, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+
+    def forget(self) -> None:
+        self.__init__(*self.base)
+
+    def of(self, code: np.ndarray) -> np.ndarray:
+        n = self.sizes[code]
+        return self.flat[np.repeat(self.starts[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def decoded(ids: np.ndarray, tokens: list[bytes]) -> bytes:
+    """The binary pieces of ids, concatenated."""
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
 
 
 def _lists(words: list[bytes]) -> pa.Array:
-    """array<array<bigint>> cells: byte values of words."""
+    """array<array<int>> cells: byte values of words."""
     at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
-    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
+    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int32()))
 
 
 def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -233,7 +259,8 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
         split, counts = regex.compile(pattern).findall, Counter()
 
         def out() -> pa.RecordBatch:
-            used = [(w, n) for w, n in counts.items() if 1 < len(w.encode()) <= LONG and w.encode() not in ranks]
+            # a word of one text of a task is no frequent word
+            used = [(w, n) for w, n in counts.items() if n > 1 and 1 < len(w.encode()) <= LONG and w.encode() not in ranks]
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in used], pa.string()), pa.array([n for _, n in used], pa.int64())], names=["word", "n"])
 
         for batch in batches:
@@ -247,7 +274,7 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
     counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("bigint"))
+    values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("int"))
     coded = top.repartition(parts, "word").select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
     ids = coded.column("ids").combine_chunks()
     return coded.column("word").to_pylist(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
@@ -263,19 +290,18 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     table = RankMap(ranks)
     named = docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("in_text"))
     sent = docs.sparkSession.sparkContext.broadcast((ranks, *head_words(named, ranks, table, pattern)))
-    run_id = uuid.uuid4().hex
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, head = sent.value[:2]
-        split, words = regex.compile(pattern).findall, numbered(run_id, ranks, head)
-        sizes, codes, chars = [], [], 0
+        split, words = regex.compile(pattern).findall, Numbered(ranks, head)
+        sizes, codes, chars, forget = [], [], 0, False
         blob = pa.BufferOutputStream()
         sink = pa.ipc.new_stream(blob, arrow_in)
 
         def out() -> pa.RecordBatch:
-            nonlocal sizes, codes, chars, blob, sink
+            nonlocal sizes, codes, chars, blob, sink, forget
             new = [w.encode() for w in words.new]
             long = {k: merge_long(w, ranks) for k, w in enumerate(new) if len(w) > LONG}
             plain = [b"" if k in long else w for k, w in enumerate(new)]
@@ -284,24 +310,30 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                 pa.array([blob.getvalue().to_pybytes()], pa.binary()), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
                 pa.array([np.concatenate(codes).tobytes() if codes else b""], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), _lists(plain)), pa.array([json.dumps(list(long.items()))]),
+                pa.array([forget]),
             ]
-            words.forget()
+            words.new, words.fresh = [], 0
+            forget = words.next - words.first > KEPT
+            if forget:
+                words.forget()
             sizes, codes, chars, blob = [], [], 0, pa.BufferOutputStream()
             sink = pa.ipc.new_stream(blob, arrow_in)
-            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long"])
+            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                for text in part.column(len(kept)).to_pylist():
-                    code = np.fromiter(map(words.__getitem__, split(text)), np.int32)
-                    codes.append(code)
-                    sizes.append(len(code))
-                    chars += len(text)
-                # written at once: a kept column would hold the whole batch's memory
-                sink.write_batch(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in))
-                if chars > CHUNK:
+            at = 0
+            for k, text in enumerate(batch.column(len(kept))):
+                text = text.as_py()
+                code = np.fromiter(map(words.__getitem__, split(text)), np.int32)
+                codes.append(code)
+                sizes.append(len(code))
+                chars += len(text)
+                if chars > CHUNK or words.fresh > FRESH:
+                    sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at, k + 1 - at) for c in batch.columns[: len(kept)]], schema=arrow_in))
+                    at = k + 1
                     yield out()
+            # written at once: a kept column would hold the whole batch's memory
+            sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at) for c in batch.columns[: len(kept)]], schema=arrow_in))
         if sizes:
             yield out()
 
@@ -314,10 +346,11 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, _, head_flat, head_sizes = sent.value
         tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
-        base_flat = np.concatenate([np.arange(len(tokens), dtype=np.int32), head_flat])
-        base_sizes = np.concatenate([np.ones(len(tokens), np.int64), head_sizes])
+        known = Ids(np.concatenate([np.arange(len(tokens), dtype=np.int32), head_flat]), np.concatenate([np.ones(len(tokens), np.int64), head_sizes]))
         for batch in batches:
             for k in range(batch.num_rows):
+                if batch.column(5)[k].as_py():
+                    known.forget()
                 coded = batch.column(3)[k].values
                 flat, sizes = coded.flatten().to_numpy().astype(np.int32), np.diff(coded.offsets.to_numpy()).astype(np.int64)
                 if long := json.loads(batch.column(4)[k].as_py()):
@@ -325,16 +358,13 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                     for i, ids in long:
                         parts[i] = np.array(ids, np.int32)
                     flat, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
-                flat, sizes = np.concatenate([base_flat, flat]), np.concatenate([base_sizes, sizes])
-                starts = np.cumsum(sizes) - sizes
+                known.extend(flat, sizes)
                 codes = np.frombuffer(batch.column(2)[k].as_py(), np.int32)
                 ends = np.cumsum(np.frombuffer(batch.column(1)[k].as_py(), np.int64))
                 out: dict[str, list] = {f.name: [] for f in fields}
                 for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
-                    code = codes[a:b]
-                    n = sizes[code]
-                    ids = flat[np.repeat(starts[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                    packed, back = ids.astype("<u4").tobytes(), b"".join(map(tokens.__getitem__, ids.tolist()))
+                    ids = known.of(codes[a:b])
+                    packed, back = ids.astype("<u4").tobytes(), decoded(ids, tokens)
                     out["n_tokens"].append(len(ids))
                     out["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
                     out["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
@@ -345,7 +375,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                 columns += [pa.array(out[f.name], arrow_out.field(f.name).type) for f in fields]
                 yield from pa.Table.from_arrays(columns, schema=arrow_out).to_batches()
 
-    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<bigint>>, long string")
-    folded = chunks.select("carried", "sizes", "codes", F.transform("words", table.encode).alias("words"), "long")
+    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<int>>, long string, forget boolean")
+    folded = chunks.select("carried", "sizes", "codes", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("words"), "long", "forget")
     done = folded.mapInArrow(together, schema)
     return done.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(kept)], *[f.name for f in fields])
