@@ -2,24 +2,32 @@
 
 ``append`` writes arrivals as small immutable shards and commits a manifest that lists them.
 ``compact`` merges runs of similar size (one tier) into files near the target size and commits the
-next manifest. A manifest is a small table of its own folder, written aside and renamed into
-``manifest/vNNNNNN``; the rename fails if another writer took that version, so a version is either
-whole or absent, and readers of older versions keep their files until ``expire``.
+next manifest. A manifest is a table, written aside; a version is one small file ``manifest/vNNNNNN``
+that names it. That file is written aside too and then moved to its name by an operation that fails if
+the name is taken: a rename without overwriting, or a hard link on a local file system, where renames
+overwrite. So a version is whole or absent, of two writers one gets it and the other a ``Conflict``, and
+readers of older versions keep their files until ``expire`` is called.
 
 Plan: a shard's tier is the power of ``fan_in`` by which its bytes exceed the smallest size. The
 prefix sum of bytes within a tier cuts the tier's runs into merge groups of the target size; groups
-of one run are left alone. Only the list of shards is windowed, never the documents.
+of one run are left alone. Only the list of shards is windowed, never the documents. A merge group is
+a task of its own.
+
+The list of shards passes the driver where files are read, as a listing of files does; documents never do.
 
 Edge cases: an empty table commits a version without shards, from which an empty table of the same
-columns is read; nulls, empty and very long texts, repeated rows and any extra columns are stored as
-they are (columns named ``shard`` or ``shard_bytes`` are kept under a leading underscore); a source
+columns is read; nulls, ties, empty and very long texts, repeated rows and any extra columns are stored
+as they are (columns named ``shard`` or ``shard_bytes`` are kept under a leading underscore); a source
 that holds most rows doesn't matter, since shards are dealt by size.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +41,8 @@ SMALLEST = 4 << 20
 FAN_IN = 4
 #: Rows of one file of an arrival at most.
 ARRIVAL_ROWS = 20_000
+#: Parts that ``shard`` takes a table in.
+ARRIVALS = 3
 
 MANIFEST = "shard string, bytes bigint, tier int"
 
@@ -58,7 +68,8 @@ class ShardStore:
         fs, at = self._fs(f"{self.root}/manifest")
         if not fs.exists(at):
             return 0
-        return max([int(s.getPath().getName()[1:]) for s in fs.listStatus(at)], default=0)
+        names = [s.getPath().getName() for s in fs.listStatus(at)]
+        return max([int(n[1:]) for n in names if re.fullmatch(r"v\d+", n)], default=0)
 
     def _sizes(self, folder: str) -> DataFrame:
         """(shard, bytes) of the data files in a folder, from the listing alone."""
@@ -70,21 +81,48 @@ class ShardStore:
         return sizes.select("shard", "bytes", F.floor(F.log(float(self.fan_in), over)).cast("int").alias("tier"))
 
     def _commit(self, manifest: DataFrame, version: int) -> int:
-        aside = f"{self.root}/staging/{uuid.uuid4().hex}"
-        manifest.select("shard", "bytes", "tier").coalesce(1).write.parquet(aside)
-        fs, to = self._fs(f"{self.root}/manifest/v{version:06d}")
+        jvm = self.spark.sparkContext._jvm
+        name = uuid.uuid4().hex
+        table = f"{self.root}/lists/{name}"
+        manifest.select("shard", "bytes", "tier").coalesce(1).write.parquet(table)
+        fs, aside = self._fs(f"{self.root}/staging/{name}")
+        out = fs.create(aside, False)
+        out.write(bytearray(name.encode()))
+        out.close()
+        to = self._fs(f"{self.root}/manifest/v{version:06d}")[1]
         fs.mkdirs(to.getParent())
-        if fs.exists(to) or not fs.rename(self._fs(aside)[1], to):
-            fs.delete(self._fs(aside)[1], True)
-            raise Conflict(f"version {version} exists")
+        try:
+            if fs.getScheme() == "file":
+                paths = [jvm.java.nio.file.Path.of(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0)) for p in (to, aside)]
+                jvm.java.nio.file.Files.createLink(*paths)
+            else:
+                conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+                options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf).rename(aside, to, options)
+        except Py4JJavaError as error:
+            if not fs.exists(to):
+                raise
+            fs.delete(self._fs(table)[1], True)
+            raise Conflict(f"version {version} exists") from error
+        finally:
+            fs.delete(aside, False)
         return version
 
     # -- operations ----------------------------------------------------------------------------
+    def _list(self, version: int) -> str:
+        """The folder of a version's manifest."""
+        fs, at = self._fs(f"{self.root}/manifest/v{version:06d}")
+        stream = fs.open(at)
+        try:
+            return f"{self.root}/lists/{self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+        finally:
+            stream.close()
+
     def manifest(self, version: int | None = None) -> DataFrame:
         v = self.version() if version is None else version
         if not v:
             return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/v{v:06d}")
+        return self.spark.read.schema(MANIFEST).parquet(self._list(v))
 
     def append(self, df: DataFrame) -> int:
         """Write ``df`` as it is partitioned, a few small shards a task, and commit them."""
@@ -120,13 +158,13 @@ class ShardStore:
         if not names:
             return v
         folder = f"{self.root}/data/c{v + 1:06d}-{uuid.uuid4().hex[:8]}"
-        bins = planned.select("bin").distinct().count()
-        rows = self.read(v, only=names)
-        tagged = rows.join(F.broadcast(planned.select("shard", "bin")), "shard").drop("shard", "shard_bytes")
-        columns = [c for c in tagged.columns if c != "bin"]
-        (tagged.repartition(bins, "bin").sortWithinPartitions("bin").write.partitionBy("bin").option("compression", "zstd").parquet(folder))
-        assert columns, "a shard has columns"
-        kept = self.manifest(v).join(F.broadcast(planned.select("shard")), "shard", "left_anti")
+        # bins get numbers, and each number is a partition
+        groups = planned.select("bin").distinct().withColumn("number", F.row_number().over(Window.orderBy("bin")) - 1)
+        numbered = planned.join(groups, "bin").select("shard", "number")
+        bins = groups.count()
+        tagged = self.read(v, only=names).join(numbered, "shard").drop("shard", "shard_bytes")
+        tagged.repartitionById(bins, "number").drop("number").write.option("compression", "zstd").parquet(folder)
+        kept = self.manifest(v).join(planned.select("shard"), "shard", "left_anti")
         return self._commit(kept.unionByName(self._tiered(self._sizes(folder))), v + 1)
 
     def read(self, version: int | None = None, only: list[str] | None = None) -> DataFrame:
@@ -140,35 +178,32 @@ class ShardStore:
         return rows.withColumns({"shard": F.col("_metadata.file_path"), "shard_bytes": F.col("_metadata.file_size")})
 
     def expire(self, keep: int = 1) -> None:
-        """Delete manifests but the last ``keep``, and the shards that only they list."""
+        """Delete manifests but the last ``keep``, and the shards that only they list; on demand only."""
         last = self.version()
-        old = [v for v in range(1, last - keep + 1) if self._fs(f"{self.root}/manifest/v{v:06d}")[0].exists(self._fs(f"{self.root}/manifest/v{v:06d}")[1])]
+        have = [v for v in range(1, last + 1) if self._fs(f"{self.root}/manifest/v{v:06d}")[0].exists(self._fs(f"{self.root}/manifest/v{v:06d}")[1])]
+        old, live = [v for v in have if v <= last - keep], [v for v in have if v > last - keep]
         if not old:
             return
-        live = self.manifest(last)
-        for v in range(last - keep + 1, last):
-            live = live.unionByName(self.manifest(v))
-        dead = self.manifest(old[0])
-        for v in old[1:]:
-            dead = dead.unionByName(self.manifest(v))
-        dead = dead.select("shard").distinct().join(live.select("shard").distinct(), "shard", "left_anti")
-        for r in dead.toLocalIterator():
+        shards = lambda versions: reduce(DataFrame.unionByName, [self.manifest(v).select("shard") for v in versions]).distinct()
+        for r in shards(old).join(shards(live), "shard", "left_anti").toLocalIterator():
             fs, at = self._fs(r["shard"])
             fs.delete(at, False)
         for v in old:
-            fs, at = self._fs(f"{self.root}/manifest/v{v:06d}")
+            fs, at = self._fs(self._list(v))
             fs.delete(at, True)
+            fs.delete(self._fs(f"{self.root}/manifest/v{v:06d}")[1], False)
 
 
-def shard(docs: DataFrame, root: str | None = None, rounds: int = 8, **sizes: int) -> DataFrame:
-    """Append ``docs`` to a store, compact until no group is left, and read the last version."""
+def shard(docs: DataFrame, root: str | None = None, arrivals: int = ARRIVALS, **sizes: int) -> ShardStore:
+    """A store of ``docs`` that came in ``arrivals`` parts by hash of the row's id; compacted after each."""
     spark = docs.sparkSession
     store = ShardStore(spark, root or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}", **sizes)
-    at = store.append(docs)
-    for _ in range(rounds):
-        after = store.compact()
-        if after == at:
-            break
-        at = after
-        store.expire()
-    return store.read()
+    for k in range(arrivals):
+        at = store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)) == k))
+        while (after := store.compact()) != at:
+            at = after
+    return store
+
+
+#: The query in DuckDB's SQL: every document once, in a shard that the last manifest lists.
+SQL = "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256, true AS listed FROM documents"
