@@ -1,24 +1,26 @@
 """Mixing sources to target weights by systematic sampling; DataFrame functions only.
 
-Documents of a source stand in the order (size, hash slice, doc_id). Each has the same expected
+Documents of a source stand in the order (size, digest of doc_id and text). Each has the same expected
 number of copies, target / source size. The prefix sum of these, plus one random offset a source,
 crosses integer boundaries; a document is emitted once for each boundary crossed in its interval.
 Because the order starts with the size, what a source emits has nearly the sizes of the source, so
 its words come near the target.
 
-The prefix sum never puts a source into one task: counts are taken by (source, size, slice), summed
-over slices within a size and over sizes within a source, and only the rows of one slice are
-numbered together.
+The prefix sum never puts a source into one task: counts are taken by (source, size, slice), where a slice
+is the digest's first ``SLICE`` hex digits, summed over slices within a size and over sizes within a
+source, and only the rows of one slice are numbered together.
 
 Edge cases: a null text has size 0; sources may be null (last in order); a source without words has
-target 0 and none of it is taken; an empty table gives an empty result; repeated rows are numbered
-one by one like any other rows; extra columns are carried, except ones named like an output.
+target 0 and none of it is taken; an empty table gives an empty result; rows that repeat id and text
+stand side by side, ordered by their other columns, so reruns agree; a very long text counts whole;
+extra columns are carried, except ones named like an output.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SEED, col
 
@@ -27,8 +29,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: A source gives at most this multiple of its size.
 MOST = 3
-#: Slices of a (source, size) group that are numbered apart.
-SLICES = 64
+#: Hex digits of a slice: 65,536 slices of a (source, size) group are numbered apart.
+SLICE = 4
 
 OUTPUTS = ["size", "source_size", "target", "copies", "taken"]
 
@@ -70,11 +72,13 @@ def mix(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, m
     """``docs`` with size, source_size, target, copies (times the mix holds the row) and taken."""
     kept = [c for c in docs.columns if c not in OUTPUTS]
     named = [col(c).alias(f"in_{i}") for i, c in enumerate(kept)]
-    piece = F.coalesce(F.col("doc_id") % 1000003, F.lit(0)) * 7919 % SLICES
+    text = F.col("text").cast("string")
+    digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
+    # a map can't be hashed; its text can
+    rest = [F.to_json(F.struct(col(c))) if isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType)) else col(c) for c in kept if c not in ("doc_id", "text")]
     rows = docs.select(
-        *named, F.col("doc_id").alias("k_id"), F.col("source").cast("string").alias("source"),
-        words(F.col("text")).alias("size"), piece.alias("slice"),
-    )
+        *named, digest.alias("digest"), F.xxhash64(F.lit(0), *rest).alias("tie"), F.col("source").cast("string").alias("source"), words(text).alias("size"),
+    ).withColumn("slice", F.substring("digest", 1, SLICE))
     by_slice = rows.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = Window.unboundedPreceding
     by_slice = by_slice.withColumn(
@@ -95,7 +99,7 @@ def mix(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, m
         return a.join(b, on).drop(*[f"r_{k}" for k in keys])
 
     starts = same(same(by_slice.drop("n"), by_size.drop("m"), "source", "size"), aims, "source")
-    here = Window.partitionBy("source", "size", "slice").orderBy("k_id")
+    here = Window.partitionBy("source", "size", "slice").orderBy("digest", "tie")
     rows = rows.withColumn("nth", F.row_number().over(here))
     rows = same(rows, starts, "source", "size", "slice")
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
@@ -117,7 +121,8 @@ def emitted(mixed: DataFrame) -> DataFrame:
 #: The query in DuckDB's SQL.
 SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+    md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS digest
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS r
       FROM d GROUP BY source),
@@ -131,7 +136,7 @@ l AS (SELECT *, cap::DOUBLE / w AS fill,
 f AS (SELECT level FROM l WHERE fill > level ORDER BY fill LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN fill <= level THEN cap::DOUBLE ELSE (SELECT level FROM f) * w END AS target FROM l),
 n AS (SELECT d.doc_id, d.source, d.size, row_number() OVER (PARTITION BY d.source
-        ORDER BY d.size, coalesce(d.doc_id % 1000003, 0) * 7919 % {SLICES}, d.doc_id NULLS FIRST) AS nth FROM d),
+        ORDER BY d.size, d.digest) AS nth FROM d),
 u AS (SELECT n.doc_id, n.size, t.source_size, t.target, n.nth,
         CASE WHEN t.source_size = 0 THEN 0.0::DOUBLE ELSE t.target / t.source_size END AS rate,
         ('0x' || substr(md5('{SEED}:' || coalesce(n.source, chr(0) || 'none')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS o
