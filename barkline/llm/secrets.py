@@ -3,16 +3,19 @@
 Base kinds: ``assign`` (a name such as password or api_key, a sign, a value), ``access`` (AKIA...),
 ``hex`` (long lower-case hex runs). Structural kinds, reported only when decoding confirms them:
 
-* ``der``: base64 or hex that decodes to an ASN.1 SEQUENCE whose nested lengths fill it exactly,
+* ``der``: base64, base64url or hex that decodes to an ASN.1 SEQUENCE whose elements' lengths fill it
+  exactly, and so on within each constructed element,
 * ``sshkey``: base64 that decodes to an SSH key (magic or algorithm name, nested 4-byte lengths),
-* ``jwt``: three base64url parts whose first decodes to a JSON object with ``alg``.
+* ``jwt``: three base64url parts whose first decodes to a JSON object with ``alg`` and whose others decode.
 
-A base64 key starts at a line's run of 40 or more base64 characters and goes on over lines of any
+A base64 key starts at a line's run of 24 or more base64 characters and goes on over lines of any
 length, indented or not, for as many characters as its own header states; there a run must end. So
-neither a short last line nor what follows on the next line changes what is found.
+neither a short last line nor what follows on the next line changes what is found. Less than 16 bytes
+are no key.
 
-Spans are code points, end exclusive. A null text is empty and has no spans. The whole text is
-searched; memory is that of one text.
+Spans are code points, end exclusive. A null or empty text has no spans. The whole text is searched,
+however long; memory is that of one text. Repeated rows get equal spans, spans at one start are in the
+order of kinds, an empty table gives an empty result, and columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -36,12 +39,14 @@ _ASSIGN = re.compile(r"""(?ia:(password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: The first line of a base64 key: what a SEQUENCE, a public SSH key and openssh-key-v1 begin with.
-_START = re.compile(r"(?<![A-Za-z0-9+/])(?=M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{40,}")
+_START = re.compile(r"(?<![A-Za-z0-9+/])(?=M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{24,}")
 _LINES = re.compile(r"[A-Za-z0-9+/]+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/]+)*")
 _LINE = re.compile(r"[A-Za-z0-9+/]+")
 #: Lines of a key whose stated length is not in the text.
 _B64 = re.compile(r"[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]{16,})*={0,2}")
-_ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
+_ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])")
+#: The same on one line in the alphabet for URLs, with a character that only that one has.
+_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])M[A-P][A-Za-z0-9_-]{22,}(?![A-Za-z0-9_-])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 _SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
@@ -64,16 +69,28 @@ def _der_length(data: bytes, at: int) -> tuple[int, int] | None:
     return (at, at + n) if at + n <= len(data) else None
 
 
+#: Constructed elements within each other at most; keys and certificates have about ten.
+_DEPTH = 40
+
+
+def _filled(data: bytes, at: int, end: int, depth: int = 0) -> int:
+    """Elements that fill data[at:end] exactly, those within constructed ones too; 0 if they don't."""
+    n = 0
+    while at < end:
+        inner = _der_length(data, at)
+        if inner is None or inner[1] > end or (data[at] == 0x02 and inner[0] == inner[1]):
+            return 0
+        if data[at] & 0x20 and inner[0] < inner[1] and (depth == _DEPTH or not _filled(data, *inner, depth + 1)):
+            return 0
+        at, n = inner[1], n + 1
+    return n
+
+
 def is_der(data: bytes) -> bool:
-    """A SEQUENCE that fills the data and whose elements, with INTEGER or SEQUENCE first, fill it."""
+    """A SEQUENCE that fills the data and whose elements, two or more with INTEGER or SEQUENCE first, fill it."""
     if len(data) < 16 or data[0] != 0x30 or not (outer := _der_length(data, 0)) or outer[1] != len(data):
         return False
-    at, seen = outer[0], 0
-    while at < outer[1]:
-        if (seen == 0 and data[at] not in (0x02, 0x30)) or not (inner := _der_length(data, at)) or inner[1] > outer[1]:
-            return False
-        at, seen = inner[1], seen + 1
-    return seen >= 2
+    return data[outer[0]] in (0x02, 0x30) and _filled(data, *outer) >= 2
 
 
 def is_ssh_key(data: bytes) -> bool:
@@ -164,7 +181,7 @@ def _encoded_keys(text: str) -> list[tuple[int, int, int]]:
             """Where the text of ``total`` bytes from here ends, if a line's run ends there too."""
             return ends.get(at + (4 * total + 2) // 3)  # noqa: B023
 
-        head = base64.b64decode(chars[at : at + 40])
+        head = _unb64(chars[at : at + 40]) or _unb64(chars[at : at + 24])
         kind, end = 0, None
         if head[0] == 0x30:
             total = _der_total(head)
@@ -189,8 +206,10 @@ def _encoded_keys(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_signed_token(token: str) -> bool:
-    """A first part that decodes to a JSON object with a string ``alg``."""
-    head = token.split(".")[0]
+    """A first part that decodes to a JSON object with a string ``alg``, and two more that decode."""
+    head, *rest = token.split(".")
+    if len(rest) != 2 or any(len(x) % 4 == 1 for x in rest):
+        return False
     try:
         got = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
     except (ValueError, binascii.Error):
@@ -209,6 +228,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     for m in _ANY_HEX.finditer(text):
         if len(m[0]) % 2 == 0 and is_der(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), 3))
+    for m in _URL.finditer(text):
+        if is_der(base64.urlsafe_b64decode(m[0] + "=" * (-len(m[0]) % 4)) if len(m[0]) % 4 != 1 else b""):
+            found.append((m.start(), m.end(), 3))
     if "eyJ" in text:
         found += [(m.start(), m.end(), 5) for m in _JWT.finditer(text) if is_signed_token(m[0])]
     found.sort(key=lambda s: (s[0], s[2], s[1]))
