@@ -1,73 +1,98 @@
 """Quality classifier: supervised subword embeddings.
 
-Each word has a vector of its own bucket plus those of its character n-grams (hashed); a pair of equal
-words in a row has one vector, whatever the word. A text is the mean of its words' and pairs' vectors
-and of one end-of-text vector; a softmax over two classes follows. The vectors and the softmax are trained in numpy by stochastic gradient descent on a bounded sample of
-labelled rows. Scoring is linear in the words, so a task keeps one number a word.
+Each word has a vector of its own bucket plus those of its character n-grams, and each pair of words in
+a row has one (all hashed; where both words are equal the pair is hashed as back-references, whatever
+the word, so that repetition is learned across words). A text is the mean of its words' and pairs' vectors and of one end-of-text
+vector; a softmax over two classes follows. The vectors and the softmax are trained in numpy by
+stochastic gradient descent on a bounded sample of labelled rows. Scoring is linear in the vectors, so a
+task keeps one number a word.
 
 Edge cases: null and empty texts have the end-of-text vector only; without both labels the score is
-the share of good ones; repeated rows get equal scores; columns score and predicted are replaced.
+the share of good ones; repeated rows and ties get equal scores; an empty table gives an empty result; a
+very long text is scored whole; columns score and predicted are replaced, other columns are carried.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import SEED, append_columns, labelled_sample
+from .common import SEED, append_columns, char_grams, labelled_sample, mixed
 
 LABELLED_ROWS = 4000
 BUCKETS = 1 << 17
 DIM = 8
-EPOCHS = 8
-RATE = 0.4
-GRAMS = (2, 3, 4)
-
-
-def subwords(word: str) -> list[int]:
-    """Buckets of the word and of its character n-grams, marked at its ends."""
-    marked = f"<{word[:64]}>"
-    got = [zlib.crc32(b"w" + word.encode("utf-8", "surrogatepass"))]
-    for n in GRAMS:
-        got += [zlib.crc32(marked[i : i + n].encode("utf-8", "surrogatepass")) for i in range(len(marked) - n + 1)]
-    return [2 + g % (BUCKETS - 2) for g in got]
+EPOCHS = 4
+RATE = 3.0
+_BITS = np.uint64(64 - 17)
+_NEXT = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
 class Model:
-    """Per-bucket difference of the two classes' logits; bucket 0 is the end of a text, 1 an equal pair."""
+    """Per-bucket difference of the two classes' logits; bucket 0 is the end of a text."""
 
     gain: np.ndarray
     prior: float
 
-    def word(self, w: str) -> float:
-        return float(self.gain[subwords(w)].sum())
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return np.maximum(hashes >> _BITS, np.uint64(1)).astype(np.int32)
+
+
+class Words(dict):
+    """Word -> its place; places hold the word's hash (``marks``) and what ``learn`` makes of its buckets."""
+
+    def __init__(self, most: int = 300_000):
+        super().__init__()
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.marks = np.zeros(0, np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = at = len(self)
+        return at
+
+    def learn(self) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, place among the new words) of the n-grams and whole words that are new."""
+        hashes, of = char_grams(self.new, 2)
+        # whole words come last, in order
+        self.marks = np.concatenate([self.marks, hashes[len(hashes) - len(self.new) :]])
+        self.new = []
+        return _buckets(hashes), of
+
+    def pairs(self, at: np.ndarray) -> np.ndarray:
+        """Buckets of the pairs of words in a row; a pair of equal words is written as two back-references."""
+        m = self.marks[at]
+        same = m[:-1] == m[1:]
+        return _buckets(mixed(np.where(same, _NEXT, m[:-1]) * _NEXT + np.where(same, _NEXT, m[1:])))
 
 
-def _bag(text: str | None, cache: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and weights of a text: count of each word over the number of words and the end."""
-    order = text.split() if text else []
-    words = Counter(order)
-    total = len(order) + 1
-    ids, weights = [0, 1], [1.0, float(sum(map(eq, order, order[1:])))]
-    for w, n in words.items():
-        got = cache.get(w)
-        if got is None:
-            got = cache[w] = subwords(w)
-        ids += got
-        weights += [n] * len(got)
-    used, at = np.unique(np.array(ids, np.int64), return_inverse=True)
-    return used, np.bincount(at, weights=weights) / total
+def _bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text and their weights: the share of each among its n-grams, words, pairs and end."""
+    words = Words()
+    at = np.fromiter(map(words.__getitem__, text.split() if text else []), np.int64)
+    ids, weights = [np.zeros(1, np.int32)], [np.ones(1)]
+    if len(at):
+        b, of = words.learn()
+        pairs = words.pairs(at)
+        ids += [b, pairs]
+        weights += [np.bincount(at)[of], np.ones(len(pairs))]
+    used, place = np.unique(np.concatenate(ids), return_inverse=True)
+    weight = np.bincount(place, weights=np.concatenate(weights))
+    return used, (weight / weight.sum()).astype(np.float32)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, dim: int = DIM, seed: int = SEED) -> Model:
+def train(texts: Iterable, y: np.ndarray, epochs: int = EPOCHS, dim: int = DIM, seed: int = SEED) -> Model:
     y = np.asarray(y, int)
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.5
@@ -75,8 +100,7 @@ def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, dim: int = DIM,
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1.0 / dim, 1.0 / dim, (BUCKETS, dim))
     out = np.zeros((2, dim))
-    cache: dict[str, list[int]] = {}
-    bags = [_bag(t, cache) for t in texts]
+    bags = [_bag(t if isinstance(t, str) else t.as_py()) for t in texts]
     weight = len(y) / (2.0 * np.bincount(y, minlength=2))
     weight = np.minimum(weight, 4.0)
     steps, done = epochs * len(y), 0
@@ -98,8 +122,8 @@ def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, dim: int = DIM,
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, bound: int = LABELLED_ROWS) -> Model:
     """Train on a bounded sample of labelled rows; held-out ids are never read."""
-    got = labelled_sample(documents, labels, "quality", modulus, held, bound).select("text", "y").toPandas()
-    return train(list(got["text"]), got["y"].to_numpy())
+    got = labelled_sample(documents, labels, "quality", modulus, held, bound).toArrow()
+    return train(got.column("text"), got.column("y").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
@@ -109,22 +133,21 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, keep: list[str]
 
     def make() -> Callable:
         gain, prior = sent.value
-        known: dict[str, float] = {}
-
-        def logit(text):
-            order = text.split() if text else []
-            total = gain[0] + gain[1] * sum(map(eq, order, order[1:]))
-            for w, k in Counter(order).items():
-                g = known.get(w)
-                if g is None:
-                    g = known[w] = float(gain[subwords(w)].sum())
-                total += k * g
-            return prior + total / (len(order) + 1)
+        words, known, sizes = Words(), np.zeros(0), np.zeros(0)
 
         def apply(texts):
-            if len(known) > 500_000:
-                known.clear()
-            s = 1 / (1 + np.exp(-np.clip([logit(t) for t in texts], -30, 30)))
+            nonlocal known, sizes
+            if len(words) > words.most:
+                words.forget()
+                known, sizes = np.zeros(0), np.zeros(0)
+            found = [np.fromiter(map(words.__getitem__, t.split() if t else []), np.int64) for t in texts]
+            if n := len(words.new):
+                b, of = words.learn()
+                known = np.concatenate([known, np.bincount(of, weights=gain[b], minlength=n)])
+                sizes = np.concatenate([sizes, np.bincount(of, minlength=n)])
+            total = [gain[0] + known[at].sum() + gain[words.pairs(at)].sum() if len(at) else gain[0] for at in found]
+            z = prior + np.array(total) / np.array([sizes[at].sum() + max(len(at), 1) for at in found])
+            s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             return {"score": s, "predicted": (s >= threshold).astype(np.int32)}
 
         return apply
