@@ -1,39 +1,59 @@
 """A corpus pipeline: toxicity, n-gram Jaccard join, secret scans, mixing, BPE round trip.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next stage's ``docs``. Stages but the last return the columns of documents.
+again as the next stage's ``docs``. Stages but the last return the columns of documents. As a stage's
+result is written by the time the next one begins, that one drops the tables that its forerunner staged.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barkline.llm import bpe, mixing, ngram_join, secrets, toxicity
-from barkline.llm.common import release, shared_dir, staged
+from barkline.llm.common import drop, shared_dir, staged, staging
 from barkline.llm.queries import RANKS
 
 #: Trained models and token hashes can't be written in SQL; the stages are tested by brute force.
 ORACLE_SQL = None
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_done: list[str] = []
 
+
+def stage(f: Stage) -> Stage:
+    """``f`` with a folder of its own for the tables that it stages; the one of the stage before goes."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _done:
+            drop(spark, _done.pop())
+        with staging(f.__name__) as folder:
+            _done.append(folder)
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    release(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns if c != "text"}).withColumn("in_text", F.col("text")), model)
     return scored.where("predicted = 0").select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 
+@stage
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id stays of each group of near copies; rows without an id are documents too.
 
     Rows without words are no copies, so all of them stay.
     """
-    release(spark)
     null = F.col("doc_id").isNull()
     worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     least, most, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(null & worded)).first()
@@ -48,8 +68,10 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = ngram_join.jaccard_components(every)
     kept = staged(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
     rows = named.join(kept.where("count = 1"), "doc_id", "left_semi")
-    # of the rows that carry one id, one stays
-    again = named.join(kept.where("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # of the rows that carry one id the least one stays
+    again = named.join(kept.where("count > 1"), "doc_id", "left_semi")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    again = again.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
     out = rows.unionByName(again).unionByName(docs.where(null & ~worded))
     if unnamed is not None:
         alone = unnamed.join(kept, "doc_id", "left_semi").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
@@ -57,21 +79,21 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.select(*docs.columns)
 
 
+@stage
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
-    release(spark)
     return secrets.redact(docs)
 
 
+@stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    release(spark)
     return mixing.emitted(mixing.mix(docs))
 
 
+@stage
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, number and digest of the ids, digest of the decoded text."""
-    release(spark)
     coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=["doc_id"])
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
@@ -89,7 +111,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{k}-{name}")
+    for k, (name, apply) in enumerate(STAGES):
+        apply(spark, docs, sf_dir).write.parquet(f"{root}/{k}-{name}")
         docs = spark.read.parquet(f"{root}/{k}-{name}")
     return docs
