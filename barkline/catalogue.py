@@ -16,10 +16,11 @@ from barkline.functions import sequences as sq
 from barkline.operators import consensus as cs
 from barkline.operators import grouping as gp
 from barkline.operators import merge as mg
+from barkline.operators import pileup as pl
 from barkline.operators import preprocess as pp
 from barkline.operators import summaries as sm
 from barkline.operators import variants as vr
-from barkline.plans import views
+from barkline.plans import commands, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,7 +233,7 @@ def coverage_mean(spark, d):
 
 
 @query("coverage_running", sql(f"""SELECT region, CAST(avg(run) AS DOUBLE) AS mean_depth FROM (SELECT region,
-  sum(CASE WHEN q >= {QUALITY} THEN 1 ELSE 0 END) OVER (PARTITION BY region, pos ORDER BY read_id ROWS UNBOUNDED PRECEDING) AS run FROM pileup_v) GROUP BY region""", "pileup_v"))
+  sum(CASE WHEN q >= {QUALITY} THEN 1 ELSE 0 END) OVER (PARTITION BY region, pos ORDER BY read_id, q, umi, start ROWS UNBOUNDED PRECEDING) AS run FROM pileup_v) GROUP BY region""", "pileup_v"))
 def coverage_running(spark, d):
     return cs.running_coverage(views.pileup(spark, d), QUALITY)
 
@@ -248,7 +249,7 @@ def islands(spark, d):
 
 @query("variants", sql("SELECT * FROM vv", "vv"))
 def variants(spark, d):
-    return vr.variants(_calls(spark, d))
+    return vr.variants(_calls(spark, d)).drop("ref_depth", "mean_fam")
 
 
 @query("variant_filter", sql("SELECT region, pos, fam, ref, alt, depth, CASE WHEN depth >= 10 THEN 'PASS' ELSE 'a10' END AS filter FROM vv", "vv"))
@@ -256,6 +257,56 @@ def variant_filter(spark, d):
     return vr.labelled(variants(spark, d)).select("region", "pos", "fam", "ref", "alt", "depth", "filter")
 
 
+#: The rounding of text fields, in arithmetic that engines do alike.
+_ROUND = "CAST(floor({x} * {k} + 0.5) / {k} AS VARCHAR)"
+_ORDER = "ORDER BY instr('ACGTN', alt), alt"
+
+
+@query("vcf_records", sql(f"""SELECT v.region AS contig, v.pos + 1 AS pos, v.fam, v.ref, string_agg(alt, ',' {_ORDER}) AS alt,
+  CASE WHEN max(depth) >= 10 THEN 'PASS' ELSE 'a10' END AS filter,
+  concat('RDP=', max(v.rawdp), ';CDP=', max(v.consdp), ';MIF=', v.fam, ';MNF=', {_ROUND.format(x="coalesce(max(s.mean_fam), 0.0::DOUBLE)", k=100)}, ';AD=', max(r.ref_depth),
+         ';AL=', string_agg(CAST(depth AS VARCHAR), ',' {_ORDER}), ';AF=', string_agg({_ROUND.format(x="freq", k=10000)}, ',' {_ORDER})) AS info
+  FROM vv v JOIN (SELECT region, pos, fam, CAST(coalesce(sum(n) FILTER (WHERE ref = alt AND length(ref) = 1), 0) AS BIGINT) AS ref_depth FROM calls GROUP BY region, pos, fam) r
+    ON r.region = v.region AND r.pos = v.pos AND r.fam = v.fam
+  LEFT JOIN (SELECT region, pos, s.fam, CAST(avg(m) AS DOUBLE) AS mean_fam FROM (SELECT region, pos, parent, dist, max(fam_n) AS m FROM al GROUP BY region, pos, parent, dist) x
+    JOIN (VALUES {', '.join(f'({s})' for s in SIZES)}) s(fam) ON m >= s.fam GROUP BY region, pos, s.fam) s ON s.region = v.region AND s.pos = v.pos AND s.fam = v.fam
+  GROUP BY v.region, v.pos, v.fam, v.ref, CASE WHEN length(v.ref) = 1 AND length(alt) = 1 THEN '' ELSE concat(v.ref, '>', alt) END""", "vv", "calls", "al"))
+def vcf_records(spark, d):
+    calls = cs.with_mean_family(_calls(spark, d), cs.family_sizes(_alleles(spark, d), SIZES))
+    out = vr.vcf_records(vr.variants(calls))
+    return out.select(F.col("`#CHROM`").alias("contig"), F.col("POS").alias("pos"), "fam", F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("FILTER").alias("filter"), F.col("INFO").alias("info"))
+
+
+_REGIONS = 'SELECT DISTINCT region AS contig, CAST(floor(start / 170) * 170 + 5 AS BIGINT) AS start, CAST(floor(start / 170) * 170 + 95 AS BIGINT) AS "end" FROM reads_v'
+
+
+@query("region_reads", sql(f"""SELECT concat(g.contig, ':', g.start + 1, '-', g."end") AS region, count(*) AS n_reads
+  FROM ({_REGIONS}) g JOIN reads_v r ON r.region = g.contig AND r.start < g."end" AND r.start + 30 > g.start GROUP BY 1""", "reads_v"))
+def region_reads(spark, d):
+    reads = views.reads(spark, d).withColumnRenamed("region", "contig").select("contig", "start", "end")
+    at = (F.floor(F.col("start") / 170) * 170).cast("bigint")
+    regions = reads.select("contig", (at + 5).alias("start"), (at + 95).alias("end")).distinct()
+    return pl.region_read_counts(reads, regions)
+
+
+@query("covered_intervals", sql("""SELECT region, min(pos) + 1 AS start, max(pos) + 1 AS "end" FROM
+  (SELECT region, pos, pos - row_number() OVER (PARTITION BY region ORDER BY pos) AS k FROM
+    (SELECT region, pos FROM (SELECT region, unnest(generate_series(CAST(start AS BIGINT), CAST(start + 29 AS BIGINT))) AS pos FROM reads_v) GROUP BY region, pos HAVING count(*) >= 35))
+  GROUP BY region, k HAVING max(pos) + 1 - min(pos) >= 10""", "reads_v"))
+def covered_intervals(spark, d):
+    reads = views.reads(spark, d).withColumnRenamed("region", "contig").withColumn("cigar", F.lit("30M"))
+    return commands.bed(reads, 35, 10)
+
+
+@query("family_size_track", sql(f"""SELECT region, fam, pos, CAST(avg(m) AS DOUBLE) AS mean_fam
+  FROM (SELECT region, pos, parent, dist, max(fam_n) AS m FROM al GROUP BY region, pos, parent, dist) x
+  JOIN (VALUES {', '.join(f'({s})' for s in SIZES)}) s(fam) ON m >= fam
+  WHERE EXISTS (SELECT 1 FROM calls c WHERE c.region = x.region AND c.pos = x.pos AND c.fam = s.fam) GROUP BY region, fam, pos""", "al", "calls"))
+def family_size_track(spark, d):
+    wide = cs.consensus_wide(_calls(spark, d), cs.family_sizes(_alleles(spark, d), SIZES))
+    return sm.family_size_track(wide).select("region", "fam", "pos", "mean_fam")
+
+
 @query("merge_dedup", sql("""SELECT contig, pos, fam, region_start, ref, alt, n FROM (SELECT region AS contig, pos, ref AS fam, start AS region_start, ref, alt, count(*) AS n,
   row_number() OVER (PARTITION BY region, pos, ref ORDER BY start, ref, alt, count(*)) AS k FROM pileup_v GROUP BY region, pos, ref, start, alt) WHERE k = 1""", "pileup_v"))
 def merge_dedup(spark, d):
@@ -340,7 +391,11 @@ def family_size_histogram(spark, d):
     return sm.histogram(umi_families(spark, d), "fam_n", 15)
 
 
-@query("depth_density", None)
+@query("depth_density", sql("""SELECT g.region, x, sum(c * exp(-0.5 * ((x - v) / h) * ((x - v) / h))) / (n * h * 2.5066282746310002) AS density FROM
+  (SELECT region, n, h, lo - 3 * h + k * (hi - lo + 6 * h) / 99 AS x FROM
+    (SELECT region, count(*) AS n, min(depth)::DOUBLE AS lo, max(depth)::DOUBLE AS hi, greatest(coalesce(stddev_samp(depth), 0) * pow(count(*)::DOUBLE, -0.2), 1e-9) AS h FROM d GROUP BY region) s,
+    generate_series(0, 99) t(k)) g
+  JOIN (SELECT region, depth::DOUBLE AS v, count(*) AS c FROM d GROUP BY region, depth) w ON w.region = g.region GROUP BY g.region, x, n, h""", "d"))
 def depth_density(spark, d):
     return sm.density(cs.depths(views.pileup(spark, d)), "depth")
 

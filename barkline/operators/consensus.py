@@ -68,6 +68,11 @@ def family_sizes(alleles: DataFrame, sizes: list[int]) -> DataFrame:
     return sized.groupBy("region", "pos", "fam").agg(F.min("fam_n").alias("min_fam"), F.avg("fam_n").alias("mean_fam"))
 
 
+def with_mean_family(calls: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Calls with the mean family size of their position and size; 0 at size 0."""
+    return calls.join(sizes.select("region", "pos", "fam", "mean_fam"), ["region", "pos", "fam"], "left").withColumn("mean_fam", F.coalesce("mean_fam", F.lit(0.0)))
+
+
 def consensus_wide(calls: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """One row a (region, pos, fam): base counts, indel lists, depths, ref share and family size.
 
@@ -105,8 +110,11 @@ def mean_coverage(pileup: DataFrame, quality: int = 25) -> DataFrame:
 
 
 def running_coverage(pileup: DataFrame, quality: int = 25) -> DataFrame:
-    """(region, mean_depth) as the mean of a running count over the reads of each column (quirk)."""
-    w = Window.partitionBy("region", "pos").orderBy("read_id").rowsBetween(Window.unboundedPreceding, 0)
+    """(region, mean_depth) as the mean of a running count over the reads of each column (quirk).
+
+    Rows of equal read_id stand in the order of their quality, barcode and start, so ties don't matter.
+    """
+    w = Window.partitionBy("region", "pos").orderBy("read_id", "q", "umi", "start").rowsBetween(Window.unboundedPreceding, 0)
     run = pileup.withColumn("run", F.sum((F.col("q") >= quality).cast("bigint")).over(w))
     return run.groupBy("region").agg(F.avg("run").alias("mean_depth"))
 
@@ -120,11 +128,20 @@ def islands(depth: DataFrame, min_depth: int, min_size: int = 1) -> DataFrame:
     deep = depth.where(F.col("depth") >= min_depth).withColumn("bin", F.floor(F.col("pos") / BIN))
     in_bin = Window.partitionBy("region", "bin").orderBy("pos")
     runs = deep.withColumn("k", F.col("pos") - F.row_number().over(in_bin)).groupBy("region", "bin", "k").agg(F.min("pos").alias("a"), F.max("pos").alias("b"))
+    return joined_runs(runs, min_size)
+
+
+def joined_runs(runs: DataFrame, min_size: int) -> DataFrame:
+    """(region, start, end) of runs (region, bin, a, b) joined where they touch at bin borders, 1-based inclusive.
+
+    Only runs that touch a border of their bin are sorted together, at most two a bin; the others are whole.
+    """
+    low, high = F.col("a") == F.col("bin") * BIN, F.col("b") == (F.col("bin") + 1) * BIN - 1
+    inner = runs.where(~low & ~high).select("region", "a", (F.col("b") + 1).alias("b"))
     by = Window.partitionBy("region").orderBy("a")
-    runs = runs.withColumn("new", F.coalesce((F.col("a") > F.lag("b").over(by) + 1).cast("int"), F.lit(1)))
-    runs = runs.withColumn("island", F.sum("new").over(by))
-    out = runs.groupBy("region", "island").agg(F.min("a").alias("a"), (F.max("b") + 1).alias("b"))
-    return out.where(F.col("b") - F.col("a") >= min_size).select("region", (F.col("a") + 1).alias("start"), F.col("b").alias("end"))
+    edge = runs.where(low | high).withColumn("new", F.coalesce((F.col("a") > F.lag("b").over(by) + 1).cast("int"), F.lit(1)))
+    edge = edge.withColumn("island", F.sum("new").over(by)).groupBy("region", "island").agg(F.min("a").alias("a"), (F.max("b") + 1).alias("b")).drop("island")
+    return inner.unionByName(edge).where(F.col("b") - F.col("a") >= min_size).select("region", (F.col("a") + 1).alias("start"), F.col("b").alias("end"))
 
 
 #: Positions of a bin of the island search.

@@ -68,23 +68,25 @@ def umi_edges(counts: DataFrame, length: int, distance: int = 1) -> DataFrame:
     return pairs.where(within(F.col("src"), F.col("dst"), bounds, distance)).select("region", "src", "dst")
 
 
-def umi_groups(counts: DataFrame, edges: DataFrame, rounds: int = 200) -> DataFrame:
+def umi_groups(counts: DataFrame, edges: DataFrame) -> DataFrame:
     """(region, umi, parent): parent is the highest ranked barcode from which an edge path leads here.
 
-    Rank is (n descending, first_seen, umi). Labels pass along edges until none changes; counts halve
-    at each edge, so few rounds are needed.
+    Rank is (n descending, first_seen, umi). A label passes along an edge, and then gives way to its own
+    barcode's label, so the way that labels have come doubles each round; rounds end when none changes.
     """
     rank = F.struct((-F.col("n")).alias("n"), F.col("first_seen").alias("s"), F.col("umi").alias("u"))
     labels = durable(counts.select("region", "umi", rank.alias("label")))
     edges = durable(edges)
-    for _ in range(rounds):
+    while True:
         sent = edges.join(labels.withColumnRenamed("umi", "src"), ["region", "src"]).groupBy("region", F.col("dst").alias("umi")).agg(F.min("label").alias("sent"))
-        new = durable(labels.join(sent, ["region", "umi"], "left").select("region", "umi", F.least("label", "sent").alias("label"), (F.col("sent") < F.col("label")).alias("moved")))
+        met = labels.join(sent, ["region", "umi"], "left").select("region", "umi", "label", F.least("label", "sent").alias("best"))
+        above = labels.select("region", F.col("umi").alias("u"), F.col("label").alias("above"))
+        met = met.withColumn("u", F.col("best.u")).join(above, ["region", "u"]).withColumn("best", F.least("best", "above"))
+        new = durable(met.select("region", "umi", F.col("best").alias("label"), (F.col("best") < F.col("label")).alias("moved")))
         moved = new.where("moved").limit(1).count()
         labels = new.drop("moved")
         if not moved:
             return labels.select("region", "umi", F.col("label.u").alias("parent"))
-    raise RuntimeError("grouping did not settle")
 
 
 def group_summary(groups: DataFrame) -> DataFrame:

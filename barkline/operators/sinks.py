@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barkline.functions.sequences import contig_order
-from barkline.operators.variants import vcf_order
 
 
 def tsv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
@@ -72,18 +71,21 @@ def consensus(wide: DataFrame, path: str) -> None:
 #: The information fields of a record.
 VCF_INFO = (
     ("RDP", "1", "Integer", "Raw depth"), ("CDP", "1", "Integer", "Consensus depth"), ("MIF", "1", "Integer", "Minimum family size"), ("MNF", "1", "Float", "Mean family size"),
-    ("AD", "A", "Integer", "Reads of each allele"), ("AL", "A", "String", "Alternative alleles"), ("AF", "A", "Float", "Share of each allele"),
+    ("AD", "1", "Integer", "Depth of the reference allele"), ("AL", "A", "Integer", "Depth of each alternative allele"), ("AF", "A", "Float", "Share of each alternative allele"),
 )
 
 
 def vcf(records: DataFrame, path: str, min_depth: int, reference: str = "", source: str = "barkline") -> None:
-    """VCF 4.1: header lines first, then the records in contig order, as one file."""
+    """VCF 4.1: header lines first, then the records in contig order, as one file, which one task sorts and writes."""
     spark = records.sparkSession
     head = ["##fileformat=VCFv4.1", f"##fileDate={time.strftime('%Y%m%d')}", f"##reference={reference}", f"##source={source}"]
     head += [f'##INFO=<ID={i},Number={n},Type={t},Description="{d}">' for i, n, t, d in VCF_INFO]
     head += [f'##FILTER=<ID=a{min_depth},Description="Fewer than {min_depth} reads of every alternative allele">', "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
-    lines = vcf_order(records).select(F.concat_ws("\t", *[F.col(f"`{c}`").cast("string") for c in ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")]).alias("value"))
-    spark.createDataFrame([(h,) for h in head], "value string").coalesce(1).unionAll(lines).write.mode("overwrite").text(path)
+    keys = [F.lit(1).alias("part"), F.col("`#CHROM`").alias("contig"), F.col("POS").cast("bigint").alias("at"), "REF", "ALT"]
+    lines = records.select(*keys, F.concat_ws("\t", *[F.col(f"`{c}`").cast("string") for c in ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")]).alias("value"))
+    first = spark.createDataFrame(list(enumerate(head)), "at bigint, value string").withColumn("part", F.lit(0))
+    whole = first.unionByName(lines, allowMissingColumns=True)
+    whole.repartition(1).sortWithinPartitions("part", *contig_order(F.col("contig")), "at", "REF", "ALT").select("value").write.mode("overwrite").text(path)
 
 
 def bed(intervals: DataFrame, path: str) -> None:

@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barkline.functions.sequences import umi_from_name
+from barkline.functions.sequences import contig_order, umi_from_name
 from barkline.operators import consensus as cs
 from barkline.operators import grouping as gp
 from barkline.operators import merge as mg
@@ -60,24 +60,27 @@ def preprocess(spark: SparkSession, paths: list[str], prep: pp.Prep, outdir: str
 
 
 def bed(alignments: DataFrame, min_depth: int, min_size: int, max_depth: int = 1_000_000, ignore_orphans: bool = False, stepper: str = "nofilter") -> DataFrame:
-    """(region = contig, start, end) of covered intervals, 1-based inclusive."""
-    reads = pl.stepped(alignments, stepper, ignore_orphans).where("contig IS NOT NULL AND cigar IS NOT NULL AND cigar <> '*'")
-    # the depth at a position from starts and ends: an event table instead of a row a base
-    events = reads.select("contig", F.col("start").alias("at"), F.lit(1).alias("step")).unionAll(reads.select("contig", F.col("end").alias("at"), F.lit(-1).alias("step")))
-    steps = events.groupBy("contig", "at").agg(F.sum("step").alias("step"))
-    return _deep_intervals(steps, min_depth, min_size)
-
-
-def _deep_intervals(steps: DataFrame, min_depth: int, min_size: int) -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("contig").orderBy("at")
-    runs = steps.withColumns({"depth": F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)), "next": F.lead("at").over(order)})
-    deep = runs.where((F.col("depth") >= min_depth) & F.col("next").isNotNull())
-    deep = deep.withColumn("new", F.coalesce((F.lag("next").over(order) < F.col("at")).cast("int"), F.lit(1)))
-    deep = deep.withColumn("island", F.sum("new").over(order))
-    out = deep.groupBy(F.col("contig").alias("region"), "island").agg(F.min("at").alias("a"), F.max("next").alias("b"))
-    return out.where(F.col("b") - F.col("a") >= min_size).select("region", (F.col("a") + 1).alias("start"), F.col("b").alias("end"))
+    """(region = contig, start, end) of covered intervals, 1-based inclusive; a column counts ``max_depth`` reads at most."""
+    reads = pl.stepped(alignments, stepper, ignore_orphans).where("contig IS NOT NULL AND cigar IS NOT NULL AND cigar <> '*'").where("end > start")
+    # the depth at a position from starts and ends, an event table instead of a row a base; each bin that a
+    # read touches has an event at its start
+    borders = F.transform(F.sequence(F.floor(F.col("start") / cs.BIN), F.floor((F.col("end") - 1) / cs.BIN)), lambda b: F.struct((b * cs.BIN).alias("at"), F.lit(0).alias("step")))
+    ends = F.array(F.struct(F.col("start").cast("bigint").alias("at"), F.lit(1).alias("step")), F.struct(F.col("end").cast("bigint").alias("at"), F.lit(-1).alias("step")))
+    events = reads.select("contig", F.inline(F.concat(ends, borders)))
+    steps = events.groupBy("contig", "at").agg(F.sum("step").alias("step")).withColumn("bin", F.floor(F.col("at") / cs.BIN))
+    return _deep_intervals(steps, min_depth, min_size, max_depth)
+
+
+def _deep_intervals(steps: DataFrame, min_depth: int, min_size: int, max_depth: int) -> DataFrame:
+    """Depths are summed within bins of a contig and, for what enters a bin, over bins."""
+    before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    entering = steps.groupBy("contig", "bin").agg(F.sum("step").alias("sum")).select("contig", "bin", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
+    order = Window.partitionBy("contig", "bin").orderBy("at")
+    runs = steps.withColumns({"depth": F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)), "next": F.coalesce(F.lead("at").over(order), (F.col("bin") + 1) * cs.BIN)})
+    deep = runs.join(entering, ["contig", "bin"]).where(F.least(F.col("depth") + F.col("base"), F.lit(max_depth)) >= min_depth)
+    deep = deep.withColumn("new", F.coalesce((F.lag("next").over(order) < F.col("at")).cast("int"), F.lit(1))).withColumn("k", F.sum("new").over(order))
+    whole = deep.groupBy(F.col("contig").alias("region"), "bin", "k").agg(F.min("at").alias("a"), (F.max("next") - 1).alias("b"))
+    return cs.joined_runs(whole.drop("k"), min_size)
 
 
 def region_reads(alignments: DataFrame, regions: DataFrame, separator: str = ":", read_count: int = 0) -> DataFrame:
@@ -110,7 +113,9 @@ def collapse(reads: DataFrame, groups: DataFrame, families: DataFrame, settings:
     alleles = durable(cs.family_allele_counts(piled, groups, families, settings.quality, settings.position))
     calls = cs.consensus(alleles, list(settings.sizes), settings.percent, settings.count).unionByName(cs.uncollapsed(cs.uncollapsed_alleles(piled, settings.quality)))
     calls = durable(calls)
-    wide = cs.consensus_wide(calls, cs.family_sizes(alleles, list(settings.sizes)))
+    sizes = cs.family_sizes(alleles, list(settings.sizes))
+    wide = cs.consensus_wide(calls, sizes)
+    calls = cs.with_mean_family(calls, sizes)
     return {"calls": calls, "consensus": wide, "coverage": cs.mean_coverage(piled, settings.quality)}
 
 
@@ -152,7 +157,10 @@ def merge(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
         every = rows[0]
         for r in rows[1:]:
             every = every.unionByName(r)
-        return mg.merge_consensus(every, ("CHROM", "POS", "FAM"), "file").orderBy("CHROM", "POS", "FAM")
+        # the region's start is in the name of the folder or file; without one the path decides
+        start = F.regexp_extract(F.try_url_decode(F.regexp_replace("file", r"\+", "%2B")), r"[:_-](\d+)[-_]\d+[^/]*(?:/[^/]*)?$", 1).try_cast("bigint")
+        first = mg.merge_consensus(every.withColumn("first", F.struct(start.alias("start"), "file")).drop("file"), ("CHROM", "POS", "FAM"), "first")
+        return first.orderBy(*contig_order(F.col("CHROM")), "POS", "FAM")
     raise ValueError("kind is datafiles, consensusfiles or umifiles")
 
 

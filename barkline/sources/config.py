@@ -57,7 +57,10 @@ def read_prep(name: str, path: str | None = None) -> Prep:
     spacer = got["SPACER_SEQ"] if as_bool(got["SPACER"]) else None
     if spacer is not None and spacer.lower() == "none":
         raise ValueError(f"{name} has a spacer without a sequence")
-    return Prep(name.upper(), int(got["INPUT_READS"]), int(got["OUTPUT_READS"]), _ints(got["UMI_LOCS"]), _ints(got["UMI_LENS"]), _ints(got["UMI_POS"]), spacer, as_bool(got["UMI_INLINE"]))
+    locs, lens, pos = (_ints(got[k]) for k in ("UMI_LOCS", "UMI_LENS", "UMI_POS"))
+    # one length or position holds for all locations
+    lens, pos = (x * len(locs) if len(x) == 1 else x for x in (lens, pos))
+    return Prep(name.upper(), int(got["INPUT_READS"]), int(got["OUTPUT_READS"]), locs, lens, pos, spacer, as_bool(got["UMI_INLINE"]))
 
 
 @dataclass(frozen=True)

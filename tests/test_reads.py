@@ -102,6 +102,9 @@ def test_run_command(spark, files, tmp_path):
     assert calls == {("T", "T", 2), ("T", "A", 1)}
     lines = [r["value"] for r in spark.read.text(f"{tmp_path}/VCFfiles/famsize_0").collect()]
     assert lines[0] == "##fileformat=VCFv4.1" and any(x.startswith("chr1\t13\t.\tG\tGTT") for x in lines)
+    assert len([f for f in (tmp_path / "VCFfiles/famsize_0").iterdir() if f.name.startswith("part-")]) == 1
+    info = {x.split("\t")[1]: x.split("\t")[7] for x in lines if x.startswith("chr1\t14\t")}["14"]
+    assert info == "RDP=3;CDP=3;MIF=0;MNF=0.0;AD=2;AL=1;AF=33.3333"
     wide = spark.read.option("recursiveFileLookup", "true").csv(f"{tmp_path}/Consfiles/consensus", sep="\t", header=True, schema=tables.CONSENSUS)
     assert wide.where("CHROM = 'chr1' AND POS = 14 AND FAM = 0").first()["A"] == 1
     back = tables.consensus_alleles(wide).where("fam = 0")
@@ -205,3 +208,22 @@ def test_streaming_equals_batch(spark, sf_dir, tmp_path):
     reads.repartition(3).write.parquet(str(tmp_path / "in"))
     st.keep_counts(st.arriving(spark, str(tmp_path / "in"), 1), "tally", str(tmp_path / "cp")).awaitTermination(120)
     assert {tuple(r) for r in spark.table("tally").collect()} == {tuple(r) for r in gp.umi_counts(gp.usable_reads(reads)).collect()}
+
+
+def test_single_valued_prep_lists_and_depth_cap(spark, tmp_path):
+    (tmp_path / "p.ini").write_text("[EPIC-DS]\nINPUT_READS = 2\nOUTPUT_READS = 2\nUMI_LOCS = 1,2\nUMI_LENS = 12\nUMI_POS = 1\nSPACER = TRUE\nSPACER_SEQ = TGACT\nUMI_INLINE = TRUE\n")
+    assert read_prep("EPIC-DS", str(tmp_path / "p.ini")) == PREPS["EPIC-DS"]
+    rows = [(k, 0, "chr1", s, e, "9M") for k, (s, e) in enumerate([(5, 250_005), (5, 250_005), (249_990, 250_020), (300_000, 300_010)])]
+    reads = spark.createDataFrame(rows, "read_id bigint, flag int, contig string, start bigint, end bigint, cigar string")
+    assert [tuple(r) for r in commands.bed(reads, 1, 1).orderBy("start").collect()] == [("chr1", 6, 250_020), ("chr1", 300_001, 300_010)]
+    assert [tuple(r) for r in commands.bed(reads, 2, 1).collect()] == [("chr1", 6, 250_005)]
+    assert commands.bed(reads, 2, 1, max_depth=1).count() == 0
+
+
+def test_grouping_of_a_long_chain_of_single_reads(spark):
+    from barkline.operators import grouping as gp
+
+    n = 300
+    counts = spark.createDataFrame([("r", f"u{k:04d}", 1, k) for k in range(n)], "region string, umi string, n bigint, first_seen bigint")
+    edges = spark.createDataFrame([("r", f"u{k:04d}", f"u{k + 1:04d}") for k in range(n - 1)], "region string, src string, dst string")
+    assert {r["parent"] for r in gp.umi_groups(counts, edges).collect()} == {"u0000"}
