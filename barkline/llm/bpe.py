@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import SEED, col
+from .common import SEED, col, give_back, text_batches
 
 CHUNK = 4_000_000
 FRESH = 400_000
@@ -289,12 +289,17 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     ranks = load_ranks(rank_path)
     table = RankMap(ranks)
     named = docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("in_text"))
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, *head_words(named, ranks, table, pattern)))
+    text_batches(docs.sparkSession)
+    sc = docs.sparkSession.sparkContext
+    head, flat, sizes = head_words(named, ranks, table, pattern)
+    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    coding, decoding = sc.broadcast((ranks, head)), sc.broadcast((tokens, flat, sizes))
+    give_back()
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, head = sent.value[:2]
+        ranks, head = coding.value
         split, words = regex.compile(pattern).findall, Numbered(ranks, head)
         sizes, codes, chars, forget = [], [], 0, False
         blob = pa.BufferOutputStream()
@@ -334,6 +339,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                     yield out()
             # written at once: a kept column would hold the whole batch's memory
             sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at) for c in batch.columns[: len(kept)]], schema=arrow_in))
+            pa.default_memory_pool().release_unused()
         if sizes:
             yield out()
 
@@ -344,8 +350,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     arrow_out = to_arrow_schema(schema)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, _, head_flat, head_sizes = sent.value
-        tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        tokens, head_flat, head_sizes = decoding.value
         known = Ids(np.concatenate([np.arange(len(tokens), dtype=np.int32), head_flat]), np.concatenate([np.ones(len(tokens), np.int64), head_sizes]))
         for batch in batches:
             for k in range(batch.num_rows):

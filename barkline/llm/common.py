@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -72,6 +73,21 @@ def drop(spark: SparkSession, folder: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows of an Arrow batch of whole texts.
+TEXT_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to TEXT_ROWS rows, as these carry whole texts.
+
+    Executors keep a batch or two a task outside the heap, and texts may be long. The setting is read when
+    a plan runs, after the operator has returned, so it stays with the session.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def append_columns(
     df: DataFrame,
     fields: list[T.StructField],
@@ -84,9 +100,13 @@ def append_columns(
     ``make()`` runs once a task and returns the function from a batch's texts to the new columns, so
     caches live as long as a task. Columns of ``df`` that carry a new column's name are replaced.
     """
+    text_batches(df.sparkSession)
     names = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    source = df.select(*[col(c) for c in kept], col(text).cast("string").alias("__text_in"))
+    # a text that is carried anyway isn't sent twice
+    carried = text in kept and isinstance(df.schema[text].dataType, T.StringType)
+    source = df.select(*[col(c) for c in kept], *([] if carried else [col(text).cast("string").alias("__text_in")]))
+    at = kept.index(text) if carried else len(kept)
     schema = T.StructType([source.schema[c] for c in kept] + fields)
     arrow = to_arrow_schema(T.StructType(fields))
 
@@ -94,8 +114,8 @@ def append_columns(
         apply = make()
         for batch in batches:
             # few texts at a time, so that very long ones do not add up
-            for part in _slices(batch):
-                got = apply(part.column(part.num_columns - 1).to_pylist())
+            for part in slices(batch):
+                got = apply(part.column(at).to_pylist())
                 new = [pa.array(got[f.name], type=f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(kept))] + new, names=kept + [f.name for f in fields]
@@ -104,9 +124,19 @@ def append_columns(
     return source.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory of this process to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch a few rows at a time; what Arrow has freed by its end is given back."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def labelled_sample(

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import slices, staged, text_batches
 from .components import components
 
 SHINGLE = 4
@@ -55,7 +55,7 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 class Shingler:
     """Sorted hashed shingle sets of texts; keeps the hashes of words that it has met."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -93,9 +93,10 @@ def sketch(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shingles, some = np.zeros(SKETCH, np.int32), Shingler(), False
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, (shingles(text) >> _SHIFT).astype(np.int64), 1)
-                some = True
+            for part in slices(batch):
+                for text in part.column(0).to_pylist():
+                    np.add.at(counts, (shingles(text) >> _SHIFT).astype(np.int64), 1)
+                    some = True
         if some:
             rows = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, _ROW)
             at = np.flatnonzero(rows.any(1))
@@ -124,9 +125,9 @@ def shingle_features(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shingles = sent.value, Shingler()
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch)):
             n, sig, prefix = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in part.column(1).to_pylist():
                 t = shingles(text)
                 n.append(len(t))
                 sig.append(digest(t) if len(t) else None)
@@ -135,7 +136,7 @@ def shingle_features(docs: DataFrame) -> DataFrame:
                 order = np.lexsort((t, key))[:first]
                 prefix.append(key[order].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
+                [part.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
                 names=["doc_id", "n", "sig", "prefix"],
             )
 
@@ -302,6 +303,7 @@ def links(docs: DataFrame, features: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    text_batches(docs.sparkSession)
     features = staged(shingle_features(docs), "features")
     known = features.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "sig")
     nodes = staged(known.groupBy("sig").agg(F.min("doc_id").alias("node")), "nodes")

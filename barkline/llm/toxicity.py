@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import SEED, append_columns, labelled_sample
+from .common import SEED, append_columns, give_back, labelled_sample
 
 #: Sets of terms that may stand for each other, the neutral word last.
 IDENTITY_TERMS = (
@@ -182,11 +182,14 @@ def train(texts: Iterable, y: np.ndarray, steps: int = 400, l1: float = L1, pair
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, bound: int = LABELLED_ROWS) -> Model:
     """Train on a bounded sample of labelled rows; held-out ids are never read."""
     got = labelled_sample(documents, labels, "toxic", modulus, held, bound).toArrow()
-    return train(got.column("text"), got.column("y").to_numpy())
+    model = train(got.column("text"), got.column("y").to_numpy())
+    del got
+    give_back()
+    return model
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted."""
+def score(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """``docs`` with score (0 to 1) and predicted of the texts in a column."""
     fields = [T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)]
 
     def make() -> Callable:
@@ -202,7 +205,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str]
             return model.bias + sum(map(model.weights.__getitem__, got))
 
         def apply(texts):
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             z = np.array([logit(t) for t in texts], float)
             s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -210,4 +213,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str]
 
         return apply
 
-    return append_columns(docs, fields, make, keep=keep)
+    return append_columns(docs, fields, make, text=text, keep=keep)
