@@ -44,7 +44,7 @@ def stage(f: Stage) -> Stage:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns if c != "text"}).withColumn("in_text", F.col("text")), model)
+    scored = toxicity.score(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), model, text="in_text")
     return scored.where("predicted = 0").select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 
