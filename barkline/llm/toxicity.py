@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,9 +115,29 @@ def _largest(of: np.ndarray, at: np.ndarray, val: np.ndarray, n: int, m: int) ->
     return top
 
 
-def train(texts: Iterable, y: np.ndarray, steps: int = 400, l1: float = L1, pair_weight: float = PAIR_WEIGHT) -> Model:
+def _remembered(make: Callable[[str], Sequence[int]], most: int = 30_000) -> Callable[[str], Sequence[int]]:
+    """``make`` with its results kept, for ``most`` words at a time."""
+    cache: dict[str, Sequence[int]] = {}
+
+    def get(w: str) -> Sequence[int]:
+        if w not in cache:
+            if len(cache) >= most:
+                cache.clear()
+            cache[w] = make(w)
+        return cache[w]
+
+    return get
+
+
+def _words_of(text) -> set[str]:
+    return words(text if isinstance(text, str) else text.as_py())
+
+
+def train(texts: Collection, y: np.ndarray, steps: int = 400, l1: float = L1, pair_weight: float = PAIR_WEIGHT) -> Model:
     """Proximal gradient steps with momentum on the penalised mean log-loss, weights >= 0.
 
+    The texts are read twice, so that only rows of features that can carry weight are kept.
+
     The step is one over a bound of the curvature: a quarter of the weighted mean number of features
     for the loss, plus the largest eigenvalue of the counterfactuals' matrix for the penalty.
     """
@@ -125,18 +145,22 @@ def train(texts: Iterable, y: np.ndarray, steps: int = 400, l1: float = L1, pair
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model({}, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    cache: dict[str, list[int]] = {}
-
-    def known(w: str) -> list[int]:
-        if w not in cache:
-            if len(cache) > 30_000:
-                cache.clear()
-            cache[w] = features(w)
-        return cache[w]
-
+    times, toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS)
+    known = _remembered(features)
+    for text, label in zip(texts, y, strict=True):
+        got = {f for w in _words_of(text) for f in known(w)}
+        at = np.fromiter(got, np.int32, len(got))
+        times[at] += 1
+        toxic[at] += label
+    # features that occur in fewer documents, or no likelier in toxic ones, stay at zero: rows hold the others only
+    ids = np.flatnonzero((times >= LEAST) & (toxic > 1.5 * y.mean() * times))
+    index = {int(f): i for i, f in enumerate(ids)}
+    del times, toxic
+    # most words keep few or none, so more of them are remembered
+    known = _remembered(lambda w: tuple(index[f] for f in features(w) if f in index), 150_000)
     rows, changes = _Rows(), _Rows()
     for k, text in enumerate(texts):
-        have = words(text if isinstance(text, str) else text.as_py())
+        have = _words_of(text)
         got = {f for w in have for f in known(w)}
         rows.add(sorted(got))
         for a, b in swaps(have, k):
@@ -145,17 +169,8 @@ def train(texts: Iterable, y: np.ndarray, steps: int = 400, l1: float = L1, pair
             x, z = set(known(a)) - rest, set(known(b)) - rest
             changes.add(sorted(x - z), tuple(sorted(z - x)))
     at, of, _ = rows.arrays()
-    times = np.bincount(at, minlength=BUCKETS)
-    # features that occur in fewer documents, or no likelier in toxic ones, stay at zero
-    toxic = np.bincount(at, weights=y[of], minlength=BUCKETS)
-    ids = np.flatnonzero((times >= LEAST) & (toxic > 1.5 * y.mean() * times))
-    index = np.full(BUCKETS, -1, np.int32)
-    index[ids] = np.arange(len(ids))
-    at = index[at]
-    of, at = of[at >= 0], at[at >= 0]
     p_at, p_of, p_val = changes.arrays()
-    p_at = index[p_at]
-    p_of, p_val, p_at = p_of[p_at >= 0], p_val[p_at >= 0].astype(float), p_at[p_at >= 0]
+    p_val = p_val.astype(float)
     share = pair_weight / changes.n
     l1 = l1 * np.sqrt(12 / len(y))
     balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
