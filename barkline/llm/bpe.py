@@ -31,7 +31,7 @@ import hashlib
 import heapq
 import json
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -87,31 +87,33 @@ class RankMap:
         slots, shifts = self.table(pairs)
         single = [ranks[bytes([b])] for b in range(256)]
         first = [pairs.get((single[a], single[b])) for a in range(256) for b in range(256)]
-        array = lambda values, kind: F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
-        self.slots, self.shifts = array(slots, "bigint"), array(shifts, "int")
-        self.single, self.first = array(single, "bigint"), array(first, "bigint")
+        del pairs
+        self.slots, self.shifts = _literal(slots, "bigint"), _literal(shifts, "int")
+        self.single, self.first = _literal(single, "bigint"), _literal(first, "bigint")
 
-    def table(self, pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
+    def table(self, pairs: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray]:
         """(packed slots, displacement of each group); the first multiplier is stepped until groups have no clash."""
-        ab, r = np.array(list(pairs), np.int64).reshape(-1, 2), list(pairs.values())
-        pair = (ab[:, 0] << ID_BITS) + ab[:, 1]
+        a, b = (np.fromiter((p[i] for p in pairs), np.int64, len(pairs)) for i in (0, 1))
+        rank = np.fromiter(pairs.values(), np.int64, len(pairs))
+        pair = (a << ID_BITS) + b
         group = (pair * self.C >> 19) & (GROUPS - 1)
         while True:
             base = (pair * self.A >> 22) & (SLOTS - 1)
-            if len(np.unique(group * SLOTS + base)) == len(ab):
+            if len(np.unique(group * SLOTS + base)) == len(pair):
                 break
             self.A += 2
-        members: list[list[tuple[int, int]]] = [[] for _ in range(GROUPS)]
-        for g, at, (a, b), rank in zip(group.tolist(), base.tolist(), ab.tolist(), r, strict=True):
-            members[g].append((at, (a + 1) << 2 * ID_BITS | (b + 1) << ID_BITS | rank))
-        slots, shifts = [0] * SLOTS, [0] * GROUPS
-        for g in sorted(range(GROUPS), key=lambda g: -len(members[g])):
+        packed = (a + 1) << 2 * ID_BITS | (b + 1) << ID_BITS | rank
+        slots, shifts = np.zeros(SLOTS, np.int64), np.zeros(GROUPS, np.int64)
+        sizes = np.bincount(group, minlength=GROUPS)
+        by_group, start = np.argsort(group, kind="stable"), np.cumsum(sizes) - sizes
+        # large groups first, while there is most room
+        for g in np.argsort(-sizes, kind="stable")[: np.count_nonzero(sizes)].tolist():
+            own = by_group[start[g] : start[g] + sizes[g]]
             d = 0
-            while any(slots[at + d & (SLOTS - 1)] for at, _ in members[g]):
+            while slots[at := base[own] + d & (SLOTS - 1)].any():
                 d += 1
             shifts[g] = d
-            for at, packed in members[g]:
-                slots[at + d & (SLOTS - 1)] = packed
+            slots[at] = packed[own]
         return slots, shifts
 
     def rank(self, pair: Column) -> Column:
@@ -155,6 +157,16 @@ class RankMap:
         return F.transform(fold, id_of)
 
 
+def _literal(values: Sequence, kind: str) -> Column:
+    """An array as one literal; its text is made of short pieces, so that few objects live at once."""
+    pieces = (json.dumps(list(map(_plain, values[k : k + 4096])), separators=(",", ":"))[1:-1] for k in range(0, len(values), 4096))
+    return F.from_json(F.lit(f"[{','.join(pieces)}]"), f"array<{kind}>")
+
+
+def _plain(x) -> int | None:
+    return None if x is None else int(x)
+
+
 def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
@@ -248,7 +260,7 @@ def _lists(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int32()))
 
 
-def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The dictionary: the most frequent words of a bounded sample, their ids one after another, and
     the number of ids of each; by the fold."""
     total = docs.agg(F.sum(F.length("in_text"))).first()[0] or 0
@@ -277,7 +289,7 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
     values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("int"))
     coded = top.repartition(parts, "word").select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
     ids = coded.column("ids").combine_chunks()
-    return coded.column("word").to_pylist(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
+    return coded.column("word").combine_chunks(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
 
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -292,14 +304,16 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     text_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     head, flat, sizes = head_words(named, ranks, table, pattern)
-    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
-    coding, decoding = sc.broadcast((ranks, head)), sc.broadcast((tokens, flat, sizes))
+    # Arrow arrays are pickled as buffers, without an object a word
+    tokens = pa.array(sorted(ranks, key=ranks.get), pa.binary())
+    coding, decoding = sc.broadcast((tokens, head)), sc.broadcast((tokens, flat, sizes))
+    del ranks, head
     give_back()
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, head = coding.value
+        ranks, head = {t: r for r, t in enumerate(coding.value[0].to_pylist())}, coding.value[1].to_pylist()
         split, words = regex.compile(pattern).findall, Numbered(ranks, head)
         sizes, codes, chars, forget = [], [], 0, False
         blob = pa.BufferOutputStream()
@@ -351,6 +365,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, head_flat, head_sizes = decoding.value
+        tokens = tokens.to_pylist()
         known = Ids(np.concatenate([np.arange(len(tokens), dtype=np.int32), head_flat]), np.concatenate([np.ones(len(tokens), np.int64), head_sizes]))
         for batch in batches:
             for k in range(batch.num_rows):
