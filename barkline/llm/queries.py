@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, langid, mixing, neardup, ngram_join, quality, rules, secrets, toxicity
+from . import bpe, compaction, langid, mixing, neardup, ngram_join, quality, resample, rules, secrets, toxicity
 from .common import held_out
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -73,10 +73,17 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_rules, op3_neardup, op4_bpe, op5_langid, op6_sharding, op7_toxicity, op8_secrets, op9_mixing, op10_jaccard)
+    for f in (
+        op1_quality, op2_rules, op3_neardup, op4_bpe, op5_langid, op6_sharding, op7_toxicity, op8_secrets, op9_mixing, op10_jaccard, op11_resample,
+    )
 }
 
 #: What SQL can't express (trained models, hashing of tokens, files, graph search) is tested otherwise.
-ORACLE_SQL: dict[str, str] = {"op6_sharding": compaction.SQL, "op9_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_sharding": compaction.SQL, "op9_mixing": mixing.SQL, "op11_resample": resample.SQL}
