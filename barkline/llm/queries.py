@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, langid, mixing, neardup, ngram_join, quality, resample, rules, secrets, tokenfiles, toxicity
+from . import bpe, compaction, langid, mixing, neardup, ngram_join, quality, resample, rules, secrets, tokenfiles, toxicity, whitening
 from .common import held_out
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +79,10 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokenfiles.round_trip(docs, public_tokenizers.path(TOKENIZER)).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -88,7 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_rules, op3_neardup, op4_bpe, op5_langid, op6_sharding, op7_toxicity, op8_secrets, op9_mixing, op10_jaccard, op11_resample,
-        op13_tokenfiles,
+        op12_whitening, op13_tokenfiles,
     )
 }
 
