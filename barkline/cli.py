@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         regions = spark.createDataFrame([(a.region,)], "r string").select(region_struct(F.col("r")).alias("x")).where("x IS NOT NULL").select("x.*")
         if regions.isEmpty():
             raise ValueError(f"{a.region} is no region such as chr1:100-200")
-        reads = commands.region_reads(commands.read_alignments(spark, path_of(a.config, "bam_file", a.bamfile)), regions, a.separator, getattr(a, "readcount", 0))
+        reads = commands.region_reads(commands.read_alignments(spark, path_of(a.config, "bam_file", a.bamfile), regions), regions, a.separator, getattr(a, "readcount", 0))
         if a.command == "group":
             commands.write_group(commands.group(reads, _settings(a), a.ignore, a.truncate), folders)
         else:

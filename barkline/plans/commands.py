@@ -32,11 +32,10 @@ def make_folders(outdir: str) -> dict[str, str]:
     return out
 
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """BAM through the data source, SAM text, or a Parquet table of the same columns."""
+def read_alignments(spark: SparkSession, path: str, regions: DataFrame | None = None) -> DataFrame:
+    """BAM through the data source (with an index only what ``regions`` need), SAM text, or a Parquet table of the same columns."""
     if path.endswith(".bam"):
-        al.register(spark)
-        return al.bam(spark, path)
+        return al.bam(spark, path, regions)
     return al.sam(spark, path) if path.endswith(".sam") else spark.read.parquet(path)
 
 
@@ -44,7 +43,6 @@ def preprocess(spark: SparkSession, paths: list[str], prep: pp.Prep, outdir: str
     """Write reheadered and discarded FASTQ, totals and barcode counts; returns the totals."""
     if len(paths) != prep.input_reads:
         raise ValueError(f"{prep.name} needs {prep.input_reads} files, {len(paths)} were given")
-    al.register(spark)
     extracted = durable(pp.extract(pp.zip_mates([al.fastq(spark, p) for p in paths]), prep))
     good = pp.reheadered(extracted, prep)
     for k in range(1, prep.output_reads + 1):
@@ -129,7 +127,8 @@ def call(calls: DataFrame, settings: Settings, contig: str = "region") -> DataFr
 def run(spark: SparkSession, alignment_path: str, bed_path: str, outdir: str, settings: Settings = Settings(), reference: str = "", **options: bool) -> dict[str, DataFrame]:
     """All steps for the regions of a BED file, as one application: regions are rows, not jobs."""
     folders = make_folders(outdir)
-    reads = durable(region_reads(read_alignments(spark, alignment_path), tables.bed(spark, bed_path)))
+    regions = tables.bed(spark, bed_path)
+    reads = durable(region_reads(read_alignments(spark, alignment_path, regions), regions))
     found = group(reads, settings, options.get("ignore_others", False), options.get("truncate", False))
     write_group(found, folders)
     made = collapse(reads, found["groups"], found["families"], settings)

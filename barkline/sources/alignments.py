@@ -1,27 +1,22 @@
 """SAM text and BAM files as tables of aligned reads, and FASTQ files as tables of reads.
 
 Columns of alignments: read_id, qname, flag, contig, start (0-based), end (exclusive), cigar, md, seq,
-qual (array of small ints). SAM and FASTQ are parsed with built-in expressions; BAM is a Python data
-source that reads BGZF blocks one after another, a partition a file.
+qual (array of ints). SAM and FASTQ are Spark's text; BAM is a Python data source (``barkline.sources.bam``). All split.
 """
 
 from __future__ import annotations
 
-import gzip
-import struct
-import zlib
+import json
 from collections.abc import Iterator
+from itertools import pairwise
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-ALIGNMENTS = "read_id bigint, qname string, flag int, contig string, start bigint, end bigint, cigar string, md string, seq string, qual array<int>"
-
-
-def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, name, seq, plus, qual) of a FASTQ file, compressed or not; ord is the read's number."""
-    return spark.read.format("fastq").load(path)
+from barkline.session import durable
+from barkline.sources.bam import BamSource
 
 
 def sam(spark: SparkSession, path: str) -> DataFrame:
@@ -46,163 +41,108 @@ def sam_contigs(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_extract("value", r"\tSN:(\S+)", 1).alias("contig"), F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("bigint").alias("length"))
 
 
-def bam(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("bam").load(path)
+def bam(spark: SparkSession, path: str, regions: DataFrame | None = None, split_bytes: int | None = None, pushdown: bool = False) -> DataFrame:
+    """Aligned reads of BAM files; where there is an index, only the chunks of ``regions`` (contig, start, end), a list
+    of targets, are read. Rows outside of ``regions`` may be among the result.
+
+    With ``pushdown`` (and spark.sql.python.filterPushdown.enabled) filters on contig, start and end narrow the read as
+    well. Spark 4.1 keeps what was pushed with the loaded relation, so such a DataFrame serves one query; load another one for the next.
+    """
+    spark.dataSource.register(BamSource)
+    reader = spark.read.format("bam").option("pushdown", str(pushdown).lower())
+    if split_bytes:
+        reader = reader.option("split_bytes", str(split_bytes))
+    if regions is not None:
+        reader = reader.option("regions", json.dumps([list(r) for r in regions.select("contig", "start", "end").toLocalIterator()]))
+    return reader.load(path)
 
 
 def bam_contigs(spark: SparkSession, path: str) -> DataFrame:
+    spark.dataSource.register(BamSource)
     return spark.read.format("bam").option("part", "header").load(path)
 
 
-class _Files(DataSourceReader):
-    """One partition a file; globs and folders are resolved when the plan is made."""
-
-    def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
-
-    def partitions(self) -> list[InputPartition]:
-        import glob
-        import os
-
-        found = sorted(glob.glob(f"{self.path}/*") if os.path.isdir(self.path) else glob.glob(self.path))
-        if not found:
-            raise FileNotFoundError(self.path)
-        return [InputPartition(p) for p in found]
-
-
-class FastqReader(_Files):
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with (gzip.open if partition.value.endswith(".gz") else open)(partition.value, "rt") as f:
-            for k, name in enumerate(f):
-                rest = [f.readline().rstrip("\r\n") for _ in range(3)]
-                yield (k, name.rstrip("\r\n"), *rest)
-
-
-class FastqSource(DataSource):
-    """``spark.read.format("fastq").load(path)``"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return "ord bigint, name string, seq string, plus string, qual string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return FastqReader(self.options)
-
-
-#: Fixed values of the BAM format: packed bases and CIGAR operations.
-_NIBBLES = "=ACMGRSVTWYHKDBN"
-_OPS = "MIDNSHP=X"
-_TAG_SIZES = {b"A": 1, b"c": 1, b"C": 1, b"s": 2, b"S": 2, b"i": 4, b"I": 4, b"f": 4}
-
-
-def _blocks(path: str) -> Iterator[bytes]:
-    """Inflated BGZF blocks; each is a gzip member with its own length."""
-    with open(path, "rb") as f:
-        rest = b""
-        inflate = zlib.decompressobj(31)
-        while data := (rest or f.read(1 << 20)):
-            rest = b""
-            out = inflate.decompress(data)
-            if out:
-                yield out
-            if inflate.eof:
-                rest = inflate.unused_data
-                inflate = zlib.decompressobj(31)
-
-
-class _Stream:
-    def __init__(self, path: str):
-        self.blocks, self.data = _blocks(path), b""
-
-    def take(self, n: int) -> bytes:
-        parts, have = [self.data], len(self.data)
-        while have < n:
-            block = next(self.blocks, None)
-            if block is None:
-                break
-            parts.append(block)
-            have += len(block)
-        data = b"".join(parts)
-        self.data = data[n:]
-        return data[:n]
-
-
-def _tag_md(data: bytes) -> str | None:
-    at = 0
-    while at + 3 <= len(data):
-        tag, kind = data[at : at + 2], data[at + 2 : at + 3]
-        at += 3
-        if kind in _TAG_SIZES:
-            at += _TAG_SIZES[kind]
-        elif kind in (b"Z", b"H"):
-            end = data.index(b"\0", at)
-            if tag == b"MD":
-                return data[at:end].decode()
-            at = end + 1
-        else:  # an array
-            n = struct.unpack_from("<i", data, at + 1)[0]
-            at += 5 + n * _TAG_SIZES[data[at : at + 1]]
-    return None
-
-
-class BamReader(_Files):
-    def __init__(self, options: dict):
-        super().__init__(options)
-        self.header_only = options.get("part") == "header"
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        s = _Stream(partition.value)
-        if s.take(4) != b"BAM\1":
-            raise ValueError(f"{partition.value} is no BAM file")
-        s.take(struct.unpack("<i", s.take(4))[0])
-        contigs = []
-        for _ in range(struct.unpack("<i", s.take(4))[0]):
-            name = s.take(struct.unpack("<i", s.take(4))[0])[:-1].decode()
-            contigs.append((name, struct.unpack("<i", s.take(4))[0]))
-        if self.header_only:
-            yield from contigs
-            return
-        k = 0
-        while len(size := s.take(4)) == 4:
-            yield self.record(s.take(struct.unpack("<i", size)[0]), contigs, k)
-            k += 1
-
-    @staticmethod
-    def record(b: bytes, contigs: list, k: int) -> tuple:
-        ref, pos, l_name, _, _, n_cigar, flag, l_seq, _, _, _ = struct.unpack_from("<iiBBHHHiiii", b)
-        at = 32
-        name = b[at : at + l_name - 1].decode()
-        at += l_name
-        ops = struct.unpack_from(f"<{n_cigar}I", b, at)
-        at += 4 * n_cigar
-        packed = b[at : at + (l_seq + 1) // 2]
-        at += len(packed)
-        seq = "".join(_NIBBLES[x >> 4] + _NIBBLES[x & 15] for x in packed)[:l_seq]
-        qual = list(b[at : at + l_seq])
-        at += l_seq
-        cigar = "".join(f"{o >> 4}{_OPS[o & 15]}" for o in ops) or "*"
-        end = pos + sum(o >> 4 for o in ops if _OPS[o & 15] in "MDN=X")
-        return k, name, flag, contigs[ref][0] if ref >= 0 else None, pos, end, cigar, _tag_md(b[at:]), seq, [] if qual and qual[0] == 255 else qual
-
-
-class BamSource(DataSource):
-    """``spark.read.format("bam").load(path)``; option part=header gives (contig, length)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "bam"
-
-    def schema(self) -> str:
-        return "contig string, length bigint" if self.options.get("part") == "header" else ALIGNMENTS
-
-    def reader(self, schema) -> DataSourceReader:
-        return BamReader(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    """Make the formats ``bam`` and ``fastq`` known to a session."""
-    spark.dataSource.register(FastqSource)
-    spark.dataSource.register(BamSource)
+#: Lines of a FASTQ record, and the fields that they fill.
+LINES = 4
+FIELDS = ("name", "seq", "plus", "qual")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """(file, block, line, ord, border) for each split: the number of its first line in the file, the records of
+    all files before, and the lines of the record that begins in it and ends behind it, if there is one.
+
+    Splits are counted in one pass, which keeps their first and last lines; the windows have a row a split.
+    """
+    few = LINES - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, tuple] = {}
+        for batch in batches:
+            for key, at, n in _runs(batch):
+                count, head, tail = found.get(key, (0, [], []))
+                values = batch.column(2)
+                if len(head) < few:
+                    head = (head + values.slice(at, min(n, few)).to_pylist())[:few]
+                found[key] = count + n, head, (tail + values.slice(at + max(0, n - few), min(n, few)).to_pylist())[-few:]
+        text = pa.list_(pa.string())
+        kinds = (pa.string(), pa.int64(), pa.int64(), text, text)
+        rows = [(*key, *value) for key, value in found.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["file", "block", "n", "head", "tail"])
+
+    counted = durable(lines.mapInArrow(run, "file string, block bigint, n bigint, head array<string>, tail array<string>"))
+    here = Window.partitionBy("file").orderBy("block")
+    before = Window.unboundedPreceding
+    files = counted.groupBy("file").agg(F.ceil(F.sum("n") / LINES).alias("records"))
+    files = files.select("file", (F.sum("records").over(Window.orderBy("file").rowsBetween(before, 0)) - F.col("records")).alias("ord"))
+    after = F.concat(*[F.coalesce(F.lead("head", k).over(here), F.array().cast("array<string>")) for k in range(1, LINES)])
+    splits = counted.withColumns({"line": F.sum("n").over(here.rowsBetween(before, 0)) - F.col("n"), "after": after})
+    left = ((F.col("line") + F.col("n")) % LINES).cast("int")
+    border = F.when((left > 0) & (F.col("n") >= left), F.slice(F.concat(F.slice("tail", -left, left), "after"), 1, LINES))
+    return splits.select("file", "block", "line", (F.col("line") + F.col("n") - left).alias("border_line"), border.alias("border")).join(files, "file")
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
+    """((file, block), first row, rows) of the runs of rows that one split gave."""
+    codes = [batch.column(k).dictionary_encode().indices.to_numpy() for k in (0, 1)]
+    at = np.flatnonzero(np.concatenate([[True], (codes[0][1:] != codes[0][:-1]) | (codes[1][1:] != codes[1][:-1])])) if batch.num_rows else []
+    for a, b in pairwise([*at, batch.num_rows]):
+        yield (batch.column(0)[int(a)].as_py(), batch.column(1)[int(a)].as_py()), int(a), int(b - a)
+
+
+def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(ord, name, seq, plus, qual) of FASTQ files; ord is the read's number over all files, in the order of their paths.
+
+    Files are Spark's text, so they split (compressed ones don't), and any path that Spark reads will do. A first
+    pass counts the lines of each split; their running sums tell which line begins a record. Records within a
+    split are put together there; one that lies across splits comes from the lines which the first
+    pass kept. So the rows are the same however files are split. A last record that lacks lines has nulls.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    splits = _numbered(lines)
+    schema = "ord bigint, name string, seq string, plus string, qual string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, number, before, held = None, 0, 0, []
+        for batch in batches:
+            for key, at, n in _runs(batch):
+                if key != split:
+                    split, held = key, []
+                    number, before = batch.column(3)[at].as_py(), batch.column(4)[at].as_py()
+                values = batch.column(2).slice(at, n).to_pylist()
+                if not held:
+                    # lines of a record that began in an earlier split
+                    skip = min(-number % LINES, len(values))
+                    values, number = values[skip:], number + skip
+                first, values = number - len(held), held + values
+                whole = len(values) // LINES
+                if whole:
+                    ords = pa.array(np.arange(whole) + before + first // LINES)
+                    yield pa.RecordBatch.from_arrays([ords, *[pa.array(values[k : whole * LINES : LINES], pa.string()) for k in range(LINES)]], names=["ord", *FIELDS])
+                held = values[whole * LINES :]
+                number = first + len(values)
+
+    # a row a split, so the side that is sent to all tasks is as small as the listing of splits
+    within = lines.join(F.broadcast(splits), ["file", "block"]).select("file", "block", "value", "line", "ord").mapInArrow(run, schema)
+    fields = [F.get("border", F.lit(k)).alias(name) for k, name in enumerate(FIELDS)]
+    across = splits.where("border IS NOT NULL").select((F.col("ord") + F.floor(F.col("border_line") / LINES)).alias("ord"), *fields)
+    return within.unionByName(across)

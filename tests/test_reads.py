@@ -79,7 +79,6 @@ def test_expand():
 
 
 def test_sam_and_bam_agree(spark, files):
-    al.register(spark)
     columns = ["read_id", "qname", "flag", "contig", "start", "end", "cigar", "md", "seq", "qual"]
     a = sorted(map(tuple, al.sam(spark, str(files / "x.sam")).where("contig IS NOT NULL").select(*columns[1:]).collect()))
     b = sorted(map(tuple, al.bam(spark, str(files / "x.bam")).where("contig IS NOT NULL").select(*columns[1:]).collect()))
