@@ -21,6 +21,7 @@ from barkline.operators import preprocess as pp
 from barkline.operators import summaries as sm
 from barkline.operators import variants as vr
 from barkline.plans import commands, views
+from barkline.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -485,3 +486,47 @@ def chrom_sort(spark, d):
     nation = F.col("s_nationkey").cast("string")
     contigs = spark.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("chr"), F.when(F.col("s_nationkey") < 20, nation).otherwise(F.concat(F.lit("X"), nation))).alias("contig")).distinct()
     return contigs.withColumn("place", F.row_number().over(Window.orderBy(*sq.contig_order(F.col("contig")))).cast("bigint"))
+
+
+CAP = 4
+
+
+@query("depth_cap", sql(f"SELECT region, pos, count(*) AS depth, sum(q) AS q, max(read_id) AS last_read FROM (SELECT *, row_number() OVER (PARTITION BY region, pos ORDER BY read_id) AS nth FROM pileup_v) WHERE nth <= {CAP} GROUP BY region, pos", "pileup_v"))
+def depth_cap(spark, d):
+    kept = pl.capped(durable(views.pileup(spark, d)), CAP)
+    return kept.groupBy("region", "pos").agg(F.count(F.lit(1)).alias("depth"), F.sum("q").alias("q"), F.max("read_id").alias("last_read"))
+
+
+@query("allele_text", sql("SELECT DISTINCT region, pos, ref, alt FROM pileup_v WHERE length(ref) + length(alt) > 2", "pileup_v"))
+def allele_text(spark, d):
+    """Indels of a position written as text and read again."""
+    indels = views.pileup(spark, d).where("length(ref) + length(alt) > 2")
+    text = indels.groupBy("region", "pos").agg(sq.pair_text(F.array_sort(F.collect_set(F.struct("ref", "alt")))).alias("text"))
+    return text.select("region", "pos", F.inline(sq.text_pairs(F.col("text"))))
+
+
+@query("unknown_contigs", "SELECT DISTINCT concat('chr', CAST(l_suppkey % 40 AS VARCHAR)) AS contig FROM lineitem WHERE l_suppkey % 40 NOT IN (SELECT n_nationkey FROM nation)")
+def unknown_contigs(spark, d):
+    contig = lambda c: F.concat(F.lit("chr"), c.cast("string")).alias("contig")
+    regions = spark.read.parquet(f"{d}/lineitem.parquet").select(contig(F.col("l_suppkey") % 40))
+    return commands.unknown_contigs(regions, spark.read.parquet(f"{d}/nation.parquet").select(contig(F.col("n_nationkey"))))
+
+
+@query("region_format", sql("SELECT DISTINCT concat(region, ':', CAST(start + 1 AS VARCHAR), '-', CAST(start + 30 AS VARCHAR)) AS name, region AS contig, CAST(start AS BIGINT) AS start, CAST(start + 30 AS BIGINT) AS \"end\" FROM reads_v", "reads_v"))
+def region_format(spark, d):
+    names = views.reads(spark, d).select(sq.region_text(F.col("region"), F.col("start"), F.col("end")).alias("name")).distinct()
+    return names.select("name", sq.region_struct(F.col("name")).alias("x")).select("name", "x.*")
+
+
+@query("mate_zip", sql("SELECT a.ord, a.seq AS seq1, upper(b.seq) AS seq2 FROM fastq_v a JOIN fastq_v b ON a.ord = b.ord AND b.ord % 3 <> 0", "fastq_v"))
+def mate_zip(spark, d):
+    reads = views.fastq(spark, d)
+    mates = pp.zip_mates([reads, reads.where("ord % 3 <> 0").withColumn("seq", F.upper("seq"))])
+    return mates.select("ord", F.col("r1.seq").alias("seq1"), F.col("r2.seq").alias("seq2"))
+
+
+@query("file_prefix", "SELECT o_orderkey, concat('run', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 3 = 2 THEN '.fastq' ELSE '' END) AS prefix FROM orders")
+def file_prefix(spark, d):
+    end = F.element_at(F.array(F.lit(".fastq.gz"), F.lit(".fq.gz"), F.lit(".fastq")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    path = F.concat(F.lit("/data/a.fq.gz.d/run"), F.col("o_orderkey").cast("string"), end)
+    return spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", sq.file_prefix(path).alias("prefix"))

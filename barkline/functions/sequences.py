@@ -108,6 +108,27 @@ def region_text(contig: Column, start: Column, end: Column) -> Column:
     return F.coalesce(F.concat(contig, F.lit(":"), (start + 1).cast("string"), F.lit("-"), end.cast("string")), F.lit("NA"))
 
 
+_PAIR = r"\(\s*['\"]([^'\"]*)['\"]\s*,\s*['\"]([^'\"]*)['\"]\s*\)"
+
+
+def pair_text(pairs: Column) -> Column:
+    """``('A', 'ATT');('AT', 'A')`` of an array of structs with ref and alt."""
+    return F.concat_ws(";", F.transform(pairs, lambda x: F.concat(F.lit("('"), x["ref"], F.lit("', '"), x["alt"], F.lit("')"))))
+
+
+def text_pairs(text: Column) -> Column:
+    """array<struct<ref, alt>> of such a text, blanks and kind of quotes aside; ``A>ATT;AT>A`` is read as well."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"([A-Za-z]+)>([A-Za-z]+)", "('$1','$2')")
+    side = lambda k: F.regexp_extract_all(plain, F.lit(_PAIR), k)
+    return F.zip_with(side(1), side(2), lambda r, a: F.struct(r.alias("ref"), a.alias("alt")))
+
+
+def file_prefix(path: Column) -> Column:
+    """The name of a compressed FASTQ file up to its extension; the whole name of any other."""
+    name = F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.regexp_replace(name, r"\.(fastq|fq)\.gz.*$", "")
+
+
 def contig_order(contig: Column) -> list[Column]:
     """Sort keys: numbered contigs by number, then the others by name."""
     number = F.regexp_replace(contig, "^chr", "").try_cast("int")

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barkline.functions.sequences import (
@@ -133,3 +133,30 @@ def pileup(reads: DataFrame, separator: str = ":", truncate: bool = True) -> Dat
                 )
 
     return sent.mapInArrow(run, "region string, pos bigint, read_id bigint, umi string, start bigint, ref string, alt string, q int")
+
+
+#: Slices of a deep column's read numbers that are counted before any of its rows are ordered.
+SLICES = 4096
+
+
+def capped(piled: DataFrame, most: int) -> DataFrame:
+    """The bases of the first ``most`` reads, by read number, of each column (region, pos).
+
+    Columns are counted first; those within the cap are left alone. A deeper column's read numbers are cut into
+    slices whose counts, summed in order, tell which slices lie within the cap and which one the cap cuts; only
+    the rows of that one are numbered. So the work on a column of any depth is dealt out.
+    """
+    deep = piled.groupBy("region", "pos").agg(F.count(F.lit(1)).alias("n"), F.min("read_id").alias("lo"), F.max("read_id").alias("hi")).where(F.col("n") > most)
+    if deep.isEmpty():
+        return piled
+    width = F.floor((F.col("hi") - F.col("lo")) / F.lit(SLICES)) + 1
+    sliced = piled.join(deep.drop("n"), ["region", "pos"]).withColumn("slice", F.floor((F.col("read_id") - F.col("lo")) / width)).drop("lo", "hi")
+    counts = sliced.groupBy("region", "pos", "slice").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("region", "pos").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("left", F.lit(most) - (F.col("upto") - F.col("n")))
+    kept = sliced.join(counts.where("left > 0"), ["region", "pos", "slice"])
+    whole = kept.where("left >= n")
+    nth = F.row_number().over(Window.partitionBy("region", "pos", "slice").orderBy("read_id"))
+    cut = kept.where("left < n").withColumn("nth", nth).where("nth <= left")
+    shallow = piled.join(deep, ["region", "pos"], "left_anti")
+    return shallow.unionByName(whole.select(*piled.columns)).unionByName(cut.select(*piled.columns))

@@ -8,7 +8,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barkline.functions.sequences import contig_order, umi_from_name
+from barkline.functions.sequences import contig_order, file_prefix, region_text, umi_from_name
 from barkline.operators import consensus as cs
 from barkline.operators import grouping as gp
 from barkline.operators import merge as mg
@@ -39,8 +39,40 @@ def read_alignments(spark: SparkSession, path: str, regions: DataFrame | None =
     return al.sam(spark, path) if path.endswith(".sam") else spark.read.parquet(path)
 
 
-def preprocess(spark: SparkSession, paths: list[str], prep: pp.Prep, outdir: str, prefix: str = "reads") -> DataFrame:
-    """Write reheadered and discarded FASTQ, totals and barcode counts; returns the totals."""
+def header_contigs(spark: SparkSession, path: str) -> DataFrame | None:
+    """(contig, length) of the header of BAM or SAM files; a table of reads has none."""
+    if path.endswith(".bam"):
+        return al.bam_contigs(spark, path)
+    return al.sam_contigs(spark, path) if path.endswith(".sam") else None
+
+
+def unknown_contigs(regions: DataFrame, contigs: DataFrame) -> DataFrame:
+    return regions.join(contigs, "contig", "left_anti").select("contig").distinct()
+
+
+def checked_regions(regions: DataFrame, contigs: DataFrame | None) -> DataFrame:
+    """``regions``, if the header has the contig of each; raises before any read is scanned."""
+    if contigs is None or contigs.isEmpty():
+        return regions
+    unknown = unknown_contigs(regions, contigs).orderBy("contig").limit(20).collect()
+    if unknown:
+        known = [r["contig"] for r in contigs.select("contig").distinct().orderBy(*contig_order(F.col("contig"))).limit(200).collect()]
+        raise ValueError(f"{', '.join(r['contig'] for r in unknown)} not among the contigs of the header: {', '.join(known)}")
+    return regions
+
+
+def region_names(regions: DataFrame) -> list[str]:
+    """Names of the regions that a command was asked for, a list of targets."""
+    return [r[0] for r in regions.select(region_text(F.col("contig"), F.col("start"), F.col("end"))).distinct().collect()]
+
+
+def preprocess(spark: SparkSession, paths: list[str], prep: pp.Prep, outdir: str, prefix: str | None = "reads") -> DataFrame:
+    """Write reheadered and discarded FASTQ, totals and barcode counts; returns the totals.
+
+    Where the prefix is None the first file's name gives it.
+    """
+    if prefix is None:
+        prefix = spark.range(1).select(file_prefix(F.lit(paths[0]))).first()[0]
     if len(paths) != prep.input_reads:
         raise ValueError(f"{prep.name} needs {prep.input_reads} files, {len(paths)} were given")
     extracted = durable(pp.extract(pp.zip_mates([al.fastq(spark, p) for p in paths]), prep))
@@ -96,18 +128,28 @@ def group(reads: DataFrame, settings: Settings, ignore_others: bool = False, tru
     return out | {"summary": gp.group_summary(out["groups"]), "relations": gp.qc_relationships(out["positions"])}
 
 
-def write_group(found: dict[str, DataFrame], folders: dict[str, str]) -> None:
-    sinks.datafile(found["summary"], f"{folders['Datafiles']}/datafile")
-    sinks.families_json(found["groups"], found["families"], f"{folders['Umifiles']}/families")
-    sinks.relationships(found["relations"], f"{folders['Stats']}/UMI_relationships")
-    sinks.positions_json(found["positions"], f"{folders['Stats']}/Umis_before_grouping")
-    sinks.json_rows(found["flags"], f"{folders['Stats']}/Mapped_read_counts")
+def write_group(found: dict[str, DataFrame], folders: dict[str, str], regions: list[str] | None = None) -> None:
+    """Write a grouping, in place of earlier results of the same regions only."""
+    sinks.datafile(found["summary"], f"{folders['Datafiles']}/datafile", regions)
+    sinks.families_json(found["groups"], found["families"], f"{folders['Umifiles']}/families", regions)
+    sinks.relationships(found["relations"], f"{folders['Stats']}/UMI_relationships", regions)
+    sinks.positions_json(found["positions"], f"{folders['Stats']}/Umis_before_grouping", regions)
+    sinks.mapped_counts_json(found["flags"], f"{folders['Stats']}/Mapped_read_counts", regions)
+
+
+def write_collapse(made: dict[str, DataFrame], folders: dict[str, str], regions: list[str] | None = None) -> None:
+    """Write consensus rows and coverage, in place of earlier results of the same regions only."""
+    sinks.consensus(made["consensus"], f"{folders['Consfiles']}/consensus", regions)
+    sinks.coverage(made["coverage"], f"{folders['Coverage']}/coverage", regions)
+
 
+def collapse(reads: DataFrame, groups: DataFrame, families: DataFrame, settings: Settings, separator: str = ":", truncate: bool = False, stepper: str = "nofilter", ignore_orphans: bool = False, max_depth: int = 1_000_000) -> dict[str, DataFrame]:
+    """Consensus calls of every family size (0 included), their wide rows, and mean coverage.
 
-def collapse(reads: DataFrame, groups: DataFrame, families: DataFrame, settings: Settings, separator: str = ":", truncate: bool = False, stepper: str = "nofilter", ignore_orphans: bool = False) -> dict[str, DataFrame]:
-    """Consensus calls of every family size (0 included), their wide rows, and mean coverage."""
+    A column counts its first ``max_depth`` reads.
+    """
     seen = gp.usable_reads(pl.stepped(reads, stepper, ignore_orphans))
-    piled = durable(pl.pileup(seen, separator, truncate))
+    piled = pl.capped(durable(pl.pileup(seen, separator, truncate)), max_depth)
     alleles = durable(cs.family_allele_counts(piled, groups, families, settings.quality, settings.position))
     calls = cs.consensus(alleles, list(settings.sizes), settings.percent, settings.count).unionByName(cs.uncollapsed(cs.uncollapsed_alleles(piled, settings.quality)))
     calls = durable(calls)
@@ -124,16 +166,17 @@ def call(calls: DataFrame, settings: Settings, contig: str = "region") -> DataFr
     return vr.vcf_records(found.withColumn(contig, chrom), contig, settings.filter)
 
 
-def run(spark: SparkSession, alignment_path: str, bed_path: str, outdir: str, settings: Settings = Settings(), reference: str = "", **options: bool) -> dict[str, DataFrame]:
+def run(spark: SparkSession, alignment_path: str, bed_path: str, outdir: str, settings: Settings = Settings(), reference: str = "", **options) -> dict[str, DataFrame]:
     """All steps for the regions of a BED file, as one application: regions are rows, not jobs."""
     folders = make_folders(outdir)
-    regions = tables.bed(spark, bed_path)
-    reads = durable(region_reads(read_alignments(spark, alignment_path, regions), regions))
+    regions = checked_regions(tables.bed(spark, bed_path), header_contigs(spark, alignment_path))
+    names = region_names(regions)
+    reads = durable(region_reads(read_alignments(spark, alignment_path, regions), regions, options.get("separator", ":"), options.get("read_count", 0)))
     found = group(reads, settings, options.get("ignore_others", False), options.get("truncate", False))
-    write_group(found, folders)
-    made = collapse(reads, found["groups"], found["families"], settings)
-    sinks.consensus(made["consensus"], f"{folders['Consfiles']}/consensus")
-    sinks.coverage(made["coverage"], f"{folders['Coverage']}/coverage")
+    write_group(found, folders, names)
+    collapsing = {k: options[k] for k in ("separator", "truncate", "stepper", "ignore_orphans", "max_depth") if k in options}
+    made = collapse(reads, found["groups"], found["families"], settings, **collapsing)
+    write_collapse(made, folders, names)
     # a position that two regions report is called once, in the region that starts first
     start = F.regexp_extract("region", r":(\d+)-", 1).cast("bigint")
     alleles = made["calls"].withColumns({"contig": F.split("region", ":")[0], "region_start": start})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barkline.functions.sequences import text_pairs
+
 #: Region in a file name such as ``families_chr1_5-9.json``; Hadoop cannot read names with a colon.
 _NAME = r"(chr[^:_/-]+)[:_-](\d+)[-_](\d+)"
 
@@ -17,21 +19,24 @@ RELATIONS = "Umi string, Type string, Count double, Parent string, Distance int,
 
 
 def region_of_file() -> Column:
-    """``chrN:a-b`` out of the name of the file that a row was read from."""
+    """``chrN:a-b`` out of the name of the file that a row was read from; null where it has none."""
     name = F.col("_metadata.file_name")
-    return F.concat(F.regexp_extract(name, _NAME, 1), F.lit(":"), F.regexp_extract(name, _NAME, 2), F.lit("-"), F.regexp_extract(name, _NAME, 3))
+    return F.when(name.rlike(_NAME), F.concat(F.regexp_extract(name, _NAME, 1), F.lit(":"), F.regexp_extract(name, _NAME, 2), F.lit("-"), F.regexp_extract(name, _NAME, 3)))
+
+
+def region_of_folder() -> Column:
+    """The region of the partition folder ``region=...`` of a row's file, else that of the file's name."""
+    # a path is a URI whose folder names are escaped once more; a plus stands for itself
+    plain = F.regexp_replace(F.regexp_extract("_metadata.file_path", "region=([^/]+)/", 1), r"\+", "%2B")
+    return F.coalesce(F.nullif(F.try_url_decode(F.regexp_replace(F.try_url_decode(plain), r"\+", "%2B")), F.lit("")), region_of_file())
 
 
 def _documents(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """(region, m) of JSON region files: an object a line, as the sinks write, or one over many lines.
 
-    The lines of a file that has one that is no object by itself are put together again; the region is
-    that of the partition folder ``region=...``, else that of the file's name.
+    The lines of a file that has one that is no object by itself are put together again.
     """
-    file = F.col("_metadata.file_path")
-    # a path is a URI whose folder names are escaped once more; a plus stands for itself
-    plain = F.regexp_replace(F.regexp_extract(file, "region=([^/]+)/", 1), r"\+", "%2B")
-    region = F.coalesce(F.nullif(F.try_url_decode(F.regexp_replace(F.try_url_decode(plain), r"\+", "%2B")), F.lit("")), region_of_file())
+    file, region = F.col("_metadata.file_path"), region_of_folder()
     at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("k"))
     lines = spark.read.text(path).select(region.alias("region"), file.alias("file"), at.alias("at"), "value").where("trim(value) <> ''")
     lines = lines.withColumn("m", F.from_json("value", kind))
@@ -58,11 +63,8 @@ def consensus_alleles(table: DataFrame) -> DataFrame:
     bases = [F.struct(F.col("REF").alias("ref"), F.lit(b).alias("alt"), F.col(b).alias("n")) for b in "ACGTN"]
 
     def pairs(alleles: str, counts: str) -> Column:
-        parsed = F.zip_with(
-            F.filter(F.split(alleles, ";"), lambda x: x != ""), F.filter(F.split(counts, ";"), lambda x: x != ""),
-            lambda a, n: F.struct(F.split(a, ">")[0].alias("ref"), F.split(a, ">")[1].alias("alt"), n.cast("bigint").alias("n")),
-        )
-        return F.coalesce(parsed, F.array().cast("array<struct<ref:string,alt:string,n:bigint>>"))
+        found = F.filter(F.split(F.coalesce(counts, F.lit("")), ";"), lambda x: x != "")
+        return F.zip_with(text_pairs(F.col(alleles)), found, lambda a, n: F.struct(a["ref"].alias("ref"), a["alt"].alias("alt"), n.cast("bigint").alias("n")))
 
     every = F.concat(F.array(*bases), pairs("I", "I_counts"), pairs("D", "D_counts"))
     rows = table.select("*", F.explode(every).alias("x")).where("x.n > 0")
@@ -99,7 +101,8 @@ def positions_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mapped_counts_json(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,struct<mapped:bigint,unmapped:bigint,secondary:bigint,supplementary:bigint>>").alias("m"))
+    """(region, mapped, unmapped, secondary, supplementary) out of {region: {mapped: ...}}."""
+    raw = _documents(spark, path, "map<string,struct<mapped:bigint,unmapped:bigint,secondary:bigint,supplementary:bigint>>")
     return raw.select(F.explode("m").alias("region", "x")).select("region", "x.*")
 
 
@@ -112,7 +115,7 @@ def datafile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def relations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", header=True, schema=RELATIONS).withColumn("region", region_of_file())
+    return spark.read.csv(path, sep="\t", header=True, schema=RELATIONS).select(*[c.split()[0] for c in RELATIONS.split(", ")], region_of_folder().alias("region"))
 
 
 def umi_counts(spark: SparkSession, path: str) -> DataFrame:
