@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barkline.functions.sequences import BASES, known_base, percent
+from barkline.session import durable
 
 
 def nearest_family(reads: DataFrame, groups: DataFrame, families: DataFrame) -> DataFrame:
     """Reads with parent and the nearest family of the parent: fam_pos, fam_n, dist.
 
-    Ties: the family with more reads, then the larger position. A parent's families are one array, so
-    the reads are shuffled for the barcode alone.
+    Ties: the family with more reads, then the larger position. The family is found once for each start of a
+    barcode, however many rows (reads, or bases of a pileup) have it, and staged, so that the join with the rows is
+    planned by its true size.
     """
     lists = families.groupBy("region", "parent").agg(F.collect_list(F.struct("fam_pos", "fam_n")).alias("list"))
     of_umi = groups.join(lists, ["region", "parent"]).select("region", "umi", "parent", "list")
     near = F.array_min(F.transform("list", lambda f: F.struct(F.abs(f["fam_pos"] - F.col("start")).alias("dist"), (-f["fam_n"]).alias("n"), (-f["fam_pos"]).alias("p"))))
-    out = reads.join(of_umi, ["region", "umi"]).withColumn("near", near)
-    return out.withColumns({"dist": F.col("near.dist"), "fam_pos": -F.col("near.p"), "fam_n": -F.col("near.n")}).drop("near", "list")
+    starts = reads.select("region", "umi", "start").distinct().join(of_umi, ["region", "umi"]).withColumn("near", near)
+    found = starts.select("region", "umi", "start", "parent", F.col("near.dist").alias("dist"), (-F.col("near.p")).alias("fam_pos"), (-F.col("near.n")).alias("fam_n"))
+    return reads.join(durable(found), ["region", "umi", "start"])
 
 
 def family_allele_counts(pileup: DataFrame, groups: DataFrame, families: DataFrame, quality: int = 25, threshold: int = 10) -> DataFrame:

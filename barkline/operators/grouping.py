@@ -5,6 +5,8 @@ Reads are (region, read_id, umi, start, end, flag); regions are a column, all ar
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,25 +70,49 @@ def umi_edges(counts: DataFrame, length: int, distance: int = 1) -> DataFrame:
     return pairs.where(within(F.col("src"), F.col("dst"), bounds, distance)).select("region", "src", "dst")
 
 
+#: Rounds before labels jump, and copies of a row that many barcodes of a giant group look up.
+PLAIN_ROUNDS, SALTS = 4, 16
+
+
 def umi_groups(counts: DataFrame, edges: DataFrame) -> DataFrame:
     """(region, umi, parent): parent is the highest ranked barcode from which an edge path leads here.
 
-    Rank is (n descending, first_seen, umi). A label passes along an edge, and then gives way to its own
-    barcode's label, so the way that labels have come doubles each round; rounds end when none changes.
+    Rank is (n descending, first_seen, umi). Each round sends the labels that changed in the round before along
+    their edges. Changes are a log of small tables; as labels only get better, a barcode's label is the least
+    that the log has for it. A late round so reads the log and the edges, and shuffles what its few changes
+    touch. It ends when nothing changes.
+
+    Counts at least double along a path while they exceed one, so only chains of single reads are long; for them
+    a changed label gives way to its own barcode's label from the fifth round on, which doubles its way each round.
     """
+    key = ["region", "umi"]
     rank = F.struct((-F.col("n")).alias("n"), F.col("first_seen").alias("s"), F.col("umi").alias("u"))
-    labels = durable(counts.select("region", "umi", rank.alias("label")))
     edges = durable(edges)
-    while True:
-        sent = edges.join(labels.withColumnRenamed("umi", "src"), ["region", "src"]).groupBy("region", F.col("dst").alias("umi")).agg(F.min("label").alias("sent"))
-        met = labels.join(sent, ["region", "umi"], "left").select("region", "umi", "label", F.least("label", "sent").alias("best"))
-        above = labels.select("region", F.col("umi").alias("u"), F.col("label").alias("above"))
-        met = met.withColumn("u", F.col("best.u")).join(above, ["region", "u"]).withColumn("best", F.least("best", "above"))
-        new = durable(met.select("region", "umi", F.col("best").alias("label"), (F.col("best") < F.col("label")).alias("moved")))
-        moved = new.where("moved").limit(1).count()
-        labels = new.drop("moved")
-        if not moved:
-            return labels.select("region", "umi", F.col("label.u").alias("parent"))
+    log = changed = counts.select("region", "umi", rank.alias("label"))
+    for k in count():
+        sent = edges.join(changed.withColumnRenamed("umi", "src"), ["region", "src"]).groupBy("region", F.col("dst").alias("umi")).agg(F.min("label").alias("sent"))
+        # what beats the least label that the log has
+        known = log.join(sent, key).groupBy(*key).agg(F.min("label").alias("label"), F.min("sent").alias("sent"))
+        changed = durable(known.where("sent < label").select(*key, F.col("sent").alias("label")))
+        if changed.isEmpty():
+            return log.groupBy(*key).agg(F.min("label").alias("label")).select("region", "umi", F.col("label.u").alias("parent"))
+        log = log.unionByName(changed)
+        if k >= PLAIN_ROUNDS:
+            changed = durable(_jumped(changed, log))
+            log = log.unionByName(changed)
+
+
+def _jumped(changed: DataFrame, log: DataFrame) -> DataFrame:
+    """``changed`` with the labels of the barcodes that its labels name, where these are better.
+
+    All of a giant group name one barcode, and few of such named ones have a label other than their own, so only
+    these are joined to, in ``SALTS`` copies.
+    """
+    named = changed.select("region", F.col("label.u").alias("umi")).distinct()
+    over = log.join(named, ["region", "umi"]).groupBy("region", "umi").agg(F.min("label").alias("over")).where("over.u <> umi")
+    over = over.select("region", F.col("umi").alias("u"), "over", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = changed.withColumns({"u": F.col("label.u"), "salt": F.pmod(F.xxhash64("umi"), F.lit(SALTS)).cast("int")})
+    return salted.join(over, ["region", "u", "salt"], "left").select("region", "umi", F.least("label", "over").alias("label"))
 
 
 def group_summary(groups: DataFrame) -> DataFrame:

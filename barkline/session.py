@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,14 +21,19 @@ def session(name: str = "barkline", **conf: str) -> SparkSession:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the shared folder of the cluster; survives the loss of executors.
+    """``df`` as a Parquet table in the shared folder of the cluster; survives the loss of executors.
 
-    ``spark.checkpoint.dir`` names the folder. Only a local master gets a folder of its own.
+    ``spark.checkpoint.dir`` names the folder. Only a local master gets a folder of its own. Unlike a checkpoint's
+    rows, a table has a known size and columns that can be left out, so joins with it are planned by size.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        given = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not given and not sc.master.startswith("local"):
+    spark = df.sparkSession
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given:
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint(eager=True)
+        given = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", given)
+    path = f"{given.rstrip('/')}/durable/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
