@@ -7,6 +7,7 @@ result is written by the time the next one begins, that one drops the tables tha
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barkline.llm import bpe, mixing, ngram_join, secrets, toxicity
-from barkline.llm.common import drop, shared_dir, staged, staging
+from barkline.llm.common import drop, give_back, shared_dir, staged, staging
 from barkline.llm.queries import RANKS
 
 #: Trained models and token hashes can't be written in SQL; the stages are tested by brute force.
@@ -33,6 +34,9 @@ def stage(f: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         while _done:
             drop(spark, _done.pop())
+        # what the stage before held on the driver (a sample, a model, rank tables) goes before this one adds its own
+        gc.collect()
+        give_back()
         with staging(f.__name__) as folder:
             _done.append(folder)
             return f(spark, docs, sf_dir)
