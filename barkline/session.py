@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ def session(name: str = "barkline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder(application: str) -> str:
+    """A local application's own folder; the setting itself can't be changed while it runs."""
+    return "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of the cluster; survives the loss of executors.
 
@@ -32,8 +39,7 @@ def durable(df: DataFrame) -> DataFrame:
         master = spark.sparkContext.master
         if not master.startswith("local[") and master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        given = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", given)
+        given = _own_folder(spark.sparkContext.applicationId)
     path = f"{given.rstrip('/')}/durable/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
