@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,12 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+@cache
+def _own_folder(application: str) -> str:
+    """A local application's own folder; the setting itself can't be changed while it runs."""
+    return "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -39,8 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not given:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        given = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", given)
+        given = _own_folder(sc.applicationId)
     return given.rstrip("/")
 
 
