@@ -29,6 +29,12 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def orderable(df: DataFrame, name: str) -> Column:
+    """A column, or its JSON where it holds what can't be ordered."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(col(name))) if "map<" in kind or "variant" in kind else col(name)
+
+
 @cache
 def _own_folder(application: str) -> str:
     """A local application's own folder; the setting itself can't be changed while it runs."""
@@ -111,9 +117,10 @@ def append_columns(
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     # a text that is carried anyway isn't sent twice
     carried = text in kept and isinstance(df.schema[text].dataType, T.StringType)
-    source = df.select(*[col(c) for c in kept], *([] if carried else [col(text).cast("string").alias("__text_in")]))
+    # by place, as a name with a dot can't be sent to a worker
+    source = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)], *([] if carried else [col(text).cast("string").alias("__text_in")]))
     at = kept.index(text) if carried else len(kept)
-    schema = T.StructType([source.schema[c] for c in kept] + fields)
+    schema = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(kept, source.schema)] + fields)
     arrow = to_arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +158,9 @@ def labelled_sample(
     """At most ``bound`` labelled documents (text, y) for fitting, the same ones at each run.
 
     Rows whose crc32(doc_id as text) mod ``modulus`` is ``held`` are never among them. The bound is
-    taken in the order of a hash of the id, so it is a uniform sample of the labelled rows; of these,
-    in the same order, as many are taken as hold ``chars`` characters together.
+    taken in the order of a hash of the id, so it is a uniform sample of the labelled rows. Of these, texts
+    of more than a 64th of ``chars`` characters are left out, and of the others, in the same order, as many are
+    taken as hold ``chars`` characters together; that is 64 at least, whatever the texts.
     """
     order = F.xxhash64("doc_id", F.lit(SEED))
     ids = (
@@ -166,6 +174,7 @@ def labelled_sample(
     # of rows that repeat an id the least text is taken, so the sample has at most ``bound`` rows
     found = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     upto = Window.orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.where(F.length("text") <= chars // 64)
     return found.withColumn("upto", F.sum(F.length("text")).over(upto)).where(F.col("upto") <= chars).select("text", "y")
 
 

@@ -11,9 +11,11 @@ Where no span of a language gains more than the penalty over the best single one
 do without that one; it can't if the best prefix and the best suffix gain no more than the penalty
 together. Then the best path is constant; running sums test it, and other texts are searched by steps.
 
-Training reads about ``per_language`` texts a language, drawn by hashed id. Edge cases: a null text,
-or one without a letter, gives ``und`` and score 0; ties go to the first language in order; without
-training rows every text is ``und``; repeated rows get equal results; output names replace columns.
+Training reads about ``per_language`` texts a language, drawn by hashed id among those of at most ``LONGEST``
+characters, which bounds what the driver holds; a language that has only longer ones is not learned. Edge cases:
+a null text, or one without a letter, gives ``und`` and score 0; ties go to the first language in order; without
+training rows every text is ``und``; a very long text is labelled whole, in the memory of one text; repeated rows get
+equal results; an empty table gives an empty result; output names replace columns.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ from pyspark.sql import types as T
 from .common import SEED, append_columns, char_grams, held_out
 
 UNKNOWN = "und"
+#: Texts that training reads of each language, and characters of such a text at most.
 PER_LANGUAGE = 400
+LONGEST = 1 << 17
 PENALTY = 9.0
 #: Log-likelihood that a language loses on a word of a script it was not seen with.
 FOREIGN = 30.0
@@ -71,10 +75,6 @@ def script(word: str) -> str:
     return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
-#: Slots of the table of known n-grams; of those that meet in one slot the last stays.
-SLOTS = 22
-
-
 @dataclass
 class Model:
     languages: list[str]
@@ -84,15 +84,30 @@ class Model:
     candidates: dict[str, np.ndarray]
 
     def __post_init__(self):
-        self.slots = np.full(1 << SLOTS, len(self.hashes), np.int32)
-        self.slots[self._slot(self.hashes)] = np.arange(len(self.hashes))
-        self.known = np.append(self.hashes, np.uint64(0))
+        # sorted hashes lie in slots by their first bits, four slots a hash; the slot's first place, and its end
+        order = np.argsort(self.hashes, kind="stable")
+        self.known, self.place = self.hashes[order], np.append(order, len(order)).astype(np.int32)
+        bits = max(1, (4 * len(order)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
 
     def __reduce__(self):
         return Model, (self.languages, self.hashes, self.table, self.candidates)
 
-    def _slot(self, h: np.ndarray) -> np.ndarray:
-        return (h >> np.uint64(64 - SLOTS)).astype(np.int64)
+    def rows(self, h: np.ndarray) -> np.ndarray:
+        """Rows of the table for n-grams' hashes; the last row for one that is not known."""
+        slot = (h >> self.shift).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        out = np.full(len(h), len(self.known), np.int32)
+        todo = np.flatnonzero(at < end)
+        at, end, h = at[todo], end[todo], h[todo]
+        while len(todo):
+            hit = self.known[at] == h
+            out[todo[hit]] = at[hit]
+            at = at + 1
+            left = ~hit & (at < end)
+            todo, at, end, h = todo[left], at[left], end[left], h[left]
+        return self.place[out]
 
     def words(self, words: list[str]) -> np.ndarray:
         """Scores of pieces of one script, a row each; languages that the script excludes lose FOREIGN."""
@@ -102,8 +117,7 @@ class Model:
 
     def _words(self, words: list[str]) -> np.ndarray:
         h, of = char_grams([w.lower() for w in words])
-        row = self.slots[self._slot(h)]
-        row[self.known[row] != h] = len(self.hashes)
+        row = self.rows(h)
         n = np.bincount(of, minlength=len(words))
         total = np.stack([np.bincount(of, weights=t[row], minlength=len(words)) for t in self.table.T], 1)
         total /= np.maximum(1.0, n / (np.array([len(w) for w in words]) + 1))[:, None]
@@ -134,7 +148,6 @@ def train(texts: list[str], langs: list[str]) -> Model:
         counts[np.searchsorted(hashes, h), k] = c
     total = counts.sum(0) + 0.1 * max(1, len(counts))
     kept = np.flatnonzero(counts.sum(1) > 1.5)
-    kept = kept[np.argsort(counts[kept].sum(1), kind="stable")]
     table = np.concatenate([counts[kept], np.zeros((1, len(names)))])
     every = sum(scripts.values(), np.zeros(len(names)))
     seen = {s: c >= CANDIDATE * np.maximum(every, 1) for s, c in scripts.items()}
@@ -144,7 +157,7 @@ def train(texts: list[str], langs: list[str]) -> Model:
 def fit(documents: DataFrame, modulus: int = 5, held: int = 0, per_language: int = PER_LANGUAGE) -> Model:
     """Train on about ``per_language`` texts a language whose ids are not held out."""
     rows = documents.where(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(modulus, held)
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length(F.col("text").cast("string")) <= LONGEST) & ~held_out(modulus, held)
     ).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().toLocalIterator()}
     if not sizes:

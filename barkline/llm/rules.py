@@ -4,7 +4,8 @@ Each text gives counts; their transforms are a vector of five statistics. For ea
 minimum-covariance-determinant estimate is the mean and covariance of the ``SUPPORT`` share of rows
 whose covariance has the least determinant, found as FAST-MCD does for large tables:
 
-1. From a bounded sample of each group (``SAMPLE`` rows on average) ``STARTS`` random subsets of p + 1
+1. From a bounded sample of each group (``SAMPLE`` rows on average, repeated rows counted once and weighted; the row
+   of least hash is always in it, so each group has a start) ``STARTS`` random subsets of p + 1
    rows take two concentration steps (the share of rows nearest by Mahalanobis distance gives the next
    mean and covariance); the best ``FINALISTS`` go on until their determinant falls no more.
 2. The finalists take concentration steps over all rows, as grouped aggregates with partial
@@ -53,8 +54,6 @@ CONSISTENT = 1.35
 SAMPLE = 1500
 STARTS = 100
 FINALISTS = 2
-#: Steps over all rows at most; each lowers the determinants, and few are needed from a good start.
-MOST_STEPS = 20
 #: 0.975 and 0.9999 quantiles of chi-square(5): rows of the reweighted estimate, and the cutoff.
 WEIGHED = 12.833
 QUANTILE = 25.745
@@ -191,29 +190,40 @@ def _moments(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
     return got.select(*keys, "rows", F.array(*[F.col(f"m_{s}") for s in STATS]).alias("mean"), F.array(*flat).alias("cov"))
 
 
+def _draw() -> Column:
+    return F.xxhash64("doc_id", *STATS)
+
+
 def _starts(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, cand, mean, cov): the finalists of each group from a bounded sample of its rows."""
-    drawn = rows.join(groups, keys).where(F.pmod(F.xxhash64("doc_id", *STATS), F.lit(1_000_000)) * F.col("n") < 1_000_000 * SAMPLE)
+    h = _draw()
+    drawn = rows.join(groups, keys).where((F.pmod(h, F.lit(1_000_000)) * F.col("n") < 1_000_000 * SAMPLE) | (h == F.col("least")))
+    # rows that repeat are drawn together, but reach the group's task as one with its number of copies
+    drawn = drawn.groupBy(*keys, *STATS).agg(F.count(F.lit(1)).alias("copies"), F.first("noise").alias("noise"))
     schema = T.StructType([*[rows.schema[k] for k in keys], *T.StructType.fromDDL("cand int, mean array<double>, cov array<double>")])
 
     def search(table: pa.Table) -> pa.Table:
         x = np.stack([table.column(s).to_numpy() for s in STATS], 1)
+        copies = table.column("copies").to_numpy()
+        # as often as they come, in proportion where that is more than four samples
+        copies = np.ceil(copies * min(1.0, 4 * SAMPLE / copies.sum())).astype(int)
+        x = np.repeat(x, copies, axis=0)
         x = x[np.lexsort(x.T)]  # the same starts however the rows arrive
         found = fast_mcd(x, np.array(table.column("noise")[0].as_py()))
         first = {k: pa.array([table.column(k)[0].as_py()] * len(found), table.schema.field(k).type) for k in keys}
         return pa.table(first | {"cand": pa.array(range(len(found)), pa.int32()), "mean": [m.tolist() for m, _ in found], "cov": [c.ravel().tolist() for _, c in found]})
 
-    return drawn.select(*keys, *STATS, "noise").groupBy(*keys).applyInArrow(search, schema)
+    return drawn.groupBy(*keys).applyInArrow(search, schema)
 
 
 def mcd(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, rows, mean, cov): the reweighted minimum-covariance-determinant estimate of each group."""
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(v) for v in NOISE]).alias("noise"))
+    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(_draw()).alias("least"), F.array(*[F.avg(v) for v in NOISE]).alias("noise"))
     groups = staged(groups, "groups")
     best = staged(_inverted(_starts(rows, groups, keys)), "starts")
     slim = rows.select(*keys, *STATS)
     each = [*keys, "cand"]
-    for _ in range(MOST_STEPS):
+    while True:  # each step lowers a determinant that the noise bounds
         far = slim.join(best.select(*each, "mean", "inverse"), keys).withColumn("d2", _distance("mean", "inverse")).drop("mean", "inverse")
         limit = staged(far.groupBy(*each).agg(F.percentile_approx("d2", SUPPORT, ACCURACY).alias("limit")), "limit")
         near = far.join(limit, each).where("d2 <= limit").join(groups, keys)

@@ -36,7 +36,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import append_columns
+from .common import append_columns, col
 
 KINDS = ("assign", "access", "hex", "der", "sshkey", "jwt")
 
@@ -363,4 +363,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return apply
 
     fields = [T.StructField("text", T.StringType(), True)]
-    return append_columns(docs, fields, make).select(*docs.columns)
+    return append_columns(docs, fields, make).select(*map(col, docs.columns))

@@ -745,6 +745,35 @@ def test_mcd_equals_fast_mcd_in_numpy(spark):
         assert np.allclose(got[g]["mean"], mean, atol=0.1) and np.allclose(np.array(got[g]["cov"]).reshape(5, 5), cov, atol=0.35)
 
 
+@pytest.mark.parametrize("others", [0, 300])
+def test_rules_keep_good_repeated_rows(spark, others):
+    """Equal documents are drawn as one row with its copies, so their group has an estimate however the hash falls."""
+    text = " ".join(f"word{k}" for k in range(80))
+    same = spark.range(20_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"))
+    rng = random.Random(2)
+    more = [(100 + k, " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randrange(60, 120))), "en", "b") for k in range(others)]
+    docs = same.unionByName(spark.createDataFrame(more, same.schema)) if others else same
+    got = rules.rule_verdicts(docs).where("doc_id = 5").groupBy("kept", F.col("distance").isNotNull().alias("measured")).count().collect()
+    assert [tuple(r) for r in got] == [(True, True, 20_000)]
+
+
+def test_known_ngrams_are_all_found():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 7, 50_000):
+        h = np.unique(np.concatenate([rng.integers(0, 1 << 63, n, dtype=np.uint64), np.arange(n // 3, dtype=np.uint64)]))
+        rng.shuffle(h)
+        m = langid.Model(["a"], h, np.zeros((len(h) + 1, 1)), {})
+        assert (m.rows(h) == np.arange(len(h))).all()
+        assert (m.rows(np.setdiff1d(rng.integers(0, 1 << 63, 1000, dtype=np.uint64), h)) == len(h)).all()
+
+
+def test_sample_goes_past_long_texts(spark):
+    docs = spark.createDataFrame([(k, "x" * 70 if k % 2 else f"short {k}") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 3 % 2) for k in range(400)], "doc_id long, quality int")
+    got = common.labelled_sample(docs, labels, "quality", 4, 2, 4000, chars=64 * 64).collect()
+    assert len(got) > 100 and all(len(r["text"]) <= 64 for r in got) and sum(len(r["text"]) for r in got) <= 64 * 64
+
+
 def test_rule_verdicts_equal_brute_force_distances(spark, odd, none):
     got = rules.rule_verdicts(odd).collect()
     assert len(got) == len(ODD) and not any(r["kept"] for r in got if r["n_words"] < 50)
