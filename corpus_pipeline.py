@@ -8,6 +8,7 @@ result is written by the time the next one begins, that one drops the tables tha
 from __future__ import annotations
 
 import gc
+import threading
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -17,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barkline.llm import bpe, mixing, ngram_join, secrets, toxicity
-from barkline.llm.common import drop, give_back, shared_dir, staged, staging
+from barkline.llm.common import col, drop, give_back, orderable, shared_dir, staged, staging
 from barkline.llm.queries import RANKS
 
 #: Trained models and token hashes can't be written in SQL; the stages are tested by brute force.
 ORACLE_SQL = None
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_done: list[str] = []
+#: Folders that stages of this thread have staged in and that are still there.
+_here = threading.local()
 
 
 def stage(f: Stage) -> Stage:
@@ -32,13 +34,15 @@ def stage(f: Stage) -> Stage:
 
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _done:
-            drop(spark, _done.pop())
+        done = _here.__dict__.setdefault("done", [])
+        while done:
+            drop(spark, done.pop())
         # what the stage before held on the driver (a sample, a model, rank tables) goes before this one adds its own
         gc.collect()
+        spark.sparkContext._jvm.System.gc()
         give_back()
         with staging(f.__name__) as folder:
-            _done.append(folder)
+            done.append(folder)
             return f(spark, docs, sf_dir)
 
     return run_stage
@@ -49,7 +53,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the classifier rejects go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), model, text="in_text")
-    return scored.where("predicted = 0").select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
+    return scored.where("predicted = 0").select(*[col(f"in_{c}").alias(c) for c in docs.columns])
 
 
 @stage
@@ -75,12 +79,13 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # of the rows that carry one id the least one stays
     again = named.join(kept.where("count > 1"), "doc_id", "left_semi")
     rest = [c for c in docs.columns if c != "doc_id"]
-    again = again.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+    least_row = F.min_by(F.struct(*map(col, rest)), F.struct(*[orderable(docs, c) for c in rest])).alias("row")
+    again = again.groupBy("doc_id").agg(least_row).select("doc_id", "row.*")
     out = rows.unionByName(again).unionByName(docs.where(null & ~worded))
     if unnamed is not None:
         alone = unnamed.join(kept, "doc_id", "left_semi").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
         out = out.unionByName(alone)
-    return out.select(*docs.columns)
+    return out.select(*map(col, docs.columns))
 
 
 @stage
@@ -92,7 +97,10 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    return mixing.emitted(mixing.mix(docs))
+    # columns that are named like those of the mix are carried under other names
+    own = {c: f"in_{k}_{c}" for k, c in enumerate(docs.columns) if c in mixing.OUTPUTS}
+    mixed = mixing.emitted(mixing.mix(docs.withColumnsRenamed(own)))
+    return mixed.withColumnsRenamed({v: k for k, v in own.items()}).select(*map(col, docs.columns))
 
 
 @stage
