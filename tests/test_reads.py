@@ -2,9 +2,12 @@
 
 import gzip
 import json
+import random
 import struct
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +72,48 @@ def files(tmp_path_factory):
     return d
 
 
+def test_many_reads_expand_as_one_by_one():
+    rng = random.Random(4)
+    reads = []
+    for k in range(400):
+        ops = [(rng.randrange(1, 6), rng.choice("MMMM=XIDNSP")) for _ in range(rng.randrange(0, 7))]
+        if k % 3 == 0:
+            ops = [(4, "M"), (2, rng.choice("ID")), (5, "M")]
+        length = sum(n for n, op in ops if op in "M=XIS")
+        seq = "".join(rng.choice("ACGTacgtN") for _ in range(length))
+        md, left = "", sum(n for n, op in ops if op in "M=X")
+        for n, op in ops:  # matches, a mismatch each now and then, deletions
+            if op in "M=X":
+                md += rng.choice([str(n), f"{n - 1}{rng.choice('ACGT')}"])
+            elif op == "D":
+                md += "^" + "".join(rng.choice("ACgt") for _ in range(n)) + "0"
+        cigar = "".join(f"{n}{op}" for n, op in ops) or rng.choice(["*", None])
+        reads.append((rng.randrange(1000), cigar, rng.choice([md, md, None]), seq, rng.choice([[], None, [rng.randrange(60) for _ in range(length)]])))
+    columns = [pa.array(c, t) for c, t in zip(zip(*reads), (pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.int32())))]
+    low, high = np.array([r[0] + 2 for r in reads]), np.array([r[0] + 9 for r in reads])
+    for cut in (slice(None), slice(37, 300)):  # slices of a batch have offsets
+        some = [c[cut] for c in columns]
+        for bounds in ((), (low[cut], high[cut])):
+            rows, bases = pl.expand_reads(*some, *bounds)
+            got = sorted(zip(rows.tolist(), *[c.to_pylist() for c in bases.columns]))
+            want = [(i, *x) for i, r in enumerate(reads[cut]) for x in pl.expand(r[0], r[1] or "", r[2], r[3], r[4] or [])]
+            assert got == sorted(w for w in want if not bounds or bounds[0][w[0]] <= w[1] < bounds[1][w[0]])
+
+
+def test_reads_without_their_sequence_have_no_bases():
+    one = [pa.array([5], pa.int64()), *[pa.array([x], pa.string()) for x in ("4M", "4", "*")], pa.array([[]], pa.list_(pa.int32()))]
+    assert pl.expand_reads(*one)[1].num_rows == 0
+    assert pl.expand_reads(*[c[:0] for c in one])[1].num_rows == 0
+
+
+def test_table_function_of_bases(spark):
+    pl.register_read_bases(spark)
+    got = spark.sql("""SELECT r.id, b.* FROM VALUES (1, 10L, '2M2D2M', '2^GT2', 'ACAC', array(1, 1, 1, 1)), (2, 7L, '3M', NULL, 'acg', NULL), (3, NULL, NULL, NULL, NULL, NULL)
+        AS r(id, start, cigar, md, seq, qual), LATERAL read_bases(r.start, r.cigar, r.md, r.seq, r.qual) AS b""").collect()
+    want = [(1, 10, "A", "A", 1), (1, 11, "CGT", "C", 1), (1, 14, "A", "A", 1), (1, 15, "C", "C", 1), (2, 7, "A", "A", 0), (2, 8, "C", "C", 0), (2, 9, "G", "G", 0)]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_expand():
     assert pl.expand(10, "6M", "6", "ACGTAC", [1] * 6)[0] == (10, "A", "A", 1)
     assert pl.expand(10, "3M2I3M", "6", "ACGTTTAC", [1] * 8)[2] == (12, "G", "GTT", 1)
