@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import SEED, col, give_back, text_batches
+from .common import SEED, col, drop, give_back, staged, staging, text_batches
 
 CHUNK = 4_000_000
 FRESH = 400_000
 KEPT = 300_000
 HEAD_CHARS = 40_000_000
 HEAD_WORDS = 150_000
+#: Files of the dictionary's words; their number is bounded, so this is too.
+HEAD_PARTS = 64
 LONG = 192
 
 #: Bits of an id in a packed pair, and sizes of the hash table (powers of two).
@@ -285,9 +287,12 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
 
     counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("int"))
-    coded = top.repartition(parts, "word").select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
+    # written first: a plan with a shuffle is described anew, rank literals and all, as each of its stages ends
+    with staging("head") as folder:
+        words = staged(top.repartition(HEAD_PARTS, "word"), "words")
+        coded = words.select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
+    drop(docs.sparkSession, folder)
     ids = coded.column("ids").combine_chunks()
     return coded.column("word").combine_chunks(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
 

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import json
+import pathlib
 import random
 import re
 import struct
@@ -380,6 +381,8 @@ def test_bpe_equals_tiktoken(spark, documents, odd, none, monkeypatch):
         assert_coded(got, enc)
         assert all(bytes(r["decoded"]).decode() == (r["t"] or "") for r in got)
     assert bpe.round_trip(none, path, pattern).count() == 0
+    # the dictionary's staged words go with the job that encodes them
+    assert not list(pathlib.Path(common.shared_dir(spark).removeprefix("file://")).glob("head-*"))
 
 
 def test_long_words_and_pair_table():
