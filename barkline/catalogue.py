@@ -50,16 +50,27 @@ def query(name: str, sql: str | None) -> Callable[[Query], Query]:
 
 
 def _families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return gp.get_families(views.reads(spark, sf_dir), views.UMI_LENGTH, DISTANCE, NEAR)
+    return gp.get_families(views.reads(spark, sf_dir, stage=False), views.UMI_LENGTH, DISTANCE, NEAR)
 
 
-def _alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return durable(cs.base_counts(views.pileup(spark, sf_dir, stage=False), QUALITY))
+
+
+def _alleles(spark: SparkSession, sf_dir: str, bases: DataFrame | None = None) -> DataFrame:
     f = _families(spark, sf_dir)
-    return cs.family_allele_counts(views.pileup(spark, sf_dir), f["groups"], f["families"], QUALITY, NEAR)
+    return cs.family_alleles(_bases(spark, sf_dir) if bases is None else bases, f["groups"], f["families"], NEAR)
 
 
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cs.consensus(_alleles(spark, sf_dir), SIZES).unionByName(cs.uncollapsed(cs.uncollapsed_alleles(views.pileup(spark, sf_dir), QUALITY)))
+    return _calls_and_alleles(spark, sf_dir)[0]
+
+
+def _calls_and_alleles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The calls and the family alleles behind them: each of the two views is read once."""
+    bases = _bases(spark, sf_dir)
+    alleles = durable(_alleles(spark, sf_dir, bases))
+    return cs.consensus(alleles, SIZES).unionByName(cs.uncollapsed(cs.all_alleles(bases))), alleles
 
 
 #: CTEs by name and what they need; ``sql`` puts those that a query names in front of it.
@@ -273,7 +284,8 @@ _ORDER = "ORDER BY instr('ACGTN', alt), alt"
     JOIN (VALUES {', '.join(f'({s})' for s in SIZES)}) s(fam) ON m >= s.fam GROUP BY region, pos, s.fam) s ON s.region = v.region AND s.pos = v.pos AND s.fam = v.fam
   GROUP BY v.region, v.pos, v.fam, v.ref, CASE WHEN length(v.ref) = 1 AND length(alt) = 1 THEN '' ELSE concat(v.ref, '>', alt) END""", "vv", "calls", "al"))
 def vcf_records(spark, d):
-    calls = cs.with_mean_family(_calls(spark, d), cs.family_sizes(_alleles(spark, d), SIZES))
+    calls, alleles = _calls_and_alleles(spark, d)
+    calls = cs.with_mean_family(calls, cs.family_sizes(alleles, SIZES))
     out = vr.vcf_records(vr.variants(calls))
     return out.select(F.col("`#CHROM`").alias("contig"), F.col("POS").alias("pos"), "fam", F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("FILTER").alias("filter"), F.col("INFO").alias("info"))
 
@@ -304,7 +316,8 @@ def covered_intervals(spark, d):
   JOIN (VALUES {', '.join(f'({s})' for s in SIZES)}) s(fam) ON m >= fam
   WHERE EXISTS (SELECT 1 FROM calls c WHERE c.region = x.region AND c.pos = x.pos AND c.fam = s.fam) GROUP BY region, fam, pos""", "al", "calls"))
 def family_size_track(spark, d):
-    wide = cs.consensus_wide(_calls(spark, d), cs.family_sizes(_alleles(spark, d), SIZES))
+    calls, alleles = _calls_and_alleles(spark, d)
+    wide = cs.consensus_wide(calls, cs.family_sizes(alleles, SIZES))
     return sm.family_size_track(wide).select("region", "fam", "pos", "mean_fam")
 
 

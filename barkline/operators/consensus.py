@@ -29,8 +29,21 @@ def nearest_family(reads: DataFrame, groups: DataFrame, families: DataFrame) ->
 
 def family_allele_counts(pileup: DataFrame, groups: DataFrame, families: DataFrame, quality: int = 25, threshold: int = 10) -> DataFrame:
     """(region, pos, parent, fam_pos, fam_n, dist, ref, alt, n) of bases of good quality near a family."""
-    good = nearest_family(pileup.where(F.col("q") >= quality), groups, families).where(F.col("dist") <= threshold)
-    return good.groupBy("region", "pos", "parent", "fam_pos", "fam_n", "dist", "ref", "alt").agg(F.count(F.lit(1)).alias("n"))
+    return family_alleles(durable(base_counts(pileup, quality)), groups, families, threshold)
+
+
+def base_counts(pileup: DataFrame, quality: int = 25) -> DataFrame:
+    """(region, umi, start, pos, ref, alt, n) of bases of good quality: all that alleles need of a pileup.
+
+    Reads of a barcode and start share family and distance, so equal bases of them are one row before any join.
+    """
+    return pileup.where(F.col("q") >= quality).groupBy("region", "umi", "start", "pos", "ref", "alt").agg(F.count(F.lit(1)).alias("n"))
+
+
+def family_alleles(bases: DataFrame, groups: DataFrame, families: DataFrame, threshold: int = 10) -> DataFrame:
+    """``family_allele_counts`` from ``base_counts``, which are read twice."""
+    near = nearest_family(bases, groups, families).where(F.col("dist") <= threshold)
+    return near.groupBy("region", "pos", "parent", "fam_pos", "fam_n", "dist", "ref", "alt").agg(F.sum("n").alias("n"))
 
 
 def uncollapsed_alleles(pileup: DataFrame, quality: int = 25) -> DataFrame:
@@ -38,6 +51,11 @@ def uncollapsed_alleles(pileup: DataFrame, quality: int = 25) -> DataFrame:
     return pileup.where(F.col("q") >= quality).groupBy("region", "pos", "ref", "alt").agg(F.count(F.lit(1)).alias("n"))
 
 
+def all_alleles(bases: DataFrame) -> DataFrame:
+    """``uncollapsed_alleles`` from ``base_counts``."""
+    return bases.groupBy("region", "pos", "ref", "alt").agg(F.sum("n").alias("n"))
+
+
 def consensus(alleles: DataFrame, sizes: list[int], percent_threshold: float = 50.0, count_threshold: int = 1) -> DataFrame:
     """(region, pos, fam, ref, alt, n, rawdp, consdp) for every family size at once.
 

@@ -29,6 +29,11 @@ def umi_counts(reads: DataFrame) -> DataFrame:
     return reads.groupBy("region", "umi").agg(F.count(F.lit(1)).alias("n"), F.min("read_id").alias("first_seen"))
 
 
+def start_counts(reads: DataFrame) -> DataFrame:
+    """(region, umi, pos, n, first_seen): ``umi_counts`` by start; all that grouping needs of the reads."""
+    return reads.groupBy("region", "umi", F.col("start").alias("pos")).agg(F.count(F.lit(1)).alias("n"), F.min("read_id").alias("first_seen"))
+
+
 def flag_tally(reads: DataFrame) -> DataFrame:
     """(region, mapped, unmapped, secondary, supplementary); a read may count as both of the last two."""
     flag = F.col("flag")
@@ -124,10 +129,9 @@ def group_summary(groups: DataFrame) -> DataFrame:
     return out.select("region", "ptu", "ctu", F.col("rows.children").alias("child_nums"), F.col("rows.parents").alias("freq_parents"))
 
 
-def umi_positions(reads: DataFrame, groups: DataFrame) -> DataFrame:
-    """(region, parent, umi, pos, n): reads of each barcode by start."""
-    per = reads.groupBy("region", "umi", F.col("start").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
-    return per.join(groups, ["region", "umi"]).select("region", "parent", "umi", "pos", "n")
+def umi_positions(starts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(region, parent, umi, pos, n): reads of each barcode by start, from ``start_counts``."""
+    return starts.join(groups, ["region", "umi"]).select("region", "parent", "umi", "pos", "n")
 
 
 def umi_families(positions: DataFrame, threshold: int = 10, dominant: bool = False) -> DataFrame:
@@ -166,9 +170,12 @@ def qc_relationships(positions: DataFrame) -> DataFrame:
 
 
 def get_families(reads: DataFrame, umi_length: int, distance: int = 1, threshold: int = 10, ignore_others: bool = False, truncate: bool = False) -> dict[str, DataFrame]:
-    """Counts, groups, positions and families of all regions, from one table of reads."""
-    usable = usable_reads(reads, truncate)
-    counts = checked_counts(durable(umi_counts(usable)))
+    """Counts, groups, positions and families of all regions, from one table of reads.
+
+    The reads are read once, for their counts by barcode and start, and once more where flags are asked for.
+    """
+    starts = durable(start_counts(usable_reads(reads, truncate)))
+    counts = checked_counts(durable(starts.groupBy("region", "umi").agg(F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"))))
     groups = umi_groups(counts, umi_edges(counts, umi_length, distance))
-    positions = durable(umi_positions(usable, groups))
+    positions = durable(umi_positions(starts, groups))
     return {"counts": counts, "flags": flag_tally(reads), "groups": groups, "positions": positions, "families": umi_families(positions, threshold, ignore_others)}

@@ -150,8 +150,9 @@ def collapse(reads: DataFrame, groups: DataFrame, families: DataFrame, settings:
     """
     seen = gp.usable_reads(pl.stepped(reads, stepper, ignore_orphans))
     piled = pl.capped(durable(pl.pileup(seen, separator, truncate)), max_depth)
-    alleles = durable(cs.family_allele_counts(piled, groups, families, settings.quality, settings.position))
-    calls = cs.consensus(alleles, list(settings.sizes), settings.percent, settings.count).unionByName(cs.uncollapsed(cs.uncollapsed_alleles(piled, settings.quality)))
+    bases = durable(cs.base_counts(piled, settings.quality))
+    alleles = durable(cs.family_alleles(bases, groups, families, settings.position))
+    calls = cs.consensus(alleles, list(settings.sizes), settings.percent, settings.count).unionByName(cs.uncollapsed(cs.all_alleles(bases)))
     calls = durable(calls)
     sizes = cs.family_sizes(alleles, list(settings.sizes))
     wide = cs.consensus_wide(calls, sizes)

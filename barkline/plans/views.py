@@ -47,19 +47,20 @@ SELECT read_id AS ord, concat('@r', cast(read_id AS varchar(20)), ' 1:N:0') AS n
 FROM ({READS}) v"""
 
 
-def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def _run(spark: SparkSession, sf_dir: str, sql: str, stage: bool = True) -> DataFrame:
     """The rows of a view, staged: a barcode's expression is long, and plans that read a view several times, or filter and
-    join by it, would repeat it."""
-    return durable(spark.sql(sql.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
+    join by it, would repeat it. A plan that only groups a view once does without."""
+    rows = spark.sql(sql.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return durable(rows) if stage else rows
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     """Reads with the columns that the operators expect; a read spans 30 positions."""
-    return _run(spark, sf_dir, READS).withColumns({"end": F.col("start") + 30, "region_start": F.lit(1005), "region_end": F.lit(2000)})
+    return _run(spark, sf_dir, READS, stage).withColumns({"end": F.col("start") + 30, "region_start": F.lit(1005), "region_end": F.lit(2000)})
 
 
-def pileup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, PILEUP)
+def pileup(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
+    return _run(spark, sf_dir, PILEUP, stage)
 
 
 def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
