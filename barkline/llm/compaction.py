@@ -11,7 +11,7 @@ readers of older versions keep their files until ``expire`` is called.
 Plan: a shard's tier is the power of ``fan_in`` by which its bytes exceed the smallest size. The
 prefix sum of bytes within a tier cuts the tier's runs into merge groups of the target size; groups
 of one run are left alone. Only the list of shards is windowed, never the documents. A merge group is
-a task of its own.
+a task of its own, which reads the group's shards and writes the new one, so nothing is shuffled.
 
 The list of shards passes the driver where files are read, as a listing of files does; documents never do.
 
@@ -44,6 +44,9 @@ ARRIVAL_ROWS = 20_000
 #: Parts that ``shard`` takes a table in.
 ARRIVALS = 3
 
+#: Merge groups of one job.
+JOB_GROUPS = 64
+
 MANIFEST = "shard string, bytes bigint, tier int"
 
 
@@ -154,16 +157,18 @@ class ShardStore:
         """Merge each planned group into one file and commit; the version is unchanged if none is."""
         v = self.version()
         planned = self.plan(v)
-        names = [r["shard"] for r in planned.select("shard").toLocalIterator()]
-        if not names:
+        bins: dict[str, list[str]] = {}
+        for r in planned.select("shard", "bin").toLocalIterator():
+            bins.setdefault(r["bin"], []).append(r["shard"])
+        if not bins:
             return v
         folder = f"{self.root}/data/c{v + 1:06d}-{uuid.uuid4().hex[:8]}"
-        # bins get numbers, and each number is a partition
-        groups = planned.select("bin").distinct().withColumn("number", F.row_number().over(Window.orderBy("bin")) - 1)
-        numbered = planned.join(groups, "bin").select("shard", "number")
-        bins = groups.count()
-        tagged = self.read(v, only=names).join(numbered, "shard").drop("shard", "shard_bytes")
-        tagged.repartitionById(bins, "number").drop("number").write.option("compression", "zstd").parquet(folder)
+        none = self.spark.read.parquet(f"{self.root}/schema")
+        groups = list(bins.values())
+        for at in range(0, len(groups), JOB_GROUPS):
+            whole = [self.spark.read.schema(none.schema).parquet(*names).coalesce(1) for names in groups[at : at + JOB_GROUPS]]
+            # a union of single partitions alone would be taken as one partition; a table without rows keeps them apart
+            reduce(DataFrame.union, [*whole, none]).write.mode("append").option("compression", "zstd").parquet(folder)
         kept = self.manifest(v).join(planned.select("shard"), "shard", "left_anti")
         return self._commit(kept.unionByName(self._tiered(self._sizes(folder))), v + 1)
 

@@ -937,3 +937,21 @@ def test_embedding_planted_links_over_cells(spark, monkeypatch, cells):
     assert link.sum() > 1000
     got = {r["vec_id"]: r["n_links"] for r in neardup.near_duplicates(df).collect()}
     assert got == dict(enumerate(link.sum(1).tolist()))
+
+
+def test_merging_shuffles_no_documents(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(compaction, "JOB_GROUPS", 3)
+    kind = type(documents)
+    store = compaction.ShardStore(spark, f"file://{tmp_path}/n", target=60_000, smallest=1000, fan_in=2)
+    store.append(documents.repartition(24))
+    groups = {}
+    for r in store.plan().collect():
+        groups.setdefault(r["bin"], []).append(r["shard"])
+    want = sorted(sorted(r["doc_id"] for r in spark.read.parquet(*names).collect()) for names in groups.values())
+    before, plans, write = {r["shard"] for r in store.manifest().collect()}, [], kind.write.fget
+    monkeypatch.setattr(kind, "write", property(lambda df: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or write(df)))
+    store.compact()
+    assert len(groups) > 3
+    assert [p for c, p in plans if "text" in c] and not [p for c, p in plans if "text" in c and "Exchange" in p]
+    new = [r["shard"] for r in store.manifest().collect() if r["shard"] not in before]
+    assert sorted(sorted(r["doc_id"] for r in spark.read.parquet(name).collect()) for name in new) == want
