@@ -2,12 +2,14 @@
 
 Texts are split by the pattern, and each distinct word is encoded by Spark's higher-order functions:
 a fold over the word's bytes merges the pair of least rank (the leftmost at a tie) until none has a
-rank. Ranks are a literal map of pairs of ids: a perfect hash table in two literal arrays, so that a
-look-up costs the same for any pair. No step shuffles texts:
+rank. Ranks are a map of pairs of ids: a perfect hash table in two arrays, so that a look-up costs the
+same for any pair. The arrays are columns of the rows that hold words, from a broadcast: as literals they
+would be in each plan, and in each description of it that the driver keeps. No step shuffles texts:
 
 1. A task numbers the words of its texts and emits a row for about ``CHUNK`` characters or ``FRESH``
-   bytes of new words: the carried columns, each text's word numbers, and the bytes of the words that the
-   task has not met before.
+   bytes of new words: the carried columns, each text's word numbers, the bytes of the words that the
+   task has not met before, and the table. Texts are cut where a space follows a word, and what lies
+   between two cuts is split by the pattern once a task, within ``CUTS`` pieces.
 2. The fold encodes the row's new words.
 3. A task remembers the ids of the words that its rows brought, puts the ids of each text together and
    concatenates the ids' binary pieces. Both sides forget all words once ``KEPT`` are known, in the same
@@ -30,8 +32,10 @@ import base64
 import hashlib
 import heapq
 import json
+import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +50,17 @@ from .common import SEED, col, drop, give_back, staged, staging, text_batches
 CHUNK = 4_000_000
 FRESH = 400_000
 KEPT = 300_000
+#: Pieces of texts whose words a task remembers, and characters of such a piece at most.
+CUTS, CUT = 300_000, 64
 HEAD_CHARS = 40_000_000
 HEAD_WORDS = 150_000
 #: Files of the dictionary's words; their number is bounded, so this is too.
 HEAD_PARTS = 64
 LONG = 192
 
+#: The pattern of byte-level BPE, whose matches hold a space of U+0020 in front or among white space only.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 #: Bits of an id in a packed pair, and sizes of the hash table (powers of two).
 ID_BITS = 20
 SLOTS = 1 << 18
@@ -68,7 +77,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankMap:
-    """The ranks of pairs of ids as literals of Spark expressions.
+    """The ranks of pairs of ids as columns (``TABLE``) that stand beside the words of a row.
 
     A pair is the number a * 2^ID_BITS + b. A slot holds (a + 1, b + 1, rank) packed; exclusive or with
     the pair asked for leaves the rank if it is that pair, and more than ID_BITS bits otherwise.
@@ -90,8 +99,11 @@ class RankMap:
         single = [ranks[bytes([b])] for b in range(256)]
         first = [pairs.get((single[a], single[b])) for a in range(256) for b in range(256)]
         del pairs
-        self.slots, self.shifts = _literal(slots, "bigint"), _literal(shifts, "int")
-        self.single, self.first = _literal(single, "bigint"), _literal(first, "bigint")
+        first = np.array([_NONE if r is None else r for r in first], np.int64)
+        arrays = [slots, shifts.astype(np.int32), np.array(single, np.int64), first]
+        #: One cell of each column of ``TABLE``.
+        self.cells = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a)) for a in arrays]
+        self.slots, self.shifts, self.single, self.first = (F.col(f"rank_{c}") for c in ("slots", "shifts", "single", "first"))
 
     def table(self, pairs: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray]:
         """(packed slots, displacement of each group); the first multiplier is stepped until groups have no clash."""
@@ -159,14 +171,9 @@ class RankMap:
         return F.transform(fold, id_of)
 
 
-def _literal(values: Sequence, kind: str) -> Column:
-    """An array as one literal; its text is made of short pieces, so that few objects live at once."""
-    pieces = (json.dumps(list(map(_plain, values[k : k + 4096])), separators=(",", ":"))[1:-1] for k in range(0, len(values), 4096))
-    return F.from_json(F.lit(f"[{','.join(pieces)}]"), f"array<{kind}>")
-
-
-def _plain(x) -> int | None:
-    return None if x is None else int(x)
+#: The columns of a row that hold the rank table.
+TABLE = "rank_slots array<bigint>, rank_shifts array<int>, rank_single array<bigint>, rank_first array<bigint>"
+RANK_COLUMNS = [c.split()[0] for c in TABLE.split(", ")]
 
 
 def _long(x: int) -> Column:
@@ -231,6 +238,43 @@ class Numbered(dict):
             self.next -= 1
 
 
+#: White space before a space; where there is none, a text can be cut before each space.
+_WIDE = re.compile(r"\s ")
+_CUTS = re.compile(r"(?<=\S)(?= )")
+
+
+class Pieces(dict):
+    """What follows a space up to the next cut -> the numbers of its words, as the bytes of 32-bit integers.
+
+    No match of the pattern reaches over a space that follows a word (``cuttable``), so the pieces of a text are
+    split alone.
+    """
+
+    def __init__(self, split: Callable[[str], list[str]], words: Numbered):
+        super().__init__()
+        self.split, self.words = split, words
+
+    def plain(self, text: str) -> bytes:
+        return array("i", map(self.words.__getitem__, self.split(text))).tobytes()
+
+    def __missing__(self, rest: str) -> bytes:
+        got = self.plain(" " + rest)
+        if len(rest) <= CUT:
+            if len(self) >= CUTS:
+                self.clear()
+            self[rest] = got
+        return got
+
+    def of(self, text: str) -> bytes:
+        parts = text.split(" ") if not _WIDE.search(text) else [p[k > 0 :] for k, p in enumerate(_CUTS.split(text))]
+        return self.plain(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
+
+
+def cuttable(pattern: str) -> bool:
+    """Whether texts may be cut before spaces: known of the byte-level pattern alone; others see whole texts."""
+    return pattern == BYTE_LEVEL
+
+
 class Ids:
     """Number of a word -> its ids, in flat arrays; ``extend`` adds words in the order of their numbers."""
 
@@ -287,14 +331,23 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
 
     counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
-    values = F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit("(..)"), 1), lambda h: F.conv(h, 16, 10).cast("int"))
-    # written first: a plan with a shuffle is described anew, rank literals and all, as each of its stages ends
+    cells = docs.sparkSession.sparkContext.broadcast(table.cells)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            whole = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), x) for x in (pa.array(words, pa.string()), _lists([w.encode() for w in words]))]
+            yield pa.RecordBatch.from_arrays([*whole, *cells.value], names=["texts", "words", *RANK_COLUMNS])
+
+    # written first, so that each fold is a task of the words' shuffle and not of the sample
     with staging("head") as folder:
         words = staged(top.repartition(HEAD_PARTS, "word"), "words")
-        coded = words.select("word", table.encode(values).cast("array<int>").alias("ids")).toArrow()
+        listed = words.mapInArrow(rows, f"texts array<string>, words array<array<int>>, {TABLE}")
+        coded = listed.select("texts", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("ids")).toArrow()
     drop(docs.sparkSession, folder)
-    ids = coded.column("ids").combine_chunks()
-    return coded.column("word").combine_chunks(), ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
+    cells.destroy()
+    texts, ids = (coded.column(c).combine_chunks().flatten() for c in ("texts", "ids"))
+    return texts, ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
 
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -311,15 +364,17 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     head, flat, sizes = head_words(named, ranks, table, pattern)
     # Arrow arrays are pickled as buffers, without an object a word
     tokens = pa.array(sorted(ranks, key=ranks.get), pa.binary())
-    coding, decoding = sc.broadcast((tokens, head)), sc.broadcast((tokens, flat, sizes))
-    del ranks, head
+    coding, decoding = sc.broadcast((tokens, head, table.cells)), sc.broadcast((tokens, flat, sizes))
+    del ranks, head, table.cells
     give_back()
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, head = {t: r for r, t in enumerate(coding.value[0].to_pylist())}, coding.value[1].to_pylist()
-        split, words = regex.compile(pattern).findall, Numbered(ranks, head)
+        words = Numbered(ranks, head)
+        pieces = Pieces(regex.compile(pattern).findall, words)
+        numbers = pieces.of if cuttable(pattern) else pieces.plain
         sizes, codes, chars, forget = [], [], 0, False
         blob = pa.BufferOutputStream()
         sink = pa.ipc.new_stream(blob, arrow_in)
@@ -332,25 +387,26 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
             sink.close()
             row = [
                 pa.array([blob.getvalue().to_pybytes()], pa.binary()), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
-                pa.array([np.concatenate(codes).tobytes() if codes else b""], pa.binary()),
+                pa.array([b"".join(codes)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), _lists(plain)), pa.array([json.dumps(list(long.items()))]),
-                pa.array([forget]),
+                pa.array([forget]), *coding.value[2],
             ]
             words.new, words.fresh = [], 0
             forget = words.next - words.first > KEPT
             if forget:
                 words.forget()
+                pieces.clear()
             sizes, codes, chars, blob = [], [], 0, pa.BufferOutputStream()
             sink = pa.ipc.new_stream(blob, arrow_in)
-            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget"])
+            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget", *RANK_COLUMNS])
 
         for batch in batches:
             at = 0
             for k, text in enumerate(batch.column(len(kept))):
                 text = text.as_py()
-                code = np.fromiter(map(words.__getitem__, split(text)), np.int32)
+                code = numbers(text)
                 codes.append(code)
-                sizes.append(len(code))
+                sizes.append(len(code) // 4)
                 chars += len(text)
                 if chars > CHUNK or words.fresh > FRESH:
                     sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at, k + 1 - at) for c in batch.columns[: len(kept)]], schema=arrow_in))
@@ -400,7 +456,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                 columns += [pa.array(out[f.name], arrow_out.field(f.name).type) for f in fields]
                 yield from pa.Table.from_arrays(columns, schema=arrow_out).to_batches()
 
-    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<int>>, long string, forget boolean")
+    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<int>>, long string, forget boolean, " + TABLE)
     folded = chunks.select("carried", "sizes", "codes", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("words"), "long", "forget")
     done = folded.mapInArrow(together, schema)
     return done.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(kept)], *[f.name for f in fields])
