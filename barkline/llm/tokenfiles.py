@@ -9,9 +9,9 @@ A row says which shard it is in and how many ids of the shard come before it, so
 follows from one sum a shard: the manifest, made by reading two columns. ``documents`` gives whole rows with
 their start, ``span`` the ids from one place of the corpus to another, both with filters that reach the pages.
 
-Encoding: a text is split at the borders of the byte-level pattern by array operations over its characters, and
-the library encodes each word once a worker process and remembers it, within ``KEPT`` words (two generations, so
-that frequent words stay). Words are encoded alone, which gives the same ids, as the library encodes each match
+Encoding: a text is split at the borders of the byte-level pattern by array operations over its characters, equal
+words of about ``PIECE`` characters are found by sorting (``distinct``), and the library's model encodes each word
+once a worker process and remembers it, within ``KEPT`` words (two generations, so that frequent words stay). Words are encoded alone, which gives the same ids, as the library encodes each match
 of the pattern on its own. Texts with a character that has been assigned or reclassified since Unicode 3.2 are
 left to the library as a whole, since tables of later versions differ. Strings of special tokens are text.
 
@@ -31,6 +31,7 @@ import os
 import re
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -109,17 +110,98 @@ def borders(c: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts[:n])
 
 
+def changed(text: str) -> bool:
+    """Whether a text holds a character of a changed class."""
+    return bool((_classes()[np.frombuffer(text.encode("utf-32-le"), np.uint32)] == _CHANGED).any())
+
+
+def cut(text: str) -> Iterator[str]:
+    """Parts of a long text of about ``PIECE`` characters; a match never reaches over a word's end into white space."""
+    at = 0
+    while at < len(text):
+        found = re.compile(r"(?<=\S)(?= )").search(text, min(at + PIECE, len(text)))
+        to = found.start() if found else len(text)
+        yield text[at:to]
+        at = to
+
+
+def by_piece(batch: pa.RecordBatch, column: int, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """A batch by as many rows as hold about ``size`` bytes of text."""
+    at, upto = 0, np.cumsum(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < batch.num_rows:
+        to = 1 + int(np.searchsorted(upto, size + (upto[at - 1] if at else 0)))
+        part = batch.slice(at, to - at)
+        yield part
+        at += part.num_rows
+
+
+def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray] | None:
+    """(UTF-8 of the texts end to end, where its words begin and the last ends, number of the first word of each text
+    and of all); None if there is a character of a changed class."""
+    joined = "".join(texts)
+    c = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    if (_classes()[c] == _CHANGED).any():
+        return None
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    at = borders(c, begins[sizes > 0]) if len(c) else np.array([], np.int64)
+    firsts = np.searchsorted(at, np.append(begins, len(c)))
+    raw = joined.encode()
+    if len(raw) == len(c):
+        return raw, np.append(at, len(c)), firsts
+    width = 1 + (c >= 0x80).astype(np.int8) + (c >= 0x800) + (c >= 0x10000)
+    return raw, np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[np.append(at, len(c))], firsts
+
+
+def distinct(raw: bytes, places: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Words of ``raw`` (``places``: where they begin and the last ends) and for each word the number of its equal among them.
+
+    Words of up to 15 bytes are compared as two integers that hold their bytes and length, in the order of a hash of
+    both; longer ones, and now and then equal ones whose hash others share, are listed more than once.
+    """
+    start, size = places[:-1], np.diff(places)
+    eight = np.ndarray(len(raw) + 9, "<u8", raw + bytes(16), strides=(1,))
+    mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    short = size <= 15
+    low = eight[start] & mask[np.minimum(size, 8)]
+    high = eight[np.minimum(start + 8, len(raw))] & mask[np.clip(size - 8, 0, 8)] | np.minimum(size, 255).astype(np.uint64) << np.uint64(56)
+    order = np.argsort((low ^ high * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93))
+    low, high = low[order], high[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | ~short[order[1:]]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    a = start[order[new]]
+    return [raw[x:y] for x, y in zip(a.tolist(), (a + size[order[new]]).tolist(), strict=True)], number
+
+
+def _byte_characters() -> str:
+    """The character that stands for each byte in the vocabulary of byte-level files."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(others)) for b in range(256))
+
+
 class Words(dict):
     """Word (UTF-8) -> its ids as little-endian unsigned 32-bit integers, by the library; two generations."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.encode, self.before = tokenizer.encode, {}
+        self.before, self.model, self.whole = {}, tokenizer.model, tokenizer.encode
+        self.characters = dict(enumerate(_byte_characters()))
+        # where a word's bytes are all that the model sees of it, the model is asked at once
+        pre = tokenizer.pre_tokenizer
+        plain = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and tokenizer.normalizer is None and tokenizer.post_processor is None
+        if not plain or not all(t.special for t in tokenizer.get_added_tokens_decoder().values()):
+            self.ids = lambda word: self.whole(word.decode(), add_special_tokens=False).ids
+
+    def ids(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.characters))]
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
-            ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            ids = array("I", self.ids(word)).tobytes()
         if len(self) >= KEPT:
             self.before = dict(self)
             self.clear()
@@ -155,37 +237,27 @@ class Encoder:
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         if len(texts) == 1 and len(texts[0]) > 2 * PIECE:
-            # a match never reaches over a word's end into white space
-            out, at, text = [], 0, texts[0]
-            while at < len(text):
-                cut = re.compile(r"(?<=\S)(?= )").search(text, min(at + PIECE, len(text)))
-                to = cut.start() if cut else len(text)
-                out += self._matches([text[at:to]])
-                at = to
-            yield b"".join(out)
+            yield b"".join(ids for part in cut(texts[0]) for ids in self._matches([part]))
         else:
             yield from self._matches(texts)
 
     def _matches(self, texts: list[str]) -> Iterator[bytes]:
-        joined = "".join(texts)
-        c = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        changed = _classes()[c] == _CHANGED
-        if changed.any():
-            ends = np.cumsum([len(t) for t in texts])
-            touched = set(np.searchsorted(ends, np.flatnonzero(changed), "right").tolist())
-            plain = self._matches([t for k, t in enumerate(texts) if k not in touched])
-            yield from (self.whole(t) if k in touched else next(plain) for k, t in enumerate(texts))
+        found = split(texts)
+        if found is None:
+            touched = [changed(t) for t in texts]
+            plain = self._matches([t for t, x in zip(texts, touched, strict=True) if not x])
+            yield from (self.whole(t) if x else next(plain) for t, x in zip(texts, touched, strict=True))
             return
-        sizes = np.array([len(t) for t in texts], np.int64)
-        begins = np.cumsum(sizes) - sizes
-        at = borders(c, begins[sizes > 0]) if len(c) else np.array([], np.int64)
-        split = np.searchsorted(at, np.append(begins, len(c))).tolist()
-        width = 1 + (c >= 0x80).astype(np.int8) + (c >= 0x800) + (c >= 0x10000)
-        places = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[np.append(at, len(c))].tolist()
-        raw = joined.encode()
-        words = [raw[a:b] for a, b in pairwise(places)]
-        for a, b in pairwise(split):
-            yield b"".join(map(self.words.__getitem__, words[a:b]))
+        raw, places, firsts = found
+        listed, number = distinct(raw, places)
+        ids = [self.words[w] for w in listed]
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[number]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(starts[number] - upto[:-1], n) + np.arange(upto[-1])]
+        for a, b in pairwise(upto[firsts].tolist()):
+            yield flat[a:b].tobytes()
 
 
 _encoders: dict[int, Encoder] = {}
@@ -233,12 +305,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = END
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, place, encode = TaskContext.get().partitionId(), 0, encoder(file.value)
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                # as many rows at a time as hold about PIECE characters
-                lengths = pa.compute.binary_length(batch.column(batch.num_columns - 1).slice(at)).to_numpy()
-                part = batch.slice(at, 1 + int(np.searchsorted(np.cumsum(lengths), PIECE)))
-                at += part.num_rows
+            for part in by_piece(batch, batch.num_columns - 1):
                 coded = [x + end for x in encode(part.column(part.num_columns - 1).to_pylist())]
                 n = np.array([len(x) // 4 for x in coded], np.int64)
                 upto = np.concatenate([[0], np.cumsum(n)])
