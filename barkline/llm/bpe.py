@@ -8,8 +8,10 @@ would be in each plan, and in each description of it that the driver keeps. No s
 
 1. A task numbers the words of its texts and emits a row for about ``CHUNK`` characters or ``FRESH``
    bytes of new words: the carried columns, each text's word numbers, the bytes of the words that the
-   task has not met before, and the table. Texts are cut where a space follows a word, and what lies
-   between two cuts is split by the pattern once a task, within ``CUTS`` pieces.
+   task has not met before, and the table. Texts are split at the borders of the byte-level pattern by array
+   operations, and a task looks each distinct word of about ``PIECE`` characters up once. Texts with characters
+   of changed classes are cut where a space follows a word, and what lies between two cuts is split by the pattern
+   once a task, within ``CUTS`` pieces.
 2. The fold encodes the row's new words.
 3. A task remembers the ids of the words that its rows brought, puts the ids of each text together and
    concatenates the ids' binary pieces. Both sides forget all words once ``KEPT`` are known, in the same
@@ -36,6 +38,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +49,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import SEED, col, drop, give_back, staged, staging, text_batches
+from .tokenfiles import PIECE, by_piece, changed, cut, distinct, split
 
 CHUNK = 4_000_000
 FRESH = 400_000
 KEPT = 300_000
 #: Pieces of texts whose words a task remembers, and characters of such a piece at most.
 CUTS, CUT = 300_000, 64
-HEAD_CHARS = 40_000_000
-HEAD_WORDS = 150_000
+HEAD_CHARS = 80_000_000
+HEAD_WORDS = 300_000
 #: Files of the dictionary's words; their number is bounded, so this is too.
 HEAD_PARTS = 64
 LONG = 192
@@ -208,24 +212,21 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Numbered(dict):
-    """Word -> number of a task: tokens that are text, the dictionary, then words as they are met.
+    """Word (UTF-8) -> number of a task: tokens, the dictionary, then words as they are met.
 
     Words met since the last row are listed in ``new``; ``forget`` drops all that the task has met.
     """
 
-    def __init__(self, ranks: dict[bytes, int], head: list[str]):
-        super().__init__()
-        for t, r in ranks.items():
-            try:
-                self[t.decode()] = r
-            except UnicodeDecodeError:
-                continue
+    def __init__(self, ranks: dict[bytes, int], head: list[bytes]):
+        super().__init__(ranks)
         self.update(zip(head, range(len(ranks), len(ranks) + len(head)), strict=True))
         self.first = self.next = len(ranks) + len(head)
-        self.new: list[str] = []
+        self.new: list[bytes] = []
         self.fresh = 0
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes | str) -> int:
+        if isinstance(word, str):
+            return self[word.encode()]
         self.new.append(word)
         self.fresh += len(word)
         self[word] = got = self.next
@@ -275,6 +276,26 @@ def cuttable(pattern: str) -> bool:
     return pattern == BYTE_LEVEL
 
 
+def numbered(texts: list[str], words: Numbered, pieces: Pieces) -> Iterator[bytes]:
+    """The numbers of each text's words, as the bytes of 32-bit integers; for the byte-level pattern."""
+    if len(texts) == 1 and len(texts[0]) > 2 * PIECE:
+        yield b"".join(code for part in cut(texts[0]) for code in numbered([part], words, pieces))
+        return
+    found = split(texts)
+    if found is None and len(texts) == 1:
+        yield pieces.of(texts[0])
+    elif found is None:
+        odd = [changed(t) for t in texts]
+        plain = numbered([t for t, x in zip(texts, odd, strict=True) if not x], words, pieces)
+        yield from (pieces.of(t) if x else next(plain) for t, x in zip(texts, odd, strict=True))
+    else:
+        raw, places, firsts = found
+        listed, number = distinct(raw, places)
+        code = np.array([words[w] for w in listed], np.int32)[number]
+        for a, b in pairwise(firsts.tolist()):
+            yield code[a:b].tobytes()
+
+
 class Ids:
     """Number of a word -> its ids, in flat arrays; ``extend`` adds words in the order of their numbers."""
 
@@ -314,22 +335,30 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
     sample = docs.where(F.pmod(F.xxhash64("in_text", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * share)).select("in_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, counts = regex.compile(pattern).findall, Counter()
+        findall, counts = regex.compile(pattern).findall, Counter()
 
         def out() -> pa.RecordBatch:
-            # a word of one text of a task is no frequent word
-            used = [(w, n) for w, n in counts.items() if n > 1 and 1 < len(w.encode()) <= LONG and w.encode() not in ranks]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in used], pa.string()), pa.array([n for _, n in used], pa.int64())], names=["word", "n"])
+            # a word that a task meets once may be in each of many tasks
+            used = [(w, n) for w, n in counts.items() if 1 < len(w) <= LONG and w not in ranks]
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in used], pa.binary()).cast(pa.string()), pa.array([n for _, n in used], pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(split(text))
+            for part in by_piece(batch, 0):
+                texts = part.column(0).to_pylist()
+                found = split(texts) if cuttable(pattern) and (len(texts) > 1 or len(texts[0]) <= 2 * PIECE) else None
+                if found is None:
+                    for text in texts:
+                        counts.update(w.encode() for w in findall(text))
+                else:
+                    listed, number = distinct(*found[:2])
+                    for w, n in zip(listed, np.bincount(number, minlength=len(listed)).tolist(), strict=True):
+                        counts[w] += n
                 if len(counts) > 500_000:
                     yield out()
                     counts.clear()
         yield out()
 
-    counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
     cells = docs.sparkSession.sparkContext.broadcast(table.cells)
 
@@ -371,17 +400,17 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     arrow_in = to_arrow_schema(T.StructType(carried))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, head = {t: r for r, t in enumerate(coding.value[0].to_pylist())}, coding.value[1].to_pylist()
+        ranks, head = {t: r for r, t in enumerate(coding.value[0].to_pylist())}, coding.value[1].cast(pa.binary()).to_pylist()
         words = Numbered(ranks, head)
         pieces = Pieces(regex.compile(pattern).findall, words)
-        numbers = pieces.of if cuttable(pattern) else pieces.plain
+        plain = cuttable(pattern)
         sizes, codes, chars, forget = [], [], 0, False
         blob = pa.BufferOutputStream()
         sink = pa.ipc.new_stream(blob, arrow_in)
 
         def out() -> pa.RecordBatch:
             nonlocal sizes, codes, chars, blob, sink, forget
-            new = [w.encode() for w in words.new]
+            new = words.new
             long = {k: merge_long(w, ranks) for k, w in enumerate(new) if len(w) > LONG}
             plain = [b"" if k in long else w for k, w in enumerate(new)]
             sink.close()
@@ -401,22 +430,21 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
             return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget", *RANK_COLUMNS])
 
         for batch in batches:
-            at = 0
-            for k, text in enumerate(batch.column(len(kept))):
-                text = text.as_py()
-                code = numbers(text)
-                codes.append(code)
-                sizes.append(len(code) // 4)
-                chars += len(text)
+            for part in by_piece(batch, len(kept), min(PIECE, CHUNK)):
+                texts = part.column(len(kept)).to_pylist()
+                for code in numbered(texts, words, pieces) if plain else map(pieces.plain, texts):
+                    codes.append(code)
+                    sizes.append(len(code) // 4)
+                chars += sum(map(len, texts))
+                # written at once: a kept column would hold the whole batch's memory
+                sink.write_batch(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in))
                 if chars > CHUNK or words.fresh > FRESH:
-                    sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at, k + 1 - at) for c in batch.columns[: len(kept)]], schema=arrow_in))
-                    at = k + 1
                     yield out()
-            # written at once: a kept column would hold the whole batch's memory
-            sink.write_batch(pa.RecordBatch.from_arrays([c.slice(at) for c in batch.columns[: len(kept)]], schema=arrow_in))
             pa.default_memory_pool().release_unused()
         if sizes:
             yield out()
+        del ranks, head, words, pieces
+        give_back()
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if whole:
