@@ -3,18 +3,18 @@
 Texts are split by the pattern, and each distinct word is encoded by Spark's higher-order functions:
 a fold over the word's bytes merges the pair of least rank (the leftmost at a tie) until none has a
 rank. Ranks are a map of pairs of ids: a perfect hash table in two arrays, so that a look-up costs the
-same for any pair. The arrays are columns of the rows that hold words, from a broadcast: as literals they
-would be in each plan, and in each description of it that the driver keeps. No step shuffles texts:
+same for any pair. The arrays are columns of a table of one row, which is broadcast to the rows that hold words:
+as literals they would be in each plan, and in each description of it that the driver keeps. No step shuffles texts:
 
 1. A task numbers the words of its texts and emits a row for about ``CHUNK`` characters or ``FRESH``
-   bytes of new words: the carried columns, each text's word numbers, the bytes of the words that the
-   task has not met before, and the table. Texts are split at the borders of the byte-level pattern by array
+   bytes of new words: the carried columns, each text's word numbers and the bytes of the words that the
+   task has not met before. Rows are small, as an executor holds several copies of one. Texts are split at the borders of the byte-level pattern by array
    operations, and a task looks each distinct word of about ``PIECE`` characters up once. Texts with characters
    of changed classes are cut where a space follows a word, and what lies between two cuts is split by the pattern
    once a task, within ``CUTS`` pieces.
 2. The fold encodes the row's new words.
 3. A task remembers the ids of the words that its rows brought, puts the ids of each text together and
-   concatenates the ids' binary pieces. Both sides forget all words once ``KEPT`` are known, in the same
+   concatenates the ids' binary pieces. Both sides forget all words once ``KEPT`` are known, before the same
    row, so memory is bounded whatever the number of distinct words.
 
 So that frequent words are not folded anew in each task, the fold first encodes a dictionary of at
@@ -43,7 +43,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -51,8 +51,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import SEED, col, drop, give_back, staged, staging, text_batches
 from .tokenfiles import PIECE, by_piece, changed, cut, distinct, split
 
-CHUNK = 4_000_000
-FRESH = 400_000
+CHUNK = 400_000
+FRESH = 60_000
 KEPT = 300_000
 #: Pieces of texts whose words a task remembers, and characters of such a piece at most.
 CUTS, CUT = 300_000, 64
@@ -105,8 +105,9 @@ class RankMap:
         del pairs
         first = np.array([_NONE if r is None else r for r in first], np.int64)
         arrays = [slots, shifts.astype(np.int32), np.array(single, np.int64), first]
-        #: One cell of each column of ``TABLE``.
+        #: One cell of each column of ``RANK_COLUMNS``.
         self.cells = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a)) for a in arrays]
+        self.stored: DataFrame | None = None
         self.slots, self.shifts, self.single, self.first = (F.col(f"rank_{c}") for c in ("slots", "shifts", "single", "first"))
 
     def table(self, pairs: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,6 +135,16 @@ class RankMap:
             slots[at] = packed[own]
         return slots, shifts
 
+    def store(self, spark: SparkSession) -> None:
+        """Write the table's one row to the shared folder, once."""
+        if self.stored is None:
+            self.stored = staged(spark.createDataFrame(pa.Table.from_arrays(self.cells, names=RANK_COLUMNS)), "ranks")
+            self.cells = None
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the table's columns in front."""
+        return F.broadcast(self.stored).crossJoin(rows)
+
     def rank(self, pair: Column) -> Column:
         """The rank of a pair of ids; _NONE if it has none."""
         group = F.shiftright(pair * _long(self.C), 19).bitwiseAND(_long(GROUPS - 1)).cast("int")
@@ -175,9 +186,8 @@ class RankMap:
         return F.transform(fold, id_of)
 
 
-#: The columns of a row that hold the rank table.
-TABLE = "rank_slots array<bigint>, rank_shifts array<int>, rank_single array<bigint>, rank_first array<bigint>"
-RANK_COLUMNS = [c.split()[0] for c in TABLE.split(", ")]
+#: The columns that hold the rank table.
+RANK_COLUMNS = ["rank_slots", "rank_shifts", "rank_single", "rank_first"]
 
 
 def _long(x: int) -> Column:
@@ -296,19 +306,30 @@ def numbered(texts: list[str], words: Numbered, pieces: Pieces) -> Iterator[byte
             yield code[a:b].tobytes()
 
 
+def _put(into: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """``into`` with ``new`` from ``at`` on; another array, with room for more, where it is too short."""
+    if at + len(new) > len(into):
+        into = np.concatenate([into[:at], np.zeros(len(new) + at // 4, into.dtype)])
+    into[at : at + len(new)] = new
+    return into
+
+
 class Ids:
     """Number of a word -> its ids, in flat arrays; ``extend`` adds words in the order of their numbers."""
 
     def __init__(self, flat: np.ndarray, sizes: np.ndarray):
-        self.base = self.flat, self.sizes = flat, sizes
-        self.starts = np.cumsum(sizes) - sizes
+        self.flat, self.sizes, self.starts = flat, sizes, np.cumsum(sizes) - sizes
+        #: Ids and words that are known; what is behind them in the arrays is room.
+        self.base = self.used = len(flat), len(sizes)
 
     def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        ids, words = self.used
+        self.flat, self.sizes = _put(self.flat, ids, flat), _put(self.sizes, words, sizes)
+        self.starts = _put(self.starts, words, ids + np.cumsum(sizes) - sizes)
+        self.used = ids + len(flat), words + len(sizes)
 
     def forget(self) -> None:
-        self.__init__(*self.base)
+        self.used = self.base
 
     def of(self, code: np.ndarray) -> np.ndarray:
         n = self.sizes[code]
@@ -360,21 +381,20 @@ def head_words(docs: DataFrame, ranks: dict[bytes, int], table: RankMap, pattern
 
     counted = sample.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     top = counted.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word")
-    cells = docs.sparkSession.sparkContext.broadcast(table.cells)
+    table.store(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(0).to_pylist()
             whole = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), x) for x in (pa.array(words, pa.string()), _lists([w.encode() for w in words]))]
-            yield pa.RecordBatch.from_arrays([*whole, *cells.value], names=["texts", "words", *RANK_COLUMNS])
+            yield pa.RecordBatch.from_arrays(whole, names=["texts", "words"])
 
     # written first, so that each fold is a task of the words' shuffle and not of the sample
     with staging("head") as folder:
         words = staged(top.repartition(HEAD_PARTS, "word"), "words")
-        listed = words.mapInArrow(rows, f"texts array<string>, words array<array<int>>, {TABLE}")
+        listed = table.beside(words.mapInArrow(rows, "texts array<string>, words array<array<int>>"))
         coded = listed.select("texts", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("ids")).toArrow()
     drop(docs.sparkSession, folder)
-    cells.destroy()
     texts, ids = (coded.column(c).combine_chunks().flatten() for c in ("texts", "ids"))
     return texts, ids.flatten().to_numpy(zero_copy_only=False), np.diff(ids.offsets.to_numpy()).astype(np.int64)
 
@@ -393,8 +413,8 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
     head, flat, sizes = head_words(named, ranks, table, pattern)
     # Arrow arrays are pickled as buffers, without an object a word
     tokens = pa.array(sorted(ranks, key=ranks.get), pa.binary())
-    coding, decoding = sc.broadcast((tokens, head, table.cells)), sc.broadcast((tokens, flat, sizes))
-    del ranks, head, table.cells
+    coding, decoding = sc.broadcast((tokens, head)), sc.broadcast((tokens, flat, sizes))
+    del ranks, head
     give_back()
     carried = [named.schema[f"in_{i}"] for i in range(len(kept))]
     arrow_in = to_arrow_schema(T.StructType(carried))
@@ -408,8 +428,9 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
         blob = pa.BufferOutputStream()
         sink = pa.ipc.new_stream(blob, arrow_in)
 
-        def out() -> pa.RecordBatch:
+        def out(rows: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal sizes, codes, chars, blob, sink, forget
+            carry(rows)
             new = words.new
             long = {k: merge_long(w, ranks) for k, w in enumerate(new) if len(w) > LONG}
             plain = [b"" if k in long else w for k, w in enumerate(new)]
@@ -418,31 +439,39 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                 pa.array([blob.getvalue().to_pybytes()], pa.binary()), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
                 pa.array([b"".join(codes)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), _lists(plain)), pa.array([json.dumps(list(long.items()))]),
-                pa.array([forget]), *coding.value[2],
+                pa.array([forget]),
             ]
-            words.new, words.fresh = [], 0
-            forget = words.next - words.first > KEPT
-            if forget:
-                words.forget()
-                pieces.clear()
+            words.new, words.fresh, forget = [], 0, False
             sizes, codes, chars, blob = [], [], 0, pa.BufferOutputStream()
             sink = pa.ipc.new_stream(blob, arrow_in)
-            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget", *RANK_COLUMNS])
+            return pa.RecordBatch.from_arrays(row, names=["carried", "sizes", "codes", "words", "long", "forget"])
+
+        def carry(rows: pa.RecordBatch) -> None:
+            sink.write_batch(pa.RecordBatch.from_arrays(rows.columns[: len(kept)], schema=arrow_in))
 
         for batch in batches:
-            for part in by_piece(batch, len(kept), min(PIECE, CHUNK)):
-                texts = part.column(len(kept)).to_pylist()
-                for code in numbered(texts, words, pieces) if plain else map(pieces.plain, texts):
+            for part in by_piece(batch, len(kept)):
+                texts, at = part.column(len(kept)).to_pylist(), 0
+                for k, code in enumerate(numbered(texts, words, pieces) if plain else map(pieces.plain, texts)):
                     codes.append(code)
                     sizes.append(len(code) // 4)
-                chars += sum(map(len, texts))
-                # written at once: a kept column would hold the whole batch's memory
-                sink.write_batch(pa.RecordBatch.from_arrays(part.columns[: len(kept)], schema=arrow_in))
-                if chars > CHUNK or words.fresh > FRESH:
-                    yield out()
+                    chars += len(texts[k])
+                    if chars > CHUNK or words.fresh > FRESH:
+                        yield out(part.slice(at, k + 1 - at))
+                        at = k + 1
+                # between pieces, as the words of all texts of a piece are numbered together
+                if words.next - words.first > KEPT:
+                    if sizes:
+                        yield out(part.slice(at))
+                    words.forget()
+                    pieces.clear()
+                    forget = True
+                else:
+                    # written at once: a kept column would hold the whole batch's memory
+                    carry(part.slice(at))
             pa.default_memory_pool().release_unused()
         if sizes:
-            yield out()
+            yield out(part.slice(part.num_rows))
         del ranks, head, words, pieces
         give_back()
 
@@ -484,7 +513,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, whole: bool = Fals
                 columns += [pa.array(out[f.name], arrow_out.field(f.name).type) for f in fields]
                 yield from pa.Table.from_arrays(columns, schema=arrow_out).to_batches()
 
-    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<int>>, long string, forget boolean, " + TABLE)
-    folded = chunks.select("carried", "sizes", "codes", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("words"), "long", "forget")
+    chunks = named.mapInArrow(number, "carried binary, sizes binary, codes binary, words array<array<int>>, long string, forget boolean")
+    folded = table.beside(chunks).select("carried", "sizes", "codes", F.transform("words", lambda w: table.encode(w).cast("array<int>")).alias("words"), "long", "forget")
     done = folded.mapInArrow(together, schema)
     return done.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(kept)], *[f.name for f in fields])
