@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
 again as the next stage's ``docs``. Stages but the last return the columns of documents. As a stage's
-result is written by the time the next one begins, that one drops the tables that its forerunner staged.
+result is written by the time the next one begins, that one drops the tables that its forerunner staged; those that
+its own ``docs`` still read stay.
 """
 
 from __future__ import annotations
@@ -35,8 +36,11 @@ def stage(f: Stage) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         done = _here.__dict__.setdefault("done", [])
-        while done:
-            drop(spark, done.pop())
+        # rows that aren't written yet still read what was staged for them
+        read = docs.inputFiles()
+        for folder in [x for x in done if not any(f"/{x}/" in file for file in read)]:
+            drop(spark, folder)
+            done.remove(folder)
         # what the stage before held on the driver (a sample, a model, rank tables) goes before this one adds its own
         gc.collect()
         spark.sparkContext._jvm.System.gc()
