@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -145,6 +146,20 @@ def give_back() -> None:
         trim(0)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Collect garbage on the driver, then in each executor, so that heaps shrink to what is in use.
+
+    A heap that one step has grown stays with the executor, beside the Python workers of the next step. On an idle cluster
+    a task for each core reaches each executor; where one is missed, only its heap stays as it is.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    give_back()
+    n = spark.sparkContext.defaultParallelism
+    collected = F.java_method(F.lit("java.lang.System"), F.lit("gc")).alias("collected")
+    spark.range(0, n, 1, n).select(collected).write.format("noop").mode("overwrite").save()
+
+
 def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """A batch a few rows at a time; what Arrow has freed by its end is given back."""
     for at in range(0, batch.num_rows, rows):

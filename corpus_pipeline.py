@@ -8,7 +8,6 @@ its own ``docs`` still read stay.
 
 from __future__ import annotations
 
-import gc
 import threading
 import uuid
 from collections.abc import Callable
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barkline.llm import bpe, mixing, ngram_join, secrets, toxicity
-from barkline.llm.common import col, drop, give_back, orderable, shared_dir, staged, staging
+from barkline.llm.common import col, collect_garbage, drop, orderable, shared_dir, staged, staging
 from barkline.llm.queries import RANKS
 
 #: Trained models and token hashes can't be written in SQL; the stages are tested by brute force.
@@ -41,10 +40,8 @@ def stage(f: Stage) -> Stage:
         for folder in [x for x in done if not any(f"/{x}/" in file for file in read)]:
             drop(spark, folder)
             done.remove(folder)
-        # what the stage before held on the driver (a sample, a model, rank tables) goes before this one adds its own
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        give_back()
+        # what the stage before held (a sample, a model, rank tables, grown heaps) goes before this one adds its own
+        collect_garbage(spark)
         with staging(f.__name__) as folder:
             done.append(folder)
             return f(spark, docs, sf_dir)
